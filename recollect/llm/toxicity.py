@@ -1,13 +1,13 @@
 """Toxicity scoring by non-negative positive-unlabelled learning.
 
-Positives are confirmed toxic documents, unlabelled ones a sample of all text. A linear model over the words a
-document holds is trained in numpy on the class-prior-corrected risk
-``prior * R(P, +1) + max(0, R(U, -1) - prior * R(P, -1))`` with the logistic loss; when the second part
+Positives are confirmed toxic documents, unlabelled ones a sample of all text. A linear model over the words and word
+beginnings a document holds is trained in numpy on the class-prior-corrected risk
+``prior * R(P, +1) + max(0, R(U, -1) - prior * R(P, -1))`` with the logistic loss for +1 and the bounded sigmoid loss for -1; when the second part
 falls below zero its gradient is taken back instead of followed, which keeps the model from fitting the unlabelled
 documents as all negative. The prior is the share of toxic rows among the labels it may learn from.
 
-The classifier is fitted on a bounded sample (``MAX_POSITIVE`` and ``MAX_UNLABELLED`` documents by hash order, ``MAX_WORDS``
-words by how unevenly they fall); scoring reads every whole text.
+The classifier is fitted on a bounded sample (``MAX_POSITIVE`` and ``MAX_UNLABELLED`` documents by hash order, ``MAX_FEATURES``
+words and beginnings by how unevenly they fall); scoring reads every whole text.
 
 Defined cases: null and empty texts are scored by the bias alone; without positive labels, or without
 documents, every score is 0; a row without a label counts as unlabelled; repeated rows get equal scores; several labels of
@@ -16,8 +16,9 @@ one document count as toxic if one of them is; extra columns are ignored.
 
 from __future__ import annotations
 
+import math
+from collections import Counter
 from collections.abc import Iterator
-from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -27,13 +28,17 @@ from pyspark.sql import types as T
 
 from recollect.runtime import bound_batches, stage
 
-MAX_POSITIVE = 3000
-MAX_UNLABELLED = 9000
-MAX_WORDS = 8192
-MIN_DOCS = 2
-STEPS = 300
+MAX_POSITIVE = 2000
+MAX_UNLABELLED = 6000
+MAX_FEATURES = 4096
+#: Least two-proportion score of a feature.
+MIN_SCORE = 5.0
+PREFIXES = (3, 4, 5, 6)
+STEPS = 400
 RATE = 0.05
-DECAY = 2e-4
+DECAY = 5e-5
+#: Words whose features a worker remembers.
+CACHE_WORDS = 400_000
 
 _STRIP = str.maketrans({c: " " for c in ".,;:!?\"()[]{}<>«»…"})
 
@@ -43,19 +48,45 @@ def words(text: str | None) -> set[str]:
     return set((text or "").lower().translate(_STRIP).split())
 
 
-@dataclass
-class ToxicityModel:
-    """Weight of each word and the bias; what remains of the training."""
+def features(own: set[str]) -> set[str]:
+    """The words themselves (``=word``) and their beginnings (``^wor``)."""
+    out = {"=" + w for w in own if len(w) <= 64}
+    for k in PREFIXES:
+        out.update(["^" + w[:k] for w in own if len(w) > k])
+    return out
+
 
-    weights: dict[str, float]
-    bias: float
-    trained: bool = True
+class ToxicityModel:
+    """Weight of each feature and the bias; what remains of the training."""
+
+    def __init__(self, weights: dict[str, float], bias: float, trained: bool = True):
+        self.weights, self.bias, self.trained, self._known = weights, bias, trained, {}
+
+    def __getstate__(self):
+        return self.weights, self.bias, self.trained
+
+    def __setstate__(self, state):
+        self.__init__(*state)
+
+    def present(self, text: str | None) -> set[str]:
+        """The model's features that the text has."""
+        known, out = self._known, set()
+        for w in words(text):
+            found = known.get(w)
+            if found is None:
+                found = tuple(features({w}) & self.weights.keys())
+                if len(known) >= CACHE_WORDS:
+                    known.clear()
+                known[w] = found
+            if found:
+                out.update(found)
+        return out
 
     def score(self, text: str | None) -> float:
         if not self.trained:
             return 0.0
-        z = self.bias + sum(self.weights[w] for w in words(text) & self.weights.keys())
-        return float(1 / (1 + np.exp(-np.clip(z, -30, 30))))
+        z = self.bias + sum(sorted(self.weights[f] for f in self.present(text)))
+        return 1 / (1 + math.exp(-max(-30.0, min(30.0, z))))
 
 
 def fit_nnpu(rows: list[np.ndarray], positive: np.ndarray, prior: float, width: int, steps: int = STEPS) -> tuple[np.ndarray, float]:
@@ -69,13 +100,13 @@ def fit_nnpu(rows: list[np.ndarray], positive: np.ndarray, prior: float, width:
     for step in range(1, steps + 1):
         z = np.bincount(owner, weights=w[flat], minlength=len(rows)) + b
         s = 1 / (1 + np.exp(-np.clip(z, -30, 30)))
-        loss_neg = np.logaddexp(0, z)
-        rest = loss_neg[~positive].sum() / n_u - prior * loss_neg[positive].sum() / n_p
-        g_rest = np.where(positive, -prior * s / n_p, s / n_u)
+        slope = s * (1 - s)
+        rest = s[~positive].sum() / n_u - prior * s[positive].sum() / n_p
+        g_rest = np.where(positive, -prior * slope / n_p, slope / n_u)
         if rest < 0:
             g = -g_rest
         else:
-            g = g_rest + np.where(positive, prior * (s - 1) / n_p, 0)
+            g = g_rest - np.where(positive, prior * (1 - s) / n_p, 0)
         grad = np.append(np.bincount(flat, weights=g[owner], minlength=width) + DECAY * w, g.sum())
         m += 0.1 * (grad - m)
         v += 0.01 * (grad * grad - v)
@@ -85,17 +116,32 @@ def fit_nnpu(rows: list[np.ndarray], positive: np.ndarray, prior: float, width:
     return w, b
 
 
-def _features(docs: DataFrame, vocabulary: list[str] | None) -> DataFrame:
-    """(is_p, words) or, with a vocabulary, (is_p, indices) of each document (is_p, text)."""
+def _counts(texts: DataFrame) -> DataFrame:
+    """feature, p, u: documents of either kind that have it, counted in each task before the shuffle."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        p: Counter[str] = Counter()
+        u: Counter[str] = Counter()
+        for batch in batches:
+            for is_p, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                (p if is_p else u).update(features(words(text)))
+        names = list(p.keys() | u.keys())
+        yield pa.RecordBatch.from_arrays([pa.array(names, pa.string()), pa.array([p[f] for f in names], pa.int64()), pa.array([u[f] for f in names], pa.int64())], names=["feature", "p", "u"])
+
+    each = texts.select("is_p", "text").mapInArrow(run, "feature string, p long, u long")
+    return each.groupBy("feature").agg(F.sum("p").alias("p"), F.sum("u").alias("u"))
+
+
+def _vectors(texts: DataFrame, vocabulary: list[str]) -> DataFrame:
+    """doc_id, is_p, x: indices of the features each document has."""
+    model = ToxicityModel({f: float(i) for i, f in enumerate(vocabulary)}, 0.0)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        index = None if vocabulary is None else {w: i for i, w in enumerate(vocabulary)}
         for batch in batches:
-            own = [words(t) for t in batch.column(2).to_pylist()]
-            values = pa.array([sorted(x) for x in own], pa.list_(pa.string())) if index is None else pa.array([sorted(index[w] for w in x & index.keys()) for x in own], pa.list_(pa.int32()))
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), values], names=["doc_id", "is_p", "x"])
+            x = [sorted(int(model.weights[f]) for f in model.present(t)) for t in batch.column(2).to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(x, pa.list_(pa.int32()))], names=["doc_id", "is_p", "x"])
 
-    return docs.mapInArrow(run, f"doc_id long, is_p boolean, x array<{'string' if vocabulary is None else 'int'}>")
+    return texts.select("doc_id", "is_p", "text").mapInArrow(run, "doc_id long, is_p boolean, x array<int>")
 
 
 def fit(docs: DataFrame, labels: DataFrame, learn_from) -> ToxicityModel:
@@ -113,16 +159,19 @@ def fit(docs: DataFrame, labels: DataFrame, learn_from) -> ToxicityModel:
     unlabelled = ids.orderBy(*by_hash).limit(MAX_UNLABELLED).withColumn("is_p", F.lit(False))
     chosen = F.broadcast(pos.unionByName(unlabelled).distinct())  # at most MAX_POSITIVE + MAX_UNLABELLED ids
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).join(chosen, "doc_id").select("doc_id", "is_p", "text")
-    texts = stage(texts, "toxicity-sample")
+    texts = stage(texts.dropDuplicates(["is_p", "text"]), "toxicity-sample")
     sizes = {r["is_p"]: r["n"] for r in texts.groupBy("is_p").agg(F.count("*").alias("n")).collect()}
     n_p, n_u = sizes.get(True, 0), sizes.get(False, 0)
     if not n_p or not n_u:
         return ToxicityModel({}, 0.0, trained=False)
-    per_word = _features(texts, None).select("is_p", F.explode("x").alias("word")).groupBy("word").agg(F.count_if("is_p").alias("p"), F.count_if(~F.col("is_p")).alias("u"))
-    odds = F.log((F.col("p") + 0.5) / (n_p + 1.0)) - F.log((F.col("u") + 0.5) / (n_u + 1.0))
-    weight = F.abs(odds) * F.sqrt(F.col("p") + F.col("u"))
-    vocabulary = sorted(r["word"] for r in per_word.where((F.col("p") >= MIN_DOCS) | (F.col("u") >= 5 * MIN_DOCS)).orderBy(weight.desc(), "word").limit(MAX_WORDS).select("word").collect())
-    found = sorted(_features(texts, vocabulary).collect(), key=lambda r: (r["doc_id"], r["is_p"], r["x"]))
+    share_p, share_u = (F.col("p") + 0.5) / (n_p + 1.0), (F.col("u") + 0.5) / (n_u + 1.0)
+    pooled = (F.col("p") + F.col("u") + 1.0) / (n_p + n_u + 2.0)
+    uneven = F.abs(share_p - share_u) / F.sqrt(pooled * (1.0001 - pooled) * (1.0 / n_p + 1.0 / n_u))
+    best = _counts(texts).withColumn("uneven", uneven).where(F.col("uneven") >= MIN_SCORE).orderBy(F.col("uneven").desc(), "feature").limit(MAX_FEATURES)
+    vocabulary = sorted(r["feature"] for r in best.select("feature").collect())
+    if not vocabulary:
+        return ToxicityModel({}, math.log(prior / (1 - prior)))
+    found = sorted(_vectors(texts, vocabulary).collect(), key=lambda r: (r["doc_id"], r["is_p"], r["x"]))
     w, b = fit_nnpu([np.array(r["x"], dtype=np.int64) for r in found], np.array([r["is_p"] for r in found]), prior, len(vocabulary))
     return ToxicityModel({t: float(x) for t, x in zip(vocabulary, w, strict=True)}, b)
 
@@ -153,4 +202,4 @@ def reject_toxic(docs: DataFrame, model: ToxicityModel) -> DataFrame:
     return docs.mapInArrow(run, docs.schema)
 
 
-__all__ = ["ToxicityModel", "fit", "fit_nnpu", "reject_toxic", "score", "words"]
+__all__ = ["ToxicityModel", "fit", "fit_nnpu", "features", "reject_toxic", "score", "words"]
