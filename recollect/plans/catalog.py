@@ -2,13 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from recollect.plans import q_eval, q_filters, q_retrieval, q_store  # noqa: F401  they register their queries
+from recollect.plans.base import ORACLES, QUERIES
 
-from pyspark.sql import DataFrame, SparkSession
+FLAGSHIP = QUERIES["knn_scoped_filtered"]
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-ORACLES: dict[str, str] = {}
-
-
-def FLAGSHIP(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/events.parquet")
+__all__ = ["FLAGSHIP", "ORACLES", "QUERIES"]
