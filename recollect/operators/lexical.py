@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from recollect.functions.text import has_all_tokens, index_tokens
+from recollect.runtime import stage
 
 K1, B = 1.2, 0.75
 
@@ -33,7 +34,7 @@ def bm25(index: DataFrame, stats: DataFrame, terms: DataFrame) -> DataFrame:
 
     Only the queries' terms are joined: their document frequencies come from the postings they select.
     """
-    asked = index.join(terms.select("term").distinct(), "term", "left_semi")
+    asked = stage(index.join(terms.select("term").distinct(), "term", "left_semi"), "postings")
     df = asked.groupBy("term").agg(F.count("*").alias("df"))
     weight = F.log((F.col("n") - F.col("df") + 0.5) / (F.col("df") + 0.5))
     idf = df.crossJoin(F.broadcast(stats)).select("term", "avgdl", F.when(weight <= 0, F.lit(1e-6)).otherwise(weight).alias("idf"))  # stats is one row
@@ -47,7 +48,7 @@ def sparse_idf(index: DataFrame, stats: DataFrame, queries: DataFrame, avgdl: fl
     tokens = index_tokens(F.col("query"))
     q = queries.select("query_id", F.size(tokens).alias("ql"), F.explode(tokens).alias("term")).groupBy("query_id", "term").agg(F.count("*").alias("qtf"), F.max("ql").alias("ql"))
     saturated = lambda tf, dl: tf * (K1 + 1) / (tf + K1 * (1 - B + B * dl / avgdl))
-    asked = index.join(q.select("term").distinct(), "term", "left_semi")
+    asked = stage(index.join(q.select("term").distinct(), "term", "left_semi"), "postings")
     df = asked.groupBy("term").agg(F.count("*").alias("df")).crossJoin(F.broadcast(stats.select("n")))
     idf = df.select("term", F.log1p((F.col("n") - F.col("df") + 0.5) / (F.col("df") + 0.5)).alias("idf"))
     score = saturated(F.col("qtf"), F.col("ql")) * saturated(F.col("tf"), F.col("dl")) * F.col("idf")

@@ -282,7 +282,7 @@ def jaccard_pairs(spark, d):
 
 
 @query(f"""WITH {_CAND}, sc AS (SELECT *, len(list_intersect(['click', 'item', '3'], string_split(text, ' '))) / 3 AS o FROM cand)
-SELECT query_id, point_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY CASE WHEN count(*) OVER (PARTITION BY query_id) < 2 THEN 0 ELSE -o END, rank) AS INTEGER) AS rank FROM sc""")
+SELECT query_id, point_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY -o, rank) AS INTEGER) AS rank FROM sc""")
 def rerank_overlap(spark, d):
     score = rank.word_overlap(F.lit("click item 3"), F.col("text"))
     return rank.reranked(_candidates(spark, d), score).select("query_id", "point_id", "rank")
