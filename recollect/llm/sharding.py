@@ -86,4 +86,6 @@ def write_shards(docs: DataFrame, path: str, key: str = "doc_id", limit: int = L
     depths = [r["depth"] for r in shards.select("depth").distinct().orderBy("depth").collect()]
     prefixes = F.array(*[F.substring("__bits", 1, d) if d else F.lit("") for d in depths])
     own = rows.withColumn("shard", F.explode(prefixes)).join(shards, "shard", "left_semi").drop("__bits")
+    # readers take a folder named by digits alone for a number
+    own = own.withColumn("shard", F.concat(F.lit("bits"), "shard"))
     own.repartition("shard").write.partitionBy("shard").parquet(path)
