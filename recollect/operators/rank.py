@@ -52,7 +52,7 @@ def dense_topk(points: DataFrame, queries: DataFrame, k: int, metric: str = "cos
 
 def _block_topk(points: DataFrame, block: list, k: int, metric: str, same: str | None) -> DataFrame:
     ids = np.array([r["query_id"] for r in block], dtype=np.int64)
-    q = np.array([r["dense"] for r in block], dtype=np.float64).reshape(len(block), -1)
+    q = np.array([r["dense"] for r in block], dtype=np.float64) if block else np.zeros((0, 1))
     scopes = [r[same] for r in block] if same else None
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -90,6 +90,12 @@ def _renumbered(rows: DataFrame, *order: Column) -> DataFrame:
     return rows.withColumn("rank", F.row_number().over(Window.partitionBy("query_id").orderBy(*order)))
 
 
+def _bucket(low: Column, span: Column, count: int) -> Column:
+    """Which of ``count`` equal parts of the span the time lies in."""
+    raw = F.when(span > 0, ((F.col("ts") - low) / span * count).cast("long")).otherwise(0)
+    return F.least(F.greatest(raw, F.lit(0)), F.lit(count - 1))
+
+
 def bucket_spread(rows: DataFrame, start: Column, stop: Column, buckets: int = 6, per_bucket: int = 2) -> DataFrame:
     """Candidates reordered: up to ``per_bucket`` of each of equal time spans in time order, then the rest as they were.
 
@@ -99,8 +105,7 @@ def bucket_spread(rows: DataFrame, start: Column, stop: Column, buckets: int = 6
     group = Window.partitionBy("query_id")
     a, b = F.coalesce(start, F.min("ts").over(group)), F.coalesce(stop, F.max("ts").over(group))
     low, span = F.least(a, b), F.abs(b - a)
-    raw = F.when(span > 0, ((F.col("ts") - low) / span * count).cast("long")).otherwise(0)
-    placed = rows.withColumn("bucket", F.least(F.greatest(raw, F.lit(0)), F.lit(count - 1)))
+    placed = rows.withColumn("bucket", _bucket(low, span, count))
     nth = F.row_number().over(Window.partitionBy("query_id", "bucket").orderBy("rank"))
     placed = placed.withColumn("chosen", nth <= keep)
     first = F.when(F.col("chosen"), F.col("bucket")).otherwise(count)
@@ -112,12 +117,18 @@ def time_window(rows: DataFrame, start: Column, stop: Column, buckets: int = 6,
     candidate inside keeps its list as it was. Expects query_id, rank, ts."""
     inside = F.coalesce((start.isNull() | (F.col("ts") >= start)) & (stop.isNull() | (F.col("ts") < stop)), F.lit(False))
     marked = rows.withColumn("w0", start).withColumn("w1", stop).withColumn("inside", inside & F.col("ts").isNotNull() & (start.isNotNull() | stop.isNotNull()))
-    marked = marked.withColumn("hits", F.count_if("inside").over(Window.partitionBy("query_id")))
-    same = marked.where("hits = 0")
-    spread = bucket_spread(marked.where("inside"), F.col("w0"), F.col("w1"), buckets, per_bucket).withColumn("part", F.lit(0))
-    unknown = marked.where("hits > 0 and ts is null").withColumn("part", F.lit(1))
-    moved = _renumbered(spread.unionByName(unknown), F.col("part"), F.col("rank")).drop("part")
-    return same.unionByName(moved).drop("w0", "w1", "inside", "hits")
+    group = Window.partitionBy("query_id")
+    marked = marked.withColumn("hits", F.count_if("inside").over(group))
+    own = F.when(F.col("inside"), F.col("ts"))
+    marked = marked.withColumns({"w0": F.coalesce("w0", F.min(own).over(group)), "w1": F.coalesce("w1", F.max(own).over(group))})
+    kept = marked.where("hits = 0 or inside or ts is null")
+    raw = _bucket(F.least("w0", "w1"), F.abs(F.col("w1") - F.col("w0")), max(1, buckets))
+    nth = F.row_number().over(Window.partitionBy("query_id", "inside", "bucket").orderBy("rank"))
+    kept = kept.withColumn("bucket", raw).withColumn("chosen", F.col("inside") & (nth <= max(0, per_bucket)))
+    # spread candidates, then those without a time; a list that is left alone has one part and no buckets
+    part = F.when(F.col("hits") == 0, 0).otherwise((~F.col("inside")).cast("int"))
+    place = F.when(F.col("hits") == 0, 0).when(F.col("chosen"), F.col("bucket")).otherwise(max(1, buckets))
+    return _renumbered(kept, part, place, F.col("rank")).drop("w0", "w1", "inside", "hits", "bucket", "chosen")
 
 
 def without_near_copies(rows: DataFrame, jaccard: float = 0.72, containment: float = 0.86) -> DataFrame:

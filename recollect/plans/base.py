@@ -7,6 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from recollect.runtime import plain_unions
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
@@ -27,6 +29,7 @@ def query(sql: str | None = None):
 
 
 def table(spark: SparkSession, d: str, name: str) -> DataFrame:
+    plain_unions(spark)
     return spark.read.parquet(f"{d}/{name}.parquet")
 
 

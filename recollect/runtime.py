@@ -24,6 +24,7 @@ def session(app: str = "recollect", cpus: str = "8") -> SparkSession:
         .config("spark.sql.shuffle.partitions", cpus)
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.ui.enabled", "false")
+        .config("spark.sql.unionOutputPartitioning", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", "8g")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
@@ -31,6 +32,14 @@ def session(app: str = "recollect", cpus: str = "8") -> SparkSession:
     )
 
 
+def plain_unions(spark: SparkSession) -> None:
+    """Children of a union are read with partitions of their own.
+
+    Taken as partitioned alike, as is the default, adaptive execution may give them different numbers of partitions, and the plan fails.
+    """
+    spark.conf.set("spark.sql.unionOutputPartitioning", "false")
+
+
 def shared_dir(spark: SparkSession) -> str:
     """Folder every executor can read: ``spark.checkpoint.dir``; a temporary one only where that is unset (tests)."""
     configured = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
@@ -49,6 +58,7 @@ def stage(df: DataFrame, label: str) -> DataFrame:
     a value that two branches of a plan must agree on. Files go when the interpreter ends.
     """
     spark = df.sparkSession
+    plain_unions(spark)
     path = f"{shared_dir(spark)}/staged/{label}-{uuid.uuid4().hex}"
     df.write.mode("overwrite").parquet(path)
     _STAGED.append((weakref.ref(spark), path))
