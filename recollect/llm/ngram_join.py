@@ -5,18 +5,20 @@ the threshold; the result is each document's set size and the smallest doc_id of
 
 1. One pass profiles every document: set size, a 128-bit fingerprint of the set, a few minimum hashes, and a counting
    sketch of all shingles. Documents with equal sets become one class, known by its smallest doc_id.
-2. Similar classes are partitioned into groups: classes that share a minimum hash are compared exactly with the smallest class
-   among them, and the verified links' components are the groups. Copies of one source never meet in pairs.
-3. The token-group matrix holds, by token, the classes and groups whose prefix has it; a group's row set is the union of
-   its members' prefixes. A prefix is the ``n - ceil(t * n) + 1`` first shingles in an order that puts shingles the sketch
+2. Similar classes are partitioned into groups. Classes that share a minimum hash are dealt into blocks; within a block every
+   pair is compared, and each class of a key that fills several blocks also with the key's best-linked class. The
+   components of these verified links are the groups; a block gives at most one link for each class, never its pairs.
+3. The token-group matrix holds, by token, the groups that have it in a member's prefix: a group's row is the union of its
+   members' prefixes. A prefix is the ``n - ceil(t * n) + 1`` first shingles in an order that puts shingles the sketch
    found frequent last, then goes by hash; two sets that link share a token of both prefixes, so no link is lost.
-   For each class and each other group the matrix counts the shared tokens, which bounds the overlap with any member;
-   only groups whose bound reaches what the sizes ask for qualify.
-4. A qualifying group is opened: first its member seen in the matrix, then, if that did not link, every member of a
-   fitting size. Each pair is verified on the whole sets, and all verified links give the components.
+   For two groups the matrix counts the tokens their unions share, which bounds the overlap of any two members;
+   only pairs of groups whose bound reaches what the sizes ask for qualify.
+4. A qualifying group is opened for the members of the other: they are packed into blocks, a block's token union
+   bounds each query once more, and the queries that pass are compared with all its members, on the whole sets. All verified
+   links give the components.
 
 The order only has to be the same everywhere, so a sketch of fixed size serves any corpus: a frequent shingle it misses
-costs time, not links. Groups meet as (class, group) rows, never as all pairs of members.
+costs time, not links. Rows are classes, groups, or pairs of groups, never pairs of members.
 
 Defined cases: A-Z is lower-cased and words are ``[^\\x20\\x09-\\x0D]+``; with fewer words than a shingle the whole sequence
 is one; null and empty texts, and texts of white space, have no shingles and link with nothing; repeated rows of a doc_id get one
@@ -34,19 +36,23 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from recollect.llm.components import components
-from recollect.runtime import bound_batches, small_side, stage
+from recollect.runtime import batch_rows, bound_batches, small_side, stage
 
 WIDTH = 5
 THRESHOLD_PERCENT = 75
 MIN_HASHES = 4
-#: Counters of the shingle sketch, by the hash's top bits; the frequent ones become a bitmap of 128 KiB.
-SKETCH_BITS = 20
+#: Counters of the shingle sketch, by the hash's top bits; the frequent ones become a bitmap of 512 KiB.
+SKETCH_BITS = 22
 SLICES = 64
 BUCKET_BITS = 12
 #: Fixed-width rows (16 to 24 bytes) broadcast at most; more are joined by shuffle.
 BROADCAST_ROWS = 200_000
 #: Shingles of the corpus for each task that meets the matrix's rows; a quarter of them are in prefixes.
 TOKENS_PER_TASK = 4_000_000
+#: Classes and shingles of a block at most (a single larger set is a block of its own), and blocks in an Arrow batch.
+BLOCK_SETS = 128
+BLOCK_TOKENS = 1 << 16
+BATCH_BLOCKS = 16
 #: Bytes hashed at once.
 BLOCK = 1 << 20
 
@@ -180,14 +186,15 @@ def profile(docs: DataFrame, width: int = WIDTH) -> DataFrame:
         for batch in batches:
             sets = hasher.sets(batch.column(1).to_pylist())
             flat = np.concatenate(sets) if sets else np.zeros(0, dtype=np.uint64)
-            counts += np.bincount((flat >> np.uint64(64 - SKETCH_BITS)).astype(np.int64), minlength=len(counts)).astype(np.uint32)
+            cells, times = np.unique((flat >> np.uint64(64 - SKETCH_BITS)).astype(np.int64), return_counts=True)
+            counts[cells] += times.astype(np.uint32)
             f1 = [int(s.sum(dtype=np.uint64).view(np.int64)) if len(s) else 0 for s in sets]
             f2 = [int(_mix(s).sum(dtype=np.uint64).view(np.int64)) if len(s) else 0 for s in sets]
             mins = [[int((s * seed).min().view(np.int64)) for seed in _SEEDS[:MIN_HASHES]] if len(s) else [] for s in sets]
             none = pa.nulls(len(sets), pa.int32())
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([len(s) for s in sets], pa.int64()), pa.array(f1, pa.int64()), pa.array(f2, pa.int64()), pa.array(mins, pa.list_(pa.int64())), none, pa.nulls(len(sets), pa.binary())], names=names)
         if counts.any():
-            parts = [counts[i * per : (i + 1) * per] for i in range(SLICES)]
+            parts = [np.minimum(counts[i * per : (i + 1) * per], 65535).astype(np.uint16) for i in range(SLICES)]
             rows = [(i, p.tobytes()) for i, p in enumerate(parts) if p.any()]
             k = len(rows)
             yield pa.RecordBatch.from_arrays([*[pa.nulls(k, pa.int64()) for _ in range(4)], pa.nulls(k, pa.list_(pa.int64())), pa.array([i for i, _ in rows], pa.int32()), pa.array([b for _, b in rows], pa.binary())], names=names)
@@ -198,14 +205,14 @@ def profile(docs: DataFrame, width: int = WIDTH) -> DataFrame:
 def frequent_bitmap(sketches: DataFrame, total: int) -> bytes:
     """One bit for each sketch counter: well above what an even spread of ``total`` shingles gives it."""
     mean = total / (1 << SKETCH_BITS)
-    limit = mean + 6 * mean**0.5 + 24
+    limit = mean + 6 * mean**0.5 + 12
     per = (1 << SKETCH_BITS) // SLICES
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums: dict[int, np.ndarray] = {}
         for batch in batches:
             for i, blob in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                sums[i] = sums.get(i, 0) + np.frombuffer(blob, dtype=np.uint32).astype(np.uint64)
+                sums[i] = sums.get(i, 0) + np.frombuffer(blob, dtype=np.uint16).astype(np.uint64)
         bits = [np.packbits(s > limit).tobytes() for s in sums.values()]
         yield pa.RecordBatch.from_arrays([pa.array(list(sums), pa.int32()), pa.array(bits, pa.binary())], names=["slice", "bits"])
 
@@ -229,6 +236,111 @@ def class_sets(docs: DataFrame, ids: DataFrame, width: int = WIDTH) -> DataFrame
     return stage(_docs(docs).withColumnRenamed("doc_id", "id").join(wanted, "id", "left_semi").select("id", "text").mapInArrow(run, "id long, n long, tokens binary"), "jaccard-sets")
 
 
+def _overlaps(queries: list[np.ndarray], members: list[np.ndarray], percent: int) -> tuple[np.ndarray, np.ndarray]:
+    """(which queries were opened, their overlaps with all members) for one block of members.
+
+    The block's token union bounds a query's overlap with every member; a query is opened only if the bound reaches
+    what it needs with the smallest member it could link with.
+    """
+    union, place = np.unique(np.concatenate(members), return_inverse=True)
+    sizes = np.array([len(m) for m in members])
+    opened, cells = [], []
+    for i, q in enumerate(queries):
+        at = np.searchsorted(union, q)
+        hit = at[union[np.minimum(at, len(union) - 1)] == q] if len(union) else at[:0]
+        fits = sizes[(sizes * 100 >= percent * len(q)) & (sizes * percent <= 100 * len(q))]
+        if len(fits) and len(hit) >= needed(len(q), int(fits.min()), percent):
+            opened.append(i)
+            cells.append(hit)
+    if not opened:
+        return np.zeros(0, dtype=np.int64), np.zeros((0, len(members)), dtype=np.int64)
+    # only the union's tokens that some opened query has
+    used = np.unique(np.concatenate(cells))
+    column = np.full(len(union), -1, dtype=np.int64)
+    column[used] = np.arange(len(used))
+    a = np.zeros((len(opened), len(used)), dtype=np.float32)
+    for i, hit in enumerate(cells):
+        a[i, column[hit]] = 1
+    b = np.zeros((len(members), len(used)), dtype=np.float32)
+    row, col = np.repeat(np.arange(len(members)), sizes), column[place]
+    b[row[col >= 0], col[col >= 0]] = 1
+    return np.array(opened), np.rint(a @ b.T).astype(np.int64)
+
+
+def _linked(shared: np.ndarray, n_a: np.ndarray, n_b: np.ndarray, percent: int) -> np.ndarray:
+    return (shared > 0) & (100 * shared >= percent * (n_a[:, None] + n_b[None, :] - shared))
+
+
+def _sets_of(items: list[dict]) -> tuple[np.ndarray, list[np.ndarray], np.ndarray]:
+    sets = [np.frombuffer(x["tokens"], dtype=np.uint64) for x in items]
+    return np.array([x["id"] for x in items], dtype=np.int64), sets, np.array([len(x) for x in sets], dtype=np.int64)
+
+
+def block_links(blocks: DataFrame, percent: int = THRESHOLD_PERCENT) -> DataFrame:
+    """u, v, hub, degree: for each block (j, low, items) a spanning forest of its links, and its best-linked class.
+
+    Link rows have a null hub; a hub row has null u and v.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            out = []
+            for j, low, items in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                ids, sets, n = _sets_of(sorted(items, key=lambda x: x["id"]))
+                opened, shared = _overlaps(sets, sets, percent)
+                if not len(opened):
+                    continue
+                link = np.zeros((len(ids), len(ids)), dtype=bool)
+                link[opened] = _linked(shared, n[opened], n, percent)
+                np.fill_diagonal(link, False)
+                left = set(range(len(ids)))
+                while left:  # one tree for each component
+                    todo = [left.pop()]
+                    while todo:
+                        x = todo.pop()
+                        for y in np.flatnonzero(link[x]).tolist():
+                            if y in left:
+                                left.remove(y)
+                                todo.append(y)
+                                out.append((j, low, int(ids[y]), int(ids[x]), None, None))
+                degree = link.sum(axis=1)
+                best = int(degree.argmax())
+                if degree[best]:
+                    out.append((j, low, None, None, int(ids[best]), int(degree[best])))
+            columns = list(zip(*out, strict=True)) or [[]] * 6
+            yield pa.RecordBatch.from_arrays([pa.array(columns[0], pa.int32()), *[pa.array(c, pa.int64()) for c in columns[1:]]], names=["j", "low", "u", "v", "hub", "degree"])
+
+    return blocks.select("j", "low", "items").mapInArrow(run, "j int, low long, u long, v long, hub long, degree long")
+
+
+def opened_links(blocks: DataFrame, percent: int = THRESHOLD_PERCENT) -> DataFrame:
+    """u, v: for each row (queries, members) one link of every query that links with a member."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            u, v = [], []
+            for queries, members in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                q_ids, q_sets, q_n = _sets_of(queries)
+                m_ids, m_sets, m_n = _sets_of(members)
+                opened, shared = _overlaps(q_sets, m_sets, percent)
+                if len(opened):
+                    link = _linked(shared, q_n[opened], m_n, percent)
+                    has = link.any(axis=1)
+                    u += q_ids[opened][has].tolist()
+                    v += m_ids[link.argmax(axis=1)][has].tolist()
+            yield pa.RecordBatch.from_arrays([pa.array(u, pa.int64()), pa.array(v, pa.int64())], names=["u", "v"])
+
+    return blocks.select("queries", "members").mapInArrow(run, "u long, v long")
+
+
+def packed(rows: DataFrame, key: list[str], name: str) -> DataFrame:
+    """Rows (key, id, n, tokens) of each key dealt into blocks of bounded size: key, ``name`` (array of id, tokens)."""
+    sizes = rows.groupBy(*key).agg(F.count("*").alias("k"), F.sum("n").alias("w"))
+    blocks = F.greatest(F.ceil(F.col("k") / BLOCK_SETS), F.ceil(F.col("w") / BLOCK_TOKENS))
+    dealt = rows.join(sizes, key).withColumn("slot", F.pmod(F.xxhash64("id", *key), blocks))
+    return dealt.groupBy(*key, "slot").agg(F.collect_list(F.struct("id", "tokens")).alias(name)).drop("slot")
+
+
 def verified(pairs: DataFrame, sets: DataFrame, percent: int = THRESHOLD_PERCENT) -> DataFrame:
     """The pairs (u, v) whose sets link."""
 
@@ -247,7 +359,7 @@ def verified(pairs: DataFrame, sets: DataFrame, percent: int = THRESHOLD_PERCENT
 
 
 def matrix_candidates(docs: DataFrame, classes: DataFrame, groups: DataFrame, frequent: bytes, total: int, width: int = WIDTH, percent: int = THRESHOLD_PERCENT) -> DataFrame:
-    """q, g, probe: the classes and foreign groups whose bound qualifies; probe is a member met in the matrix.
+    """a, b: the pairs of groups whose bound qualifies.
 
     ``classes``: id, first (whether it names a class) of every document; ``groups``: id, g of those in a group of several;
     ``total``: shingles of the corpus.
@@ -308,19 +420,22 @@ def matrix_candidates(docs: DataFrame, classes: DataFrame, groups: DataFrame, fr
             return
         t, o, g, n = (np.concatenate(x) for x in zip(*parts, strict=True))
         del parts
-        # only tokens that several groups hold matter
-        order = np.lexsort((n, t))
-        t, o, g, n = (x[order] for x in (t, o, g, n))
-        head = np.flatnonzero(np.concatenate([[True], t[1:] != t[:-1]]))
+        # only tokens that several groups hold matter; of a group, its smallest and largest set with the token
+        order = np.lexsort((g, t))
+        t, g, n = (x[order] for x in (t, g, n))
+        row = np.flatnonzero(np.concatenate([[True], (t[1:] != t[:-1]) | (g[1:] != g[:-1])])) if len(t) else np.zeros(0, dtype=np.int64)
+        small, large = (f.reduceat(n, row) if len(row) else n for f in (np.minimum, np.maximum))
+        t, g = t[row], g[row]
+        head = np.flatnonzero(np.concatenate([[True], t[1:] != t[:-1]])) if len(t) else row
         tail = np.append(head[1:], len(t))
-        many = (np.minimum.reduceat(g, head) != np.maximum.reduceat(g, head)) if len(head) else np.zeros(0, dtype=bool)
         found: list[tuple] = []
         held = 0
+        many = tail - head > 1
         for a, b in zip(head[many].tolist(), tail[many].tolist(), strict=True):
-            for rows in _meetings(o[a:b], g[a:b], n[a:b], percent):
+            for rows in _meetings(g[a:b], small[a:b], large[a:b], percent):
                 found.append(rows)
                 held += len(rows[0])
-                if held > 500_000:
+                if held > 2_000_000:
                     yield _summed(found)
                     found, held = [], 0
         if found:
@@ -328,59 +443,41 @@ def matrix_candidates(docs: DataFrame, classes: DataFrame, groups: DataFrame, fr
 
     parts = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), total // TOKENS_PER_TASK + 1)
     cells = rows.mapInArrow(cut, "bucket int, tokens binary, owner binary, grp binary, size binary").repartition(parts, "bucket")
-    met = cells.mapInArrow(meet, "q long, g long, shared long, nq int, most int, probe long")
-    bound = met.groupBy("q", "g").agg(F.sum("shared").alias("shared"), F.min("nq").alias("nq"), F.max("most").alias("most"), F.min("probe").alias("probe"))
-    # overlap <= shared + what lies behind the shorter-reaching prefix; one is taken off for rounding
-    total = F.col("nq") + F.col("most")
-    asked = F.ceil(total * percent / (100.0 + percent)) - (F.ceil(F.col("most") * percent / 100.0) - 1) - 1
-    return bound.where(F.col("shared") >= asked).select("q", "g", "probe")
+    met = cells.mapInArrow(meet, "a long, b long, shared long, small int, large int")
+    bound = met.groupBy("a", "b").agg(F.sum("shared").alias("shared"), F.min("small").alias("small"), F.max("large").alias("large"))
+    # overlap <= shared + what lies behind the shorter-reaching prefix; least for the smallest and the largest set
+    total = F.col("small") + F.col("large")
+    asked = F.ceil(total * percent / (100.0 + percent)) - (F.ceil(F.col("large") * percent / 100.0) - 1) - 1
+    return bound.where(F.col("shared") >= asked).select("a", "b")
 
 
-def _meetings(owner: np.ndarray, group: np.ndarray, size: np.ndarray, percent: int = THRESHOLD_PERCENT) -> Iterator[tuple]:
-    """For one token: (query, group, size of the query, largest fitting member, a member) of each query and foreign group.
+def _meetings(group: np.ndarray, small: np.ndarray, large: np.ndarray, percent: int = THRESHOLD_PERCENT) -> Iterator[tuple]:
+    """For one token: (a, b, smallest, largest fitting size) of the pairs of groups whose sizes can link.
 
-    Entries come by size; a query meets members of its own size or larger, up to what can still link. Of members of one
-    group and size the matrix needs one.
+    Entries are one for each group, by group, with the sizes of its smallest and largest set here.
     """
-    k = len(owner)
-    if k == 2:
-        if group[0] != group[1] and size[1] * percent <= size[0] * 100:
-            yield owner[:1], group[1:], size[:1], size[1:], owner[1:]
-        return
-    # rows of the matrix: each group once for each size it has here
-    row = np.unique(np.stack([size.astype(np.int64), group]), axis=1, return_index=True)
-    sizes, groups, member = row[0][0], row[0][1], owner[row[1]]
-    start = np.searchsorted(sizes, size, side="left")
-    stop = np.searchsorted(sizes, size.astype(np.int64) * 100 // percent, side="right")
-    counts = stop - start
-    chunk = max(1, 400_000 // max(1, int(counts.max())))
-    for at in range(0, k, chunk):
-        c = counts[at : at + chunk]
-        q = np.repeat(np.arange(at, at + len(c)), c)
-        m = np.arange(len(q)) - np.repeat(np.cumsum(c) - c, c) + np.repeat(start[at : at + len(c)], c)
-        keep = (group[q] != groups[m]) & ((size[q] < sizes[m]) | (group[q] < groups[m]))
-        q, m = q[keep], m[keep]
-        if not len(q):
-            continue
-        # one row for each query and group: its largest fitting member
-        order = np.lexsort((-sizes[m], groups[m], q))
-        q, m = q[order], m[order]
-        first = np.concatenate([[True], (q[1:] != q[:-1]) | (groups[m][1:] != groups[m][:-1])])
-        q, m = q[first], m[first]
-        yield owner[q], groups[m], size[q], sizes[m].astype(np.int32), member[m]
+    k = len(group)
+    chunk = max(1, 1_000_000 // k)
+    small, large = small.astype(np.int64), large.astype(np.int64)
+    for at in range(0, k - 1, chunk):
+        i, j = np.nonzero(np.arange(at, min(k - 1, at + chunk))[:, None] < np.arange(k)[None, :])
+        i += at
+        # the sets of the one that have a size the other can link with
+        low = np.maximum(np.minimum(small[i], small[j]), -(-np.maximum(small[i], small[j]) * percent // 100))
+        high = np.minimum(np.maximum(large[i], large[j]), np.minimum(large[i], large[j]) * 100 // percent)
+        keep = (large[i] * 100 >= small[j] * percent) & (large[j] * 100 >= small[i] * percent)
+        yield group[i[keep]], group[j[keep]], low[keep].astype(np.int32), high[keep].astype(np.int32)
 
 
 def _summed(found: list[tuple]) -> pa.RecordBatch:
-    """Meetings of many tokens, one row for each query and group."""
-    q, g, nq, most, probe = (np.concatenate(x) for x in zip(*found, strict=True))
-    order = np.lexsort((g, q))
-    q, g, nq, most, probe = (x[order] for x in (q, g, nq, most, probe))
-    head = np.flatnonzero(np.concatenate([[True], (q[1:] != q[:-1]) | (g[1:] != g[:-1])]))
-    shared = np.diff(np.append(head, len(q)))
-    return pa.RecordBatch.from_arrays(
-        [pa.array(q[head]), pa.array(g[head]), pa.array(shared.astype(np.int64)), pa.array(nq[head].astype(np.int32)), pa.array(np.maximum.reduceat(most, head).astype(np.int32)), pa.array(probe[head])],
-        names=["q", "g", "shared", "nq", "most", "probe"],
-    )
+    """Meetings of many tokens, one row for each pair of groups."""
+    a, b, small, large = (np.concatenate(x) for x in zip(*found, strict=True))
+    order = np.lexsort((b, a))
+    a, b, small, large = (x[order] for x in (a, b, small, large))
+    head = np.flatnonzero(np.concatenate([[True], (a[1:] != a[:-1]) | (b[1:] != b[:-1])])) if len(a) else np.zeros(0, dtype=np.int64)
+    shared = np.diff(np.append(head, len(a)))
+    least, most = (f.reduceat(x, head) if len(head) else x for f, x in ((np.minimum, small), (np.maximum, large)))
+    return pa.RecordBatch.from_arrays([pa.array(a[head]), pa.array(b[head]), pa.array(shared.astype(np.int64)), pa.array(least.astype(np.int32)), pa.array(most.astype(np.int32))], names=["a", "b", "shared", "small", "large"])
 
 
 def _merged(*edges: DataFrame) -> DataFrame:
@@ -400,39 +497,39 @@ def linked_components(docs: DataFrame, width: int = WIDTH, percent: int = THRESH
     named = real.groupBy(*key).agg(F.min("doc_id").alias("id"), F.first("mins").alias("mins"))
     named = stage(named, "jaccard-classes")
 
-    # groups: verified stars around the smallest class of each minimum hash
+    # groups: every pair within blocks of classes that share a minimum hash; of keys with the same classes one is enough
     mins = named.select("id", "n", F.posexplode("mins").alias("j", "low"))
-    stars = mins.groupBy("j", "low").agg(F.min("id").alias("v"), F.count("*").alias("k")).where("k > 1").select("j", "low", "v")
-    center = named.select(F.col("id").alias("v"), F.col("n").alias("nv"))
-    pairs = mins.join(stars, ["j", "low"]).where("id != v").select(F.col("id").alias("u"), "n", "v").distinct()
-    fits = (F.least("n", "nv") * 100) >= (F.greatest("n", "nv") * percent)
-    pairs = stage(pairs.join(center, "v").where(fits).select("u", "v"), "jaccard-stars")
-    ids = pairs.select(F.col("u").alias("id")).unionByName(pairs.select(F.col("v").alias("id")))
-    stars_linked = stage(verified(pairs, class_sets(docs, ids, width), percent), "jaccard-links")
-    groups = stage(components(stars_linked, "jaccard-groups").select(F.col("node").alias("id"), F.col("component").alias("g")), "jaccard-groups")
-
-    # the matrix and the groups it lets through
+    keys = mins.groupBy("j", "low").agg(F.count("*").alias("k"), F.bit_xor(F.xxhash64("id")).alias("same")).where("k > 1")
+    keys = keys.groupBy("k", "same").agg(F.min(F.struct("j", "low")).alias("x")).select("x.j", "x.low", "k")
+    members = stage(mins.join(keys, ["j", "low"]).select("j", "low", "id", "k"), "jaccard-members")
+    sets = class_sets(docs, members.select("id"), width)
+    with batch_rows(docs.sparkSession, BATCH_BLOCKS):
+        found = stage(block_links(packed(members.drop("k").join(sets, "id"), ["j", "low"], "items"), percent), "jaccard-blocks")
+    hubs = found.where("hub is not null").groupBy("j", "low").agg(F.max_by("hub", F.struct("degree", "hub")).alias("v"))
+    spokes = members.where(F.col("k") > BLOCK_SETS).join(hubs, ["j", "low"]).where("id != v").select(F.col("id").alias("u"), "v").distinct()
+    links = stage(_merged(found.where("u is not null"), verified(spokes, sets, percent)), "jaccard-links")
+    groups = stage(components(links, "jaccard-groups").select(F.col("node").alias("id"), F.col("component").alias("g")), "jaccard-groups")
+
+    # the matrix and the pairs of groups it lets through
     copies = real.select("doc_id", *key).join(named.select(*key, "id"), key).select(F.col("doc_id").alias("id"), (F.col("doc_id") == F.col("id")).alias("first"))
     copies = stage(copies.groupBy("id").agg(F.max("first").alias("first")), "jaccard-copies")
     frequent = frequent_bitmap(table.where("slice is not null"), total)
-    found = stage(matrix_candidates(docs, copies, groups, frequent, total, width, percent), "jaccard-candidates")
-    members = groups.groupBy("g").agg(F.count("*").alias("k")).where("k > 1").select("g").join(groups, "g").join(named.select("id", "n"), "id")
-    opened = found.join(members.select("g", F.col("id").alias("member"), F.col("n").alias("nm")), "g").join(named.select(F.col("id").alias("q"), "n"), "q")
-    probes = found.select(F.col("q").alias("u"), F.col("probe").alias("v"))
-    ids = probes.select(F.col("u").alias("id")).unionByName(probes.select(F.col("v").alias("id")))
-    probed = stage(verified(probes.distinct(), class_sets(docs, ids, width), percent), "jaccard-probed")
-    links = _merged(stars_linked, probed)
-    label = stage(components(links, "jaccard-joined"), "jaccard-labels")
-
-    # where the member met did not link, every member of a fitting size is compared
-    own = label.select(F.col("node").alias("q"), F.col("component").alias("cq"))
-    theirs = label.select(F.col("node").alias("g"), F.col("component").alias("cg"))
-    apart = opened.join(own, "q", "left").join(theirs, "g", "left").where("coalesce(cq, q) != coalesce(cg, g) and member != probe")
-    fits = (F.least("n", "nm") * 100 >= F.greatest("n", "nm") * percent) & (F.col("nm") >= F.col("n"))
-    rest = stage(apart.where(fits).select(F.col("q").alias("u"), F.col("member").alias("v")).distinct(), "jaccard-opened")
-    if not rest.isEmpty():
-        ids = rest.select(F.col("u").alias("id")).unionByName(rest.select(F.col("v").alias("id")))
-        label = stage(components(_merged(links, verified(rest, class_sets(docs, ids, width), percent)), "jaccard-joined"), "jaccard-labels")
+    pairs = stage(matrix_candidates(docs, copies, groups, frequent, total, width, percent), "jaccard-candidates")
+
+    # the larger group of a pair is opened for the members of the other
+    sizes = groups.groupBy("g").agg(F.count("*").alias("k"))
+    sized = lambda side: sizes.select(F.col("g").alias(side), F.col("k").alias(f"k{side}"))
+    both = pairs.join(sized("a"), "a", "left").join(sized("b"), "b", "left")
+    swap = F.coalesce("ka", F.lit(1)) > F.coalesce("kb", F.lit(1))
+    pairs = both.select(F.when(swap, F.col("b")).otherwise(F.col("a")).alias("asking"), F.when(swap, F.col("a")).otherwise(F.col("b")).alias("g"))
+    of = lambda rows, side: rows.join(groups.select(F.col("g").alias(side), "id"), side, "left").withColumn("id", F.coalesce("id", side))
+    queries = stage(of(pairs, "asking").select("g", "id").distinct(), "jaccard-queries")
+    targets = stage(of(pairs.select("g").distinct(), "g"), "jaccard-targets")
+    sets = class_sets(docs, queries.select("id").unionByName(targets.select("id")), width)
+    with batch_rows(docs.sparkSession, BATCH_BLOCKS):
+        blocks = packed(queries.join(sets, "id"), ["g"], "queries").join(packed(targets.join(sets, "id"), ["g"], "members"), "g")
+        opened = stage(opened_links(blocks, percent), "jaccard-opened")
+    label = stage(components(_merged(links, opened), "jaccard-joined"), "jaccard-labels")
 
     by_class = named.join(label, named["id"] == label["node"], "left").select(*key, F.coalesce("component", "id").alias("component"))
     out = rows.join(by_class, key, "left")
