@@ -20,7 +20,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from recollect.runtime import stage
+from recollect.runtime import small_side, stage
 
 SHINGLE = 5
 THRESHOLD = 0.75
@@ -75,5 +75,5 @@ def contained(docs: DataFrame, items: DataFrame, width: int = SHINGLE, threshold
 
 def drop_contaminated(docs: DataFrame, items: DataFrame, width: int = SHINGLE, threshold: float = THRESHOLD) -> DataFrame:
     """``docs`` without the documents that contain an item; every column is kept as it is."""
-    hit = stage(contained(docs, items, width, threshold).select("doc_id").distinct(), "contaminated")
+    hit = small_side(stage(contained(docs, items, width, threshold).select("doc_id").distinct(), "contaminated"), BROADCAST_SHINGLES)
     return docs.join(hit, docs["doc_id"] == hit["doc_id"], "left_anti")

@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from recollect.runtime import bound_batches, stage
+from recollect.runtime import bound_batches, small_side, stage
 
 #: (modulus, radix) of the two hashes; both moduli are primes below 2**31, so products fit 64 bits.
 HASHES = ((2147483647, 1000003), (2147483629, 69069))
@@ -165,7 +165,7 @@ def _normalised(text):
 def drop_copies(docs: DataFrame, hashes=HASHES) -> DataFrame:
     """``docs`` with its own columns, one row of each group of equal texts."""
     groups = stage(exact_groups(docs, hashes), "exact-groups")
-    lost = groups.where(~F.col("kept")).select("doc_id").distinct()
+    lost = small_side(stage(groups.where(~F.col("kept")).select("doc_id").distinct(), "exact-lost"), BROADCAST_ROWS)
     same = docs["doc_id"].eqNullSafe(lost["doc_id"])
     whole = docs.join(lost, same, "left_anti")
     split = lost.join(groups.where("kept").select(F.col("doc_id").alias("stays")), F.col("doc_id").eqNullSafe(F.col("stays")), "left_semi")
