@@ -12,10 +12,11 @@ the threshold; the result is each document's set size and the smallest doc_id of
    members' prefixes. A prefix is the ``n - ceil(t * n) + 1`` first shingles in an order that puts shingles the sketch
    found frequent last, then goes by hash; two sets that link share a token of both prefixes, so no link is lost.
    For two groups the matrix counts the tokens their unions share, which bounds the overlap of any two members;
-   only pairs of groups whose bound reaches what the sizes ask for qualify.
-4. A qualifying group is opened for the members of the other: they are packed into blocks, a block's token union
-   bounds each query once more, and the queries that pass are compared with all its members, on the whole sets. All verified
-   links give the components.
+   only pairs of groups whose bound reaches what the sizes ask for qualify. Groups that meet in a token of more than
+   ``PAIRED_GROUPS`` groups are not paired but form a cluster, named by its smallest group; a cluster qualifies as it is.
+4. A qualifying group is opened for the members of the other, a cluster for the members of all its groups but the largest:
+   they are packed into blocks, a block's token union bounds each query once more, and the queries that pass are compared with
+   all its members, on the whole sets. All verified links give the components.
 
 The order only has to be the same everywhere, so a sketch of fixed size serves any corpus: a frequent shingle it misses
 costs time, not links. Rows are classes, groups, or pairs of groups, never pairs of members.
@@ -40,15 +41,19 @@ from recollect.runtime import batch_rows, bound_batches, small_side, stage
 
 WIDTH = 5
 THRESHOLD_PERCENT = 75
-MIN_HASHES = 4
+MIN_HASHES = 2
 #: Counters of the shingle sketch, by the hash's top bits; the frequent ones become a bitmap of 512 KiB.
 SKETCH_BITS = 22
 SLICES = 64
 BUCKET_BITS = 12
 #: Fixed-width rows (16 to 24 bytes) broadcast at most; more are joined by shuffle.
 BROADCAST_ROWS = 200_000
+#: Prefix tokens, or pairs of groups, that a task holds before it hands them on.
+FLUSH_TOKENS = 500_000
 #: Shingles of the corpus for each task that meets the matrix's rows; a quarter of them are in prefixes.
 TOKENS_PER_TASK = 4_000_000
+#: Groups with one token that the matrix still pairs; more of them are one cluster, which is opened as a whole.
+PAIRED_GROUPS = 32
 #: Classes and shingles of a block at most (a single larger set is a block of its own), and blocks in an Arrow batch.
 BLOCK_SETS = 128
 BLOCK_TOKENS = 1 << 16
@@ -313,8 +318,24 @@ def block_links(blocks: DataFrame, percent: int = THRESHOLD_PERCENT) -> DataFram
     return blocks.select("j", "low", "items").mapInArrow(run, "j int, low long, u long, v long, hub long, degree long")
 
 
+def _forest(link: np.ndarray) -> list[tuple[int, int]]:
+    """Cells (row, column) of a link matrix that connect what all its links connect."""
+    out, rows, columns = [], set(np.flatnonzero(link.any(axis=1)).tolist()), set(np.flatnonzero(link.any(axis=0)).tolist())
+    while rows:
+        todo = [(rows.pop(), True)]
+        while todo:
+            x, is_row = todo.pop()
+            left = columns if is_row else rows
+            for y in np.flatnonzero(link[x] if is_row else link[:, x]).tolist():
+                if y in left:
+                    left.remove(y)
+                    todo.append((y, not is_row))
+                    out.append((x, y) if is_row else (y, x))
+    return out
+
+
 def opened_links(blocks: DataFrame, percent: int = THRESHOLD_PERCENT) -> DataFrame:
-    """u, v: for each row (queries, members) one link of every query that links with a member."""
+    """u, v: for each row (queries, members) links that connect all that its links connect, one for each set at most."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -324,13 +345,12 @@ def opened_links(blocks: DataFrame, percent: int = THRESHOLD_PERCENT) -> DataFra
                 m_ids, m_sets, m_n = _sets_of(members)
                 opened, shared = _overlaps(q_sets, m_sets, percent)
                 if len(opened):
-                    link = _linked(shared, q_n[opened], m_n, percent)
-                    has = link.any(axis=1)
-                    u += q_ids[opened][has].tolist()
-                    v += m_ids[link.argmax(axis=1)][has].tolist()
+                    cells = _forest(_linked(shared, q_n[opened], m_n, percent))
+                    u += [int(q_ids[opened[i]]) for i, _ in cells]
+                    v += [int(m_ids[j]) for _, j in cells]
             yield pa.RecordBatch.from_arrays([pa.array(u, pa.int64()), pa.array(v, pa.int64())], names=["u", "v"])
 
-    return blocks.select("queries", "members").mapInArrow(run, "u long, v long")
+    return blocks.select("queries", "members").mapInArrow(run, "u long, v long").where("u != v")
 
 
 def packed(rows: DataFrame, key: list[str], name: str) -> DataFrame:
@@ -359,7 +379,7 @@ def verified(pairs: DataFrame, sets: DataFrame, percent: int = THRESHOLD_PERCENT
 
 
 def matrix_candidates(docs: DataFrame, classes: DataFrame, groups: DataFrame, frequent: bytes, total: int, width: int = WIDTH, percent: int = THRESHOLD_PERCENT) -> DataFrame:
-    """a, b: the pairs of groups whose bound qualifies.
+    """a, b, cluster: the pairs of groups whose bound qualifies, and the groups b of each cluster a.
 
     ``classes``: id, first (whether it names a class) of every document; ``groups``: id, g of those in a group of several;
     ``total``: shingles of the corpus.
@@ -403,7 +423,7 @@ def matrix_candidates(docs: DataFrame, classes: DataFrame, groups: DataFrame, fr
                 group.append(np.full(k, g, dtype=np.int64))
                 size.append(np.full(k, len(s), dtype=np.int32))
                 held += k
-            if held > 2_000_000:
+            if held > FLUSH_TOKENS:
                 yield flush(tokens, owner, group, size)
                 tokens, owner, group, size, held = [], [], [], [], 0
         if held:
@@ -430,12 +450,19 @@ def matrix_candidates(docs: DataFrame, classes: DataFrame, groups: DataFrame, fr
         tail = np.append(head[1:], len(t))
         found: list[tuple] = []
         held = 0
-        many = tail - head > 1
+        many = (tail - head > 1) & (tail - head <= PAIRED_GROUPS)
+        crowd = np.flatnonzero(tail - head > PAIRED_GROUPS)
+        if len(crowd):  # entries are by token and group, so a run starts with its smallest group
+            times = (tail - head)[crowd]
+            at = np.arange(times.sum()) - np.repeat(np.cumsum(times) - times, times) + np.repeat(head[crowd], times)
+            both = np.unique(np.stack([np.repeat(g[head[crowd]], times), g[at]]), axis=1)
+            zero = pa.array(np.zeros(both.shape[1], dtype=np.int32))
+            yield pa.RecordBatch.from_arrays([pa.array(both[0]), pa.array(both[1]), pa.array(np.zeros(both.shape[1], dtype=np.int64)), zero, zero], names=["a", "b", "shared", "small", "large"])
         for a, b in zip(head[many].tolist(), tail[many].tolist(), strict=True):
             for rows in _meetings(g[a:b], small[a:b], large[a:b], percent):
                 found.append(rows)
                 held += len(rows[0])
-                if held > 2_000_000:
+                if held > FLUSH_TOKENS:
                     yield _summed(found)
                     found, held = [], 0
         if found:
@@ -444,11 +471,13 @@ def matrix_candidates(docs: DataFrame, classes: DataFrame, groups: DataFrame, fr
     parts = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), total // TOKENS_PER_TASK + 1)
     cells = rows.mapInArrow(cut, "bucket int, tokens binary, owner binary, grp binary, size binary").repartition(parts, "bucket")
     met = cells.mapInArrow(meet, "a long, b long, shared long, small int, large int")
-    bound = met.groupBy("a", "b").agg(F.sum("shared").alias("shared"), F.min("small").alias("small"), F.max("large").alias("large"))
+    # rows of clusters share 0; pairs share a token at least
+    met = met.withColumn("cluster", F.col("shared") == 0)
+    bound = met.groupBy("a", "b", "cluster").agg(F.sum("shared").alias("shared"), F.min("small").alias("small"), F.max("large").alias("large"))
     # overlap <= shared + what lies behind the shorter-reaching prefix; least for the smallest and the largest set
     total = F.col("small") + F.col("large")
     asked = F.ceil(total * percent / (100.0 + percent)) - (F.ceil(F.col("large") * percent / 100.0) - 1) - 1
-    return bound.where(F.col("shared") >= asked).select("a", "b")
+    return bound.where(F.col("cluster") | (F.col("shared") >= asked)).select("a", "b", "cluster")
 
 
 def _meetings(group: np.ndarray, small: np.ndarray, large: np.ndarray, percent: int = THRESHOLD_PERCENT) -> Iterator[tuple]:
@@ -516,18 +545,24 @@ def linked_components(docs: DataFrame, width: int = WIDTH, percent: int = THRESH
     frequent = frequent_bitmap(table.where("slice is not null"), total)
     pairs = stage(matrix_candidates(docs, copies, groups, frequent, total, width, percent), "jaccard-candidates")
 
-    # the larger group of a pair is opened for the members of the other
+    # the larger group of a pair is opened for the members of the other, a cluster for all but its largest group
     sizes = groups.groupBy("g").agg(F.count("*").alias("k"))
     sized = lambda side: sizes.select(F.col("g").alias(side), F.col("k").alias(f"k{side}"))
-    both = pairs.join(sized("a"), "a", "left").join(sized("b"), "b", "left")
-    swap = F.coalesce("ka", F.lit(1)) > F.coalesce("kb", F.lit(1))
-    pairs = both.select(F.when(swap, F.col("b")).otherwise(F.col("a")).alias("asking"), F.when(swap, F.col("a")).otherwise(F.col("b")).alias("g"))
-    of = lambda rows, side: rows.join(groups.select(F.col("g").alias(side), "id"), side, "left").withColumn("id", F.coalesce("id", side))
-    queries = stage(of(pairs, "asking").select("g", "id").distinct(), "jaccard-queries")
-    targets = stage(of(pairs.select("g").distinct(), "g"), "jaccard-targets")
+    met = pairs.join(sized("b"), "b", "left").withColumn("kb", F.coalesce("kb", F.lit(1)))
+    two = met.where(~F.col("cluster")).join(sized("a"), "a", "left")
+    swap = F.coalesce("ka", F.lit(1)) > F.col("kb")
+    two = two.select(F.when(swap, F.col("b")).otherwise(F.col("a")).alias("asking"), F.when(swap, F.col("a")).otherwise(F.col("b")).alias("g"))
+    crowd = stage(met.where("cluster").select("a", F.col("b").alias("g"), "kb"), "jaccard-clusters")
+    largest = crowd.groupBy("a").agg(F.max_by("g", F.struct("kb", "g")).alias("most"))
+    pair_job, crowd_job = F.concat(F.lit("g"), F.col("g").cast("string")), F.concat(F.lit("c"), F.col("a").cast("string"))
+    asking = two.select(pair_job.alias("job"), F.col("asking").alias("g")).unionByName(crowd.join(largest, "a").where("g != most").select(crowd_job.alias("job"), "g"))
+    asked = two.select(pair_job.alias("job"), "g").distinct().unionByName(crowd.select(crowd_job.alias("job"), "g"))
+    of = lambda rows: rows.join(groups, "g", "left").select("job", F.coalesce("id", "g").alias("id"))
+    queries = stage(of(asking).distinct(), "jaccard-queries")
+    targets = stage(of(asked), "jaccard-targets")
     sets = class_sets(docs, queries.select("id").unionByName(targets.select("id")), width)
     with batch_rows(docs.sparkSession, BATCH_BLOCKS):
-        blocks = packed(queries.join(sets, "id"), ["g"], "queries").join(packed(targets.join(sets, "id"), ["g"], "members"), "g")
+        blocks = packed(queries.join(sets, "id"), ["job"], "queries").join(packed(targets.join(sets, "id"), ["job"], "members"), "job")
         opened = stage(opened_links(blocks, percent), "jaccard-opened")
     label = stage(components(_merged(links, opened), "jaccard-joined"), "jaccard-labels")
 

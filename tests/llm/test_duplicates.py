@@ -150,6 +150,7 @@ def test_jaccard_without_broadcast_or_groups(spark, monkeypatch):
     """No minimum hashes: every link has to come from the matrix."""
     monkeypatch.setattr(ngram_join, "MIN_HASHES", 0)
     monkeypatch.setattr(ngram_join, "BROADCAST_ROWS", 0)
+    monkeypatch.setattr(ngram_join, "PAIRED_GROUPS", 5)
     rows = [r for r in near_rows() if r[0] < 40 or r[0] >= 160]
     want = brute_components(brute_sets(rows))
     out = ngram_join.linked_components(frame(spark, rows)).collect()
