@@ -13,8 +13,9 @@ K1, B = 1.2, 0.75
 
 def postings(chunks: DataFrame, *columns: str) -> DataFrame:
     """chunk_id, term, tf, dl over the named text columns."""
-    tokens = index_tokens(F.concat_ws(" ", *columns))
-    terms = chunks.select("chunk_id", F.size(tokens).alias("dl"), F.explode(tokens).alias("term"))
+    # the tokens are a column of their own below the explode; beside it they would be made again for each of them
+    split = chunks.select("chunk_id", index_tokens(F.concat_ws(" ", *columns)).alias("tokens"))
+    terms = split.select("chunk_id", F.size("tokens").alias("dl"), F.explode("tokens").alias("term"))
     return terms.groupBy("chunk_id", "term").agg(F.count("*").alias("tf"), F.max("dl").alias("dl"))
 
 
@@ -45,8 +46,8 @@ def bm25(index: DataFrame, stats: DataFrame, terms: DataFrame) -> DataFrame:
 
 def sparse_idf(index: DataFrame, stats: DataFrame, queries: DataFrame, avgdl: float = 256.0) -> DataFrame:
     """query_id, chunk_id, score: saturated term weights on both sides times the store's inverse document frequency."""
-    tokens = index_tokens(F.col("query"))
-    q = queries.select("query_id", F.size(tokens).alias("ql"), F.explode(tokens).alias("term")).groupBy("query_id", "term").agg(F.count("*").alias("qtf"), F.max("ql").alias("ql"))
+    split = queries.select("query_id", index_tokens(F.col("query")).alias("tokens"))
+    q = split.select("query_id", F.size("tokens").alias("ql"), F.explode("tokens").alias("term")).groupBy("query_id", "term").agg(F.count("*").alias("qtf"), F.max("ql").alias("ql"))
     saturated = lambda tf, dl: tf * (K1 + 1) / (tf + K1 * (1 - B + B * dl / avgdl))
     asked = stage(index.join(q.select("term").distinct(), "term", "left_semi"), "postings")
     df = asked.groupBy("term").agg(F.count("*").alias("df")).crossJoin(F.broadcast(stats.select("n")))
