@@ -40,7 +40,7 @@ def ts(*a):
         ("after June 2024", (ts(2024, 6, 1), None)),
         ("after the migration, in 2023", (ts(2023, 1, 1), None)),
         ("until today", (None, ts(2026, 10, 19))),
-        ("2023-13-45", None),
+        ("2023-13-45", (ts(2023, 1, 1), ts(2024, 1, 1))),
         ("march through the code", None),
         ("from the 3 layers", None),
         ("last weekend", None),
