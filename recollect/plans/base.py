@@ -62,7 +62,7 @@ def vectors(spark: SparkSession, d: str) -> DataFrame:
 
 
 def query_vectors(spark: SparkSession, d: str) -> DataFrame:
-    return vectors(spark, d).where("point_id < 20").select(F.col("point_id").alias("query_id"), "label", "dense")
+    return vectors(spark, d).where("point_id % 50 = 0").select(F.col("point_id").alias("query_id"), "label", "dense")
 
 
 def markdown(spark: SparkSession, d: str) -> DataFrame:
