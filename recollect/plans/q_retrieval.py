@@ -161,7 +161,7 @@ def md_search_auto(spark, d):
 
 def _candidates(spark, d):
     """Points as candidates: a query for each session, ranked by value."""
-    p = points(spark, d).where("point_id < 4000")
+    p = points(spark, d)
     order = rank.Window.partitionBy("query_id").orderBy(F.col("score").desc(), "point_id")
     return p.select(F.col("session_id").alias("query_id"), "point_id", F.col("value").alias("score"), "ts", "text").withColumn("rank", F.row_number().over(order)).where("rank <= 12")
 

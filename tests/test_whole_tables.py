@@ -2,24 +2,36 @@
 
 import re
 
+import duckdb
 import pytest
 
 from recollect.plans import catalog
-from tests.test_oracles import SF, TABLES, same
+from tests.test_oracles import SF, TABLES, norm, same
 
 ASKED = [n for n in ("knn_topk", "knn_dot", "knn_euclid", "knn_scoped_filtered", "bm25_topk", "bm25_root_filter", "sparse_idf_topk", "hybrid_rrf", "md_search_auto") if n in catalog.ORACLES]
 
 
-@pytest.fixture(scope="module")
-def con():
-    import duckdb
+CANDIDATES = [n for n in ("temporal_window_halfopen", "time_range_inclusive", "bucket_spread", "temporal_keep_unknown", "temporal_fallback_empty", "dedup_jaccard_greedy", "jaccard_pairs", "rerank_overlap") if n in catalog.ORACLES]
+LARGER = SF.replace("0.001", "0.01")  # 10,000 events
+
 
+def tables(d):
     c = duckdb.connect()
     for t in TABLES:
-        c.sql(f"create view {t} as select * from '{SF}/{t}.parquet'")
+        c.sql(f"create view {t} as select * from '{d}/{t}.parquet'")
     return c
 
 
+@pytest.fixture(scope="module")
+def con():
+    return tables(SF)
+
+
+@pytest.fixture(scope="module")
+def larger():
+    return tables(LARGER)
+
+
 @pytest.mark.parametrize("name", ASKED)
 def test_queries_with_ids_divisible_by_50(spark, con, name):
     sql, n = re.subn(r"(vec_id|item_id) < (10|14|20)\b", r"\1 % 50 = 0", catalog.ORACLES[name])
@@ -30,3 +42,23 @@ def test_queries_with_ids_divisible_by_50(spark, con, name):
 def test_recall_pipeline_asks_ids_divisible_by_50(spark):
     ids = {r.query_id for r in catalog.QUERIES["recall_pipeline"](spark, SF).select("query_id").distinct().collect()}
     assert ids and all(i % 50 == 0 for i in ids)
+
+
+def equal(spark, con, d, name, sql):
+    df, rel = catalog.QUERIES[name](spark, d), con.sql(sql)
+    at = [rel.columns.index(c) for c in df.columns]
+    got = sorted((tuple(norm(v) for v in r) for r in df.collect()), key=repr)
+    assert got == sorted((tuple(norm(r[i]) for i in at) for r in rel.fetchall()), key=repr)
+
+
+@pytest.mark.parametrize("name", CANDIDATES)
+def test_candidates_come_from_all_points(spark, larger, name):
+    sql, n = re.subn(r" WHERE point_id < 4000", "", catalog.ORACLES[name])
+    assert n
+    equal(spark, larger, LARGER, name, sql)
+
+
+def test_entity_boost_has_all_sessions_top_12(spark, larger):
+    got = {(r.query_id, r.point_id) for r in catalog.QUERIES["entity_boost"](spark, LARGER).collect()}
+    want = larger.sql("select user_id, event_id from events qualify row_number() over (partition by user_id order by value desc, event_id) <= 12")
+    assert got == set(want.fetchall())
