@@ -88,7 +88,7 @@ def forget_apply(spark, d):
 @query(f"WITH {POINTS} SELECT point_id, substr(text, 1, 12) AS short, CASE WHEN length(text) <= 10 THEN text ELSE substr(text, 1, 10) || '…' END AS summary FROM points WHERE point_id % 50 = 1")
 def text_truncation(spark, d):
     t = F.col("text")
-    return points(spark, d).where("point_id % 50 = 1").select("point_id", T.truncated(t, 12).alias("short"), T.summary(t, 10).alias("summary"))
+    return points(spark, d).select("point_id", T.truncated(t, 12).alias("short"), T.summary(t, 10).alias("summary"))
 
 
 @query(r"SELECT page_id, regexp_replace(replace(url, '://', '://user:pw@'), '^([A-Za-z][A-Za-z0-9+.-]*://)[^@/]*@', '\1') AS clean FROM pages")

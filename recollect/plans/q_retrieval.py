@@ -243,7 +243,7 @@ _LEADS = ", ".join(f"'{w}'" for w in gate.QUESTION_LEADS)
 @query(f"SELECT t, {_CLOSER} AS skip FROM (VALUES {_TURN_VALUES}) v(t) UNION ALL SELECT text, {_CLOSER.replace('lower(t)', 'lower(text)')} FROM conversations WHERE conv_id % 10 = 0")
 def gate_store(spark, d):
     fixed = spark.createDataFrame([(t,) for t in _TURNS], "t string")
-    own = table(spark, d, "conversations").where("conv_id % 10 = 0").select(F.col("text").alias("t"))
+    own = table(spark, d, "conversations").select(F.col("text").alias("t"))
     return fixed.unionByName(own).select("t", gate.skip_store(F.col("t")).alias("skip"))
 
 

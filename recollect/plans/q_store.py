@@ -163,7 +163,7 @@ _GROUPS = f"""{POINTS}, g AS (SELECT point_id, session_id % 20 AS grp, text, ts,
   CASE WHEN count(DISTINCT chunk_index) = 1 AND count(chunk_index) = count(*) THEN max(chunk_index) END AS chunk_index, first(session_id ORDER BY ts DESC NULLS LAST, pos) AS session_id FROM g GROUP BY grp)
 SELECT grp, point_id, text, ts, importance, chunk_index, session_id, coalesce((SELECT string_agg(CAST(s AS VARCHAR), ',' ORDER BY s) FROM (SELECT DISTINCT g.session_id AS s FROM g WHERE g.grp = one.grp AND g.session_id <> one.session_id)), '') AS merged_session_ids FROM one""")
 def merge_payloads(spark, d):
-    p = points(spark, d).where("point_id < 400")
+    p = points(spark, d)
     rows = p.select("point_id", (F.col("session_id") % 20).alias("grp"), "text", "ts", "importance", (F.col("point_id") % 3).cast("int").alias("chunk_index"), "session_id", F.col("point_id").alias("pos"))
     return store.merged_payloads(rows, "grp")
 
@@ -171,7 +171,7 @@ def merge_payloads(spark, d):
 @query(f"WITH {POINTS}, r AS (SELECT point_id, text, first_value(point_id) OVER w AS keeper, row_number() OVER w AS n FROM points WHERE point_id < 3000 WINDOW w AS (PARTITION BY text ORDER BY coalesce(ts, 0.0) DESC, point_id)) SELECT point_id, keeper AS superseded_by, true AS archived FROM r WHERE n > 1")
 def supersede_flags(spark, d):
     w = Window.partitionBy("text").orderBy(F.coalesce("ts", F.lit(0.0)).desc(), "point_id")
-    r = points(spark, d).where("point_id < 3000").select("point_id", F.first("point_id").over(w).alias("superseded_by"), F.row_number().over(w).alias("n"))
+    r = points(spark, d).select("point_id", F.first("point_id").over(w).alias("superseded_by"), F.row_number().over(w).alias("n"))
     return r.where("n > 1").select("point_id", "superseded_by", F.lit(True).alias("archived"))
 
 

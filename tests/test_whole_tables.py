@@ -62,3 +62,18 @@ def test_entity_boost_has_all_sessions_top_12(spark, larger):
     got = {(r.query_id, r.point_id) for r in catalog.QUERIES["entity_boost"](spark, LARGER).collect()}
     want = larger.sql("select user_id, event_id from events qualify row_number() over (partition by user_id order by value desc, event_id) <= 12")
     assert got == set(want.fetchall())
+
+
+@pytest.mark.parametrize(
+    ("name", "cut", "d"),
+    [
+        ("merge_payloads", " WHERE point_id < 400", SF),
+        ("supersede_flags", " WHERE point_id < 3000", LARGER),
+        ("breaker_state", " WHERE event_id < 600", SF),
+        ("gate_store", " WHERE conv_id % 10 = 0", SF),
+        ("text_truncation", " WHERE point_id % 50 = 1", SF),
+    ],
+)
+def test_whole_table(spark, name, cut, d):
+    assert cut in catalog.ORACLES[name]
+    equal(spark, tables(d), d, name, catalog.ORACLES[name].replace(cut, ""))
