@@ -35,6 +35,8 @@ MIN_CONTEXTS = 3
 DISCLOSURE = 0.9
 #: Candidate terms sent to the executors as a set, up to this many; more are joined by shuffle.
 BROADCAST_TERMS = 100_000
+#: Counts that a task holds before it passes them on.
+HELD_COUNTS = 50_000
 
 _DOMAIN = re.compile(r"[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
 _LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
@@ -90,6 +92,11 @@ def base_spans(text: str | None) -> list[tuple[str, int, int]]:
     return out
 
 
+def terms_of(text: str) -> list[tuple[str, int, int]]:
+    """(term, start, end) of every term of the text."""
+    return [(m.group().lower(), m.start(), m.end()) for m in _TERM.finditer(text)]
+
+
 def contexts(text: str, spans: list[tuple[str, int, int]]) -> list[tuple[int, int, str, int, int]]:
     """(entity, context, term, start, end): the terms within a few words of each entity, outside every span."""
     out = []
@@ -144,21 +151,28 @@ def scan(docs: DataFrame) -> DataFrame:
 
 
 def document_counts(docs: DataFrame, terms: DataFrame, bound: int = BROADCAST_TERMS) -> DataFrame:
-    """term, n_term: in how many rows of ``docs`` each of ``terms`` stands."""
-    if terms.count() <= bound:
-        wanted = frozenset(r["term"] for r in terms.collect())  # at most `bound` words
+    """term, n_term: in how many rows of ``docs`` each of ``terms`` stands. The bound decides how they meet, not what is a term."""
+    wanted = frozenset(r["term"] for r in terms.collect()) if terms.count() <= bound else None  # at most `bound` words
 
-        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            counts: Counter[str] = Counter()
-            for batch in batches:
-                for text in batch.column(0).to_pylist():
-                    counts.update(wanted & set(_TERM.findall((text or "").lower())))
-            yield pa.RecordBatch.from_arrays([pa.array(list(counts), pa.string()), pa.array(list(counts.values()), pa.int64())], names=["term", "n"])
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def flushed() -> pa.RecordBatch:
+            out = pa.RecordBatch.from_arrays([pa.array(list(counts), pa.string()), pa.array(list(counts.values()), pa.int64())], names=["term", "n"])
+            counts.clear()
+            return out
+
+        counts: Counter[str] = Counter()
+        for batch in batches:
+            for text in batch.column(0).to_pylist():
+                found = {t for t, _, _ in terms_of(text or "")}
+                counts.update(found if wanted is None else wanted & found)
+                if len(counts) >= HELD_COUNTS and wanted is None:
+                    yield flushed()
+        yield flushed()
 
-        found = docs.select(F.col("text").cast("string").alias("text")).mapInArrow(run, "term string, n long")
-        return found.groupBy("term").agg(F.sum("n").alias("n_term"))
-    found = docs.select(F.explode(F.array_distinct(F.regexp_extract_all(F.lower("text"), F.lit(r"[\p{L}\p{M}]{3,}"), F.lit(0)))).alias("term"))
-    return found.join(terms, "term", "left_semi").groupBy("term").agg(F.count("*").alias("n_term"))
+    found = docs.select(F.col("text").cast("string").alias("text")).mapInArrow(run, "term string, n long")
+    if wanted is None:
+        found = found.join(terms, "term", "left_semi")
+    return found.groupBy("term").agg(F.sum("n").alias("n_term"))
 
 
 def disclosing(docs: DataFrame, near: DataFrame, total: int, threshold: float = DISCLOSURE, support: int = MIN_CONTEXTS) -> DataFrame:
@@ -206,4 +220,4 @@ def sanitise(text: str, spans: str) -> str:
     return "".join(out) + text[at:]
 
 
-__all__ = ["base_spans", "contexts", "disclosing", "document_counts", "find", "sanitise", "scan"]
+__all__ = ["base_spans", "contexts", "disclosing", "document_counts", "find", "sanitise", "scan", "terms_of"]
