@@ -1,14 +1,14 @@
 """Personal data: fixed patterns, and terms that give the protected entity away.
 
 The patterns find e-mail addresses, IP addresses, payment cards and phone numbers. The method then estimates from the
-whole corpus how strongly a term near a protected entity reveals it: with document counts n,
+whole corpus how strongly a term in the documents of a protected entity reveals it: with counts n of whole documents,
 ``PMI = log(n(e,t) * N / (n(e) * n(t)))`` is the information that term t gives about entity e, and
 ``IC = log(N / n(e))`` what there is to know about it. A term with ``PMI / IC`` at or above the disclosure
-threshold, seen beside the entity in several different contexts, is a further span (kind ``term``) wherever it stands beside that entity.
+threshold, in several documents of the entity with different words, is a further span (kind ``term``) wherever it stands in a document that holds the entity.
 ``sanitise`` replaces base spans by their kind (generalisation) and removes disclosing terms.
 
 Defined cases: null counts as empty; matches that fail their test (a part over 255, digit counts, Luhn) are
-dropped without another try; spans are code points, end exclusive; repeated rows get equal rows; equal contexts (copies) count once as support;
+dropped without another try; spans are code points, end exclusive; repeated rows get equal rows; documents with equal words (copies) count once as support;
 with an empty table there are no statistics and no rows; extra columns are ignored.
 """
 
@@ -25,15 +25,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from recollect.runtime import bound_batches, stage
+from recollect.runtime import bound_batches, small_side, stage
 
 KINDS = ("email", "ip", "card", "phone")
-#: Words on either side of an entity that count as its context.
-CONTEXT_WORDS = 8
-CONTEXT_CHARS = 400
 MIN_CONTEXTS = 3
 DISCLOSURE = 0.9
-#: Candidate terms sent to the executors as a set, up to this many; more are joined by shuffle.
+#: Candidate terms, and disclosing pairs, sent to the executors as a set, up to this many; more are joined by shuffle.
 BROADCAST_TERMS = 100_000
 #: Counts that a task holds before it passes them on.
 HELD_COUNTS = 50_000
@@ -97,53 +94,64 @@ def terms_of(text: str) -> list[tuple[str, int, int]]:
     return [(m.group().lower(), m.start(), m.end()) for m in _TERM.finditer(text)]
 
 
-def contexts(text: str, spans: list[tuple[str, int, int]]) -> list[tuple[int, int, str, int, int]]:
-    """(entity, context, term, start, end): the terms within a few words of each entity, outside every span."""
-    out = []
-    for kind, start, end in spans:
-        value = text[start:end].lower()
-        if kind in ("card", "phone"):
-            value = "".join(filter(str.isdigit, value))
-        entity = xxhash.xxh64_intdigest(f"{kind}:{value}".encode("utf-8", "surrogatepass")) - (1 << 63)
-        low = max(0, start - CONTEXT_CHARS)
-        before = [(m.group().lower(), m.start() + low, m.end() + low) for m in _TERM.finditer(text[low:start])][-CONTEXT_WORDS:]
-        after = [(m.group().lower(), m.start() + end, m.end() + end) for m in _TERM.finditer(text[end : end + CONTEXT_CHARS])][:CONTEXT_WORDS]
-        near = [t for t in before + after if not any(a < t[2] and t[1] < b for _, a, b in spans)]
-        context = xxhash.xxh64_intdigest(" ".join(t[0] for t in near).encode("utf-8", "surrogatepass")) - (1 << 63)
-        out += [(entity, context, *t) for t in near]
+def outside(text: str, spans: list[tuple[str, int, int]]) -> list[tuple[str, int, int]]:
+    """(term, start, end) of every term that overlaps no span."""
+    edges = sorted((a, b) for _, a, b in spans)
+    out, i, far = [], 0, 0
+    for term, start, end in terms_of(text):
+        while i < len(edges) and edges[i][0] < end:
+            far = max(far, edges[i][1])
+            i += 1
+        if far <= start:
+            out.append((term, start, end))
     return out
 
 
+def _hash(text: str) -> int:
+    return xxhash.xxh64_intdigest(text.encode("utf-8", "surrogatepass")) - (1 << 63)
+
+
+def entities(text: str, spans: list[tuple[str, int, int]]) -> list[int]:
+    """The protected entities of the text, each once."""
+    values = [(kind, text[start:end].lower()) for kind, start, end in spans]
+    return sorted({_hash(f"{k}:{''.join(filter(str.isdigit, v)) if k in ('card', 'phone') else v}") for k, v in values})
+
+
 def _written(spans: list[tuple[str, int, int]]) -> str:
     return ",".join(f"{k}:{a}:{b}" for k, a, b in spans)
 
 
-_NEAR = T.StructType([T.StructField("entity", T.LongType()), T.StructField("context", T.LongType()), T.StructField("term", T.StringType()), T.StructField("start", T.LongType()), T.StructField("stop", T.LongType())])
+def _parsed(written: str) -> list[tuple[str, int, int]]:
+    return [(k, int(a), int(b)) for k, a, b in (s.split(":") for s in written.split(",") if s)]
+
+
 _SCAN = T.StructType(
     [
         T.StructField("doc_id", T.LongType()),
         *[T.StructField(f"n_{k}", T.LongType()) for k in KINDS],
         T.StructField("base_sha256", T.StringType()),
         T.StructField("base", T.StringType()),
-        T.StructField("near", T.ArrayType(_NEAR)),
+        T.StructField("entities", T.ArrayType(T.LongType())),
+        T.StructField("context", T.LongType()),
+        T.StructField("text", T.StringType()),
     ]
 )
 
 
 def scan(docs: DataFrame) -> DataFrame:
-    """Base spans of every row and the terms beside them."""
+    """Base spans of every row; of rows with any, also the entities, a hash of the words outside the spans, and the text."""
     bound_batches(docs.sparkSession)
-    near_type = pa.list_(pa.struct([("entity", pa.int64()), ("context", pa.int64()), ("term", pa.string()), ("start", pa.int64()), ("stop", pa.int64())]))
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = [t or "" for t in batch.column(1).to_pylist()]
             spans = [base_spans(t) for t in texts]
             counts = [Counter(k for k, _, _ in s) for s in spans]
             written = [_written(s) for s in spans]
-            near = [[dict(zip(("entity", "context", "term", "start", "stop"), x, strict=True)) for x in contexts(t, s)] for t, s in zip(texts, spans, strict=True)]
+            own = [entities(t, s) for t, s in zip(texts, spans, strict=True)]
+            context = [_hash(" ".join(w for w, _, _ in outside(t, s))) if s else None for t, s in zip(texts, spans, strict=True)]
+            held = [t if s else None for t, s in zip(texts, spans, strict=True)]
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), *[pa.array([c[k] for c in counts], pa.int64()) for k in KINDS], pa.array([hashlib.sha256(w.encode()).hexdigest() for w in written], pa.string()), pa.array(written, pa.string()), pa.array(near, near_type)],
+                [batch.column(0), *[pa.array([c[k] for c in counts], pa.int64()) for k in KINDS], pa.array([hashlib.sha256(w.encode()).hexdigest() for w in written], pa.string()), pa.array(written, pa.string()), pa.array(own, pa.list_(pa.int64())), pa.array(context, pa.int64()), pa.array(held, pa.string())],
                 names=_SCAN.fieldNames(),
             )
 
@@ -175,16 +183,41 @@ def document_counts(docs: DataFrame, terms: DataFrame, bound: int = BROADCAST_TE
     return found.groupBy("term").agg(F.sum("n").alias("n_term"))
 
 
-def disclosing(docs: DataFrame, near: DataFrame, total: int, threshold: float = DISCLOSURE, support: int = MIN_CONTEXTS) -> DataFrame:
-    """entity, term: the pairs at or above the disclosure threshold. ``near``: row, entity, context, term."""
-    pairs = near.groupBy("entity", "term", "context", "row").agg(F.lit(1).alias("one"))
-    contexts_of = pairs.select("entity", "term", "context").distinct().groupBy("entity", "term").agg(F.count("*").alias("contexts"))
-    strong = contexts_of.where(F.col("contexts") >= support).select("entity", "term")
-    both = pairs.join(strong, ["entity", "term"], "left_semi").select("entity", "term", "row").distinct().groupBy("entity", "term").agg(F.count("*").alias("n_both"))
-    both = stage(both, "pii-pairs")
+def together(held: DataFrame, support: int = MIN_CONTEXTS) -> DataFrame:
+    """entity, term, n_both: the pairs that stand together in ``support`` documents with different words. ``held``: base, entities, context, text.
+
+    A task passes on one count for each pair and at most ``support`` of its contexts, which is enough to tell whether there are so many.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def flushed() -> pa.RecordBatch:
+            flat = [(e, t, c, n) for (e, t), of in counts.items() for c, n in of.items()]
+            counts.clear()
+            kinds = (pa.int64(), pa.string(), pa.int64(), pa.int64())
+            return pa.RecordBatch.from_arrays([pa.array([f[i] for f in flat], k) for i, k in enumerate(kinds)], names=["entity", "term", "context", "n"])
+
+        counts: dict[tuple[int, str], dict[int, int]] = {}
+        for batch in batches:
+            for written, own, context, text in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                terms = {t for t, _, _ in outside(text, _parsed(written))}
+                for entity in own:
+                    for term in terms:
+                        of = counts.setdefault((entity, term), {})
+                        key = context if context in of or len(of) < support else next(iter(of))
+                        of[key] = of.get(key, 0) + 1
+                    if len(counts) >= HELD_COUNTS:
+                        yield flushed()
+        yield flushed()
+
+    found = held.select("base", "entities", "context", "text").mapInArrow(run, "entity long, term string, context long, n long")
+    found = found.groupBy("entity", "term", "context").agg(F.sum("n").alias("n")).groupBy("entity", "term").agg(F.count("*").alias("contexts"), F.sum("n").alias("n_both"))
+    return found.where(F.col("contexts") >= support).drop("contexts")
+
+
+def disclosing(docs: DataFrame, both: DataFrame, entity: DataFrame, total: int, threshold: float = DISCLOSURE) -> DataFrame:
+    """entity, term: the pairs at or above the disclosure threshold. ``both``: entity, term, n_both; ``entity``: entity, n_entity."""
     if both.isEmpty():
         return both.select("entity", "term")
-    entity = near.select("entity", "row").distinct().groupBy("entity").agg(F.count("*").alias("n_entity"))
     counts = document_counts(docs, stage(both.select("term").distinct(), "pii-terms"))
     joined = both.join(entity, "entity").join(counts, "term")
     n = F.lit(float(total))
@@ -192,13 +225,50 @@ def disclosing(docs: DataFrame, near: DataFrame, total: int, threshold: float =
     return joined.where((n > F.col("n_entity")) & (pmi / F.log(n / F.col("n_entity")) >= threshold)).select("entity", "term")
 
 
-def find(docs: DataFrame, threshold: float = DISCLOSURE, support: int = MIN_CONTEXTS) -> DataFrame:
+_MARKS = "array<struct<start:long,stop:long>>"
+
+
+def marks(held: DataFrame, pairs: DataFrame, bound: int = BROADCAST_TERMS) -> DataFrame:
+    """row, terms: every place of a disclosing term in the rows that hold its entity. ``held``: row, base, entities, text."""
+    held = held.select("row", "base", "entities", "text")
+    if pairs.count() <= bound:
+        terms_with: dict[int, set[str]] = {}
+        for r in pairs.collect():  # at most `bound` pairs
+            terms_with.setdefault(r["entity"], set()).add(r["term"])
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                rows, places = [], []
+                for row, written, own, text in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                    wanted = set().union(*(terms_with.get(e, ()) for e in own))
+                    if found := [{"start": a, "stop": b} for t, a, b in outside(text, _parsed(written)) if t in wanted] if wanted else []:
+                        rows.append(row)
+                        places.append(found)
+                yield pa.RecordBatch.from_arrays([pa.array(rows, pa.int64()), pa.array(places, pa.list_(pa.struct([("start", pa.int64()), ("stop", pa.int64())])))], names=["row", "terms"])
+
+        return held.mapInArrow(run, f"row long, terms {_MARKS}")
+
+    def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kinds = (pa.int64(), pa.int64(), pa.string(), pa.int64(), pa.int64())
+        for batch in batches:
+            for row, written, own, text in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                flat = [(row, e, *t) for t in outside(text, _parsed(written)) for e in own]
+                yield pa.RecordBatch.from_arrays([pa.array([f[i] for f in flat], k) for i, k in enumerate(kinds)], names=["row", "entity", "term", "start", "stop"])
+
+    found = held.mapInArrow(each, "row long, entity long, term string, start long, stop long").join(pairs, ["entity", "term"], "left_semi")
+    return found.select("row", "start", "stop").distinct().groupBy("row").agg(F.sort_array(F.collect_list(F.struct("start", "stop"))).alias("terms"))
+
+
+def find(docs: DataFrame, threshold: float = DISCLOSURE, support: int = MIN_CONTEXTS, bound: int = BROADCAST_TERMS) -> DataFrame:
     """One row per row of ``docs``: doc_id, counts by kind, base_sha256, spans (base and added), n_term."""
     rows = stage(scan(docs).withColumn("row", F.monotonically_increasing_id()), "pii-scan")
-    near = rows.where(F.size("near") > 0).select("row", F.inline("near"))
-    pairs = disclosing(docs, near.select("row", "entity", "context", "term"), rows.count(), threshold, support)
-    spans = near.join(pairs, ["entity", "term"], "left_semi").select("row", "start", "stop").distinct()
-    added = spans.groupBy("row").agg(F.sort_array(F.collect_list(F.struct("start", "stop"))).alias("terms"))
+    each = rows.where("text is not null").select("row", "context", F.explode("entities").alias("entity"))
+    seen = each.groupBy("entity", "context").agg(F.count("*").alias("n")).groupBy("entity").agg(F.count("*").alias("contexts"), F.sum("n").alias("n_entity"))
+    entity = stage(seen.where(F.col("contexts") >= support).select("entity", "n_entity"), "pii-entities")
+    own = each.join(small_side(entity.select("entity"), bound), "entity", "left_semi").groupBy("row").agg(F.collect_list("entity").alias("entities"))
+    held = stage(rows.select("row", "base", "context", "text").join(own, "row"), "pii-held")
+    pairs = stage(disclosing(docs, stage(together(held, support), "pii-pairs"), entity, rows.count(), threshold), "pii-disclosing")
+    added = marks(held, pairs, bound)
     terms = F.coalesce(F.transform("terms", lambda s: F.concat(F.lit("term:"), s["start"], F.lit(":"), s["stop"])), F.array().cast("array<string>"))
     return rows.join(added, "row", "left").select(
         "doc_id",
@@ -220,4 +290,4 @@ def sanitise(text: str, spans: str) -> str:
     return "".join(out) + text[at:]
 
 
-__all__ = ["base_spans", "contexts", "disclosing", "document_counts", "find", "sanitise", "scan", "terms_of"]
+__all__ = ["base_spans", "disclosing", "document_counts", "entities", "find", "marks", "outside", "sanitise", "scan", "terms_of", "together"]
