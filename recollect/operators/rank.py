@@ -9,6 +9,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -18,6 +19,8 @@ from recollect.runtime import bound_batches
 #: Query vectors sent to the executors at most; a larger query table is processed in blocks of this many.
 QUERY_BLOCK = 4096
 SCORE_DIGITS = 6
+#: Points of a part when all pairs of a scope are multiplied.
+PAIR_BLOCK = 2048
 
 
 def _scores(q: np.ndarray, x: np.ndarray, metric: str) -> np.ndarray:
@@ -76,6 +79,32 @@ def _block_topk(points: DataFrame, block: list, k: int, metric: str, same: str |
     return own.mapInArrow(run, "query_id long, point_id long, score double")
 
 
+def pairs_at_least(points: DataFrame, threshold: float, same: str, metric: str = "cosine", block: int = PAIR_BLOCK) -> DataFrame:
+    """query_id, point_id, score of every pair query_id < point_id of one scope (column ``same``) at or above the threshold.
+
+    A scope is cut into parts of about ``block`` points by a hash of the id; each pair of parts meets in one task and is multiplied. Nothing goes to the driver.
+    """
+    own = points.where("dense is not null").select(F.col("point_id").cast("long"), "dense", F.col(same).alias("scope")).where("scope is not null")
+    sizes = own.groupBy("scope").agg(F.ceil(F.count("*") / block).cast("int").alias("parts"))
+    placed = own.join(sizes, "scope").withColumn("part", F.pmod(F.xxhash64("point_id"), F.col("parts")).cast("int"))
+    met = placed.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+
+    def run(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
+        a, b = rows[rows["part"] == key[1]], rows[rows["part"] == key[2]]
+        if not len(a) or not len(b):
+            return pd.DataFrame({"query_id": [], "point_id": [], "score": []})
+        s = np.round(_scores(np.array(a["dense"].tolist()), np.array(b["dense"].tolist()), metric), SCORE_DIGITS) + 0.0
+        left, right = a["point_id"].to_numpy(), b["point_id"].to_numpy()
+        hit = s >= threshold
+        if key[1] == key[2]:
+            hit &= left[:, None] < right[None, :]
+        i, j = np.nonzero(hit)
+        return pd.DataFrame({"query_id": np.minimum(left[i], right[j]), "point_id": np.maximum(left[i], right[j]), "score": s[i, j]})
+
+    met = met.select("scope", F.least("part", "other").alias("low"), F.greatest("part", "other").alias("high"), "part", "point_id", "dense")
+    return met.groupBy("scope", "low", "high").applyInPandas(run, "query_id long, point_id long, score double")
+
+
 def fused(arms: list[DataFrame], k: int, constant: int = 60) -> DataFrame:
     """Reciprocal-rank fusion of candidate lists (query_id, point_id, rank)."""
     union = arms[0].select("query_id", "point_id", "rank")

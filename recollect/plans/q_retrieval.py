@@ -317,9 +317,7 @@ def recall_pipeline(spark, d):
 SELECT a.vec_id AS v1, b.vec_id AS v2, round(list_cosine_similarity(a.x, b.x), 6) AS cosine FROM v a JOIN v b ON a.label = b.label AND a.vec_id < b.vec_id WHERE round(list_cosine_similarity(a.x, b.x), 6) >= 0.35""")
 def near_dup_pairs(spark, d):
     """Vectors of one block at or above a similarity."""
-    v = vectors(spark, d)
-    q = v.select(F.col("point_id").alias("query_id"), "label", "dense")
-    found = rank.dense_topk(v, q, 1 << 20, same="label").where("query_id < point_id and score >= 0.35")
+    found = rank.pairs_at_least(vectors(spark, d), 0.35, "label")
     return found.select(F.col("query_id").alias("v1"), F.col("point_id").alias("v2"), F.col("score").alias("cosine"))
 
 

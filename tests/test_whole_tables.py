@@ -5,7 +5,9 @@ import re
 import duckdb
 import pytest
 
+from recollect.operators import rank
 from recollect.plans import catalog
+from recollect.plans.base import vectors
 from tests.test_oracles import SF, TABLES, norm, same
 
 ASKED = [n for n in ("knn_topk", "knn_dot", "knn_euclid", "knn_scoped_filtered", "bm25_topk", "bm25_root_filter", "sparse_idf_topk", "hybrid_rrf", "md_search_auto") if n in catalog.ORACLES]
@@ -77,3 +79,15 @@ def test_entity_boost_has_all_sessions_top_12(spark, larger):
 def test_whole_table(spark, name, cut, d):
     assert cut in catalog.ORACLES[name]
     equal(spark, tables(d), d, name, catalog.ORACLES[name].replace(cut, ""))
+
+
+def test_near_dup_pairs_without_top_k(spark, con, monkeypatch):
+    monkeypatch.setattr(rank, "dense_topk", None)  # its k cut partners off, and it collects every query vector
+    equal(spark, con, SF, "near_dup_pairs", catalog.ORACLES["near_dup_pairs"])
+
+
+def test_pairs_of_many_parts(spark):
+    v = vectors(spark, SF)
+    want = rank.pairs_at_least(v, 0.2, "label", block=1 << 20).collect()
+    got = rank.pairs_at_least(v, 0.2, "label", block=7).collect()
+    assert want and sorted(map(tuple, got)) == sorted(map(tuple, want))
