@@ -62,7 +62,19 @@ def stage(df: DataFrame, label: str) -> DataFrame:
     path = f"{shared_dir(spark)}/staged/{label}-{uuid.uuid4().hex}"
     df.write.mode("overwrite").parquet(path)
     _STAGED.append((weakref.ref(spark), path))
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._staged_at = path
+    return out
+
+
+def release(*frames: DataFrame) -> None:
+    """Delete staged tables that nothing will read any more."""
+    for df in frames:
+        path = getattr(df, "_staged_at", None)
+        if path:
+            target = df.sparkSession._jvm.org.apache.hadoop.fs.Path(path)
+            target.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(target, True)
+            _STAGED[:] = [x for x in _STAGED if x[1] != path]
 
 
 @atexit.register
