@@ -10,7 +10,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from recollect.runtime import stage
+from recollect.runtime import release, small_side, stage
+
+#: Nodes with their smallest neighbour (16 bytes each) broadcast at most; more are joined by shuffle, where Spark splits a hub's many edges.
+BROADCAST_ROWS = 200_000
 
 
 def _mark(edges: DataFrame) -> tuple:
@@ -25,13 +28,14 @@ def components(edges: DataFrame, label: str = "components") -> DataFrame:
     while mark[0]:
         # large star: u > v; every neighbour larger than a node goes to the node's smallest neighbour
         both = now.select("u", "v").unionByName(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        large = both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u != v").distinct()
+        least = stage(both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m")), label)
+        large = both.where("v > u").join(small_side(least, BROADCAST_ROWS), "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u != v").distinct()
         # small star: every smaller neighbour, and the node itself, goes to the smallest
-        down = large.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct()
-        least = down.groupBy("u").agg(F.min("v").alias("m"))
-        small = down.join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u != v").unionByName(least.select("u", F.col("m").alias("v")))
-        now = stage(small.distinct(), label)
+        down = stage(large.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct(), label)
+        lower = stage(down.groupBy("u").agg(F.min("v").alias("m")), label)
+        small = down.join(small_side(lower, BROADCAST_ROWS), "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u != v").unionByName(lower.select("u", F.col("m").alias("v")))
+        old, now = now, stage(small.distinct(), label)
+        release(old, least, down, lower)
         before, mark = mark, _mark(now)
         if mark == before:
             break

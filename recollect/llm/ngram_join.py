@@ -3,28 +3,29 @@
 Documents are sets of word shingles, held as 64-bit hashes. Two of them link when their Jaccard similarity reaches
 the threshold; the result is each document's set size and the smallest doc_id of its linked component.
 
-1. One pass profiles every document: set size, a 128-bit fingerprint of the set, a few minimum hashes, and a counting
-   sketch of all shingles. Documents with equal sets become one class, known by its smallest doc_id.
-2. Similar classes are partitioned into groups. Classes that share a minimum hash are dealt into blocks; within a block every
-   pair is compared, and each class of a key that fills several blocks also with the key's best-linked class. The
-   components of these verified links are the groups; a block gives at most one link for each class, never its pairs.
+1. One pass profiles every document: set size, a 128-bit fingerprint of the set, a few minimum hashes, a parity signature
+   (``signatures.py``) and a counting sketch of all shingles. Documents with equal sets become one class, known by its smallest doc_id.
+2. Similar classes are partitioned into groups. Classes that share a minimum hash are dealt into blocks; within a block
+   signatures say which may link, and a star around the best-linked class, with a forest for the rest, is verified
+   on the sets; so is every class of a key that fills several blocks against the key's best-linked class. The components of the verified links are the groups.
 3. The token-group matrix holds, by token, the groups that have it in a member's prefix: a group's row is the union of its
    members' prefixes. A prefix is the ``n - ceil(t * n) + 1`` first shingles in an order that puts shingles the sketch
    found frequent last, then goes by hash; two sets that link share a token of both prefixes, so no link is lost.
    For two groups the matrix counts the tokens their unions share, which bounds the overlap of any two members;
-   only pairs of groups whose bound reaches what the sizes ask for qualify. Groups that meet in a token of more than
-   ``PAIRED_GROUPS`` groups are not paired but form a cluster, named by its smallest group; a cluster qualifies as it is.
-4. A qualifying group is opened for the members of the other, a cluster for the members of all its groups but the largest:
-   they are packed into blocks, a block's token union bounds each query once more, and the queries that pass are compared with
-   all its members, on the whole sets. All verified links give the components.
+   only pairs of groups whose bound reaches what the sizes ask for qualify. The larger one is opened for the other.
+   Groups that meet in a token of more than ``PAIRED_GROUPS`` groups are opened together, as a crowd named by its largest group.
+4. What is opened is dealt into blocks, and every pair of blocks is a task of its own, so the members of one group or crowd
+   may be any share of the corpus. Signatures bound the overlap of every two members of different groups; those that may link are verified on
+   the whole sets. First each member meets its nearest one of each other group only; groups that this joins are one from then
+   on, and whatever else may link between groups that are still apart is verified in a second turn.
 
 The order only has to be the same everywhere, so a sketch of fixed size serves any corpus: a frequent shingle it misses
-costs time, not links. Rows are classes, groups, or pairs of groups, never pairs of members.
+costs time, not links. Rows are classes, groups, or pairs that a bound could not rule out, never the pairs of a group's members.
 
 Defined cases: A-Z is lower-cased and words are ``[^\\x20\\x09-\\x0D]+``; with fewer words than a shingle the whole sequence
 is one; null and empty texts, and texts of white space, have no shingles and link with nothing; repeated rows of a doc_id get one
-row each, with the component of its smallest linked id; a null doc_id has a null component and links
-nothing; an empty table gives no rows; extra columns are ignored.
+row each, with the component of its smallest linked id, and are one document (``one_of_each`` keeps one of them, that of the smallest text); a null
+doc_id has a null component, links nothing and stays; very long texts are hashed in blocks; an empty table gives no rows; extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -37,27 +38,33 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from recollect.llm.components import components
-from recollect.runtime import batch_rows, bound_batches, small_side, stage
+from recollect.llm.signatures import keyed, near, signature
+from recollect.runtime import bound_batches, release, small_side, stage
 
 WIDTH = 5
 THRESHOLD_PERCENT = 75
-MIN_HASHES = 2
+MIN_HASHES = 3
 #: Counters of the shingle sketch, by the hash's top bits; the frequent ones become a bitmap of 512 KiB.
 SKETCH_BITS = 22
 SLICES = 64
-BUCKET_BITS = 12
+#: Buckets of tokens for each task that meets the matrix's rows, as a power of two, and the most bits of a bucket.
+SPARE_BITS = 5
+MOST_BITS = 20
 #: Fixed-width rows (16 to 24 bytes) broadcast at most; more are joined by shuffle.
 BROADCAST_ROWS = 200_000
 #: Prefix tokens, or pairs of groups, that a task holds before it hands them on.
 FLUSH_TOKENS = 500_000
 #: Shingles of the corpus for each task that meets the matrix's rows; a quarter of them are in prefixes.
 TOKENS_PER_TASK = 4_000_000
-#: Groups with one token that the matrix still pairs; more of them are one cluster, which is opened as a whole.
+#: Groups with one token that the matrix still pairs; more of them are a crowd, which is opened as a whole.
 PAIRED_GROUPS = 32
-#: Classes and shingles of a block at most (a single larger set is a block of its own), and blocks in an Arrow batch.
-BLOCK_SETS = 128
-BLOCK_TOKENS = 1 << 16
-BATCH_BLOCKS = 16
+#: Sets and shingles of a block at most (a single larger set is a block of its own); what fills SPREAD_SETS is dealt into up to SPREAD blocks.
+BLOCK_SETS = 512
+BLOCK_TOKENS = 1 << 21
+SPREAD = 8
+SPREAD_SETS = 128
+#: Pairs of one set that are verified in one task.
+SALT_ROWS = 256
 #: Bytes hashed at once.
 BLOCK = 1 << 20
 
@@ -180,14 +187,14 @@ def _docs(docs: DataFrame) -> DataFrame:
 
 
 def profile(docs: DataFrame, width: int = WIDTH) -> DataFrame:
-    """A row per row of ``docs`` (doc_id, n, f1, f2, mins) and, for each task, the slices of its shingle sketch."""
+    """A row per row of ``docs`` (doc_id, n, f1, f2, mins, signature) and, for each task, the slices of its shingle sketch."""
     bound_batches(docs.sparkSession)
     per = (1 << SKETCH_BITS) // SLICES
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hasher = ShingleHasher(width)
         counts = np.zeros(1 << SKETCH_BITS, dtype=np.uint32)
-        names = ["doc_id", "n", "f1", "f2", "mins", "slice", "counts"]
+        names = ["doc_id", "n", "f1", "f2", "mins", "signature", "slice", "counts"]
         for batch in batches:
             sets = hasher.sets(batch.column(1).to_pylist())
             flat = np.concatenate(sets) if sets else np.zeros(0, dtype=np.uint64)
@@ -197,14 +204,14 @@ def profile(docs: DataFrame, width: int = WIDTH) -> DataFrame:
             f2 = [int(_mix(s).sum(dtype=np.uint64).view(np.int64)) if len(s) else 0 for s in sets]
             mins = [[int((s * seed).min().view(np.int64)) for seed in _SEEDS[:MIN_HASHES]] if len(s) else [] for s in sets]
             none = pa.nulls(len(sets), pa.int32())
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([len(s) for s in sets], pa.int64()), pa.array(f1, pa.int64()), pa.array(f2, pa.int64()), pa.array(mins, pa.list_(pa.int64())), none, pa.nulls(len(sets), pa.binary())], names=names)
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([len(s) for s in sets], pa.int64()), pa.array(f1, pa.int64()), pa.array(f2, pa.int64()), pa.array(mins, pa.list_(pa.int64())), pa.array([signature(s) if len(s) else None for s in sets], pa.binary()), none, pa.nulls(len(sets), pa.binary())], names=names)
         if counts.any():
             parts = [np.minimum(counts[i * per : (i + 1) * per], 65535).astype(np.uint16) for i in range(SLICES)]
             rows = [(i, p.tobytes()) for i, p in enumerate(parts) if p.any()]
             k = len(rows)
-            yield pa.RecordBatch.from_arrays([*[pa.nulls(k, pa.int64()) for _ in range(4)], pa.nulls(k, pa.list_(pa.int64())), pa.array([i for i, _ in rows], pa.int32()), pa.array([b for _, b in rows], pa.binary())], names=names)
+            yield pa.RecordBatch.from_arrays([*[pa.nulls(k, pa.int64()) for _ in range(4)], pa.nulls(k, pa.list_(pa.int64())), pa.nulls(k, pa.binary()), pa.array([i for i, _ in rows], pa.int32()), pa.array([b for _, b in rows], pa.binary())], names=names)
 
-    return _docs(docs).mapInArrow(run, "doc_id long, n long, f1 long, f2 long, mins array<long>, slice int, counts binary")
+    return _docs(docs).mapInArrow(run, "doc_id long, n long, f1 long, f2 long, mins array<long>, signature binary, slice int, counts binary")
 
 
 def frequent_bitmap(sketches: DataFrame, total: int) -> bytes:
@@ -228,274 +235,210 @@ def frequent_bitmap(sketches: DataFrame, total: int) -> bytes:
     return whole.tobytes()
 
 
-def class_sets(docs: DataFrame, ids: DataFrame, width: int = WIDTH) -> DataFrame:
-    """id, n, tokens (sorted 64-bit hashes) of the documents named by ``ids`` (id), once for each id."""
+def verified(pairs: DataFrame, docs: DataFrame, width: int = WIDTH, percent: int = THRESHOLD_PERCENT) -> DataFrame:
+    """u, v: the staged pairs (u, v) of doc_ids whose sets link, on the sets of their whole texts.
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    The sets to compare with one v come to it in tasks of bounded size, each beside v's own set, so a set travels once for each pair.
+    """
+    often = pairs.groupBy("v").agg(F.ceil(F.count("*") / SALT_ROWS).cast("int").alias("salts"))
+    often = small_side(stage(often, "jaccard-often"), BROADCAST_ROWS)
+    salted = pairs.join(often, "v").select("v", F.pmod(F.xxhash64("u"), "salts").cast("int").alias("salt"), F.lit(1).alias("follows"), F.col("u").alias("id"))
+    leads = often.select("v", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt"), F.lit(0).alias("follows"), F.col("v").alias("id"))
+    roles = stage(salted.unionByName(leads), "jaccard-roles")
+    wanted = small_side(stage(roles.select("id").distinct(), "jaccard-ids"), BROADCAST_ROWS)
+
+    def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hasher = ShingleHasher(width)
         for batch in batches:
             sets = hasher.sets(batch.column(1).to_pylist())
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([len(s) for s in sets], pa.int64()), pa.array([s.tobytes() for s in sets], pa.binary())], names=["id", "n", "tokens"])
-
-    wanted = small_side(stage(ids.select("id").distinct(), "jaccard-ids"), BROADCAST_ROWS)
-    return stage(_docs(docs).withColumnRenamed("doc_id", "id").join(wanted, "id", "left_semi").select("id", "text").mapInArrow(run, "id long, n long, tokens binary"), "jaccard-sets")
-
-
-def _overlaps(queries: list[np.ndarray], members: list[np.ndarray], percent: int) -> tuple[np.ndarray, np.ndarray]:
-    """(which queries were opened, their overlaps with all members) for one block of members.
-
-    The block's token union bounds a query's overlap with every member; a query is opened only if the bound reaches
-    what it needs with the smallest member it could link with.
-    """
-    union, place = np.unique(np.concatenate(members), return_inverse=True)
-    sizes = np.array([len(m) for m in members])
-    opened, cells = [], []
-    for i, q in enumerate(queries):
-        at = np.searchsorted(union, q)
-        hit = at[union[np.minimum(at, len(union) - 1)] == q] if len(union) else at[:0]
-        fits = sizes[(sizes * 100 >= percent * len(q)) & (sizes * percent <= 100 * len(q))]
-        if len(fits) and len(hit) >= needed(len(q), int(fits.min()), percent):
-            opened.append(i)
-            cells.append(hit)
-    if not opened:
-        return np.zeros(0, dtype=np.int64), np.zeros((0, len(members)), dtype=np.int64)
-    # only the union's tokens that some opened query has
-    used = np.unique(np.concatenate(cells))
-    column = np.full(len(union), -1, dtype=np.int64)
-    column[used] = np.arange(len(used))
-    a = np.zeros((len(opened), len(used)), dtype=np.float32)
-    for i, hit in enumerate(cells):
-        a[i, column[hit]] = 1
-    b = np.zeros((len(members), len(used)), dtype=np.float32)
-    row, col = np.repeat(np.arange(len(members)), sizes), column[place]
-    b[row[col >= 0], col[col >= 0]] = 1
-    return np.array(opened), np.rint(a @ b.T).astype(np.int64)
-
-
-def _linked(shared: np.ndarray, n_a: np.ndarray, n_b: np.ndarray, percent: int) -> np.ndarray:
-    return (shared > 0) & (100 * shared >= percent * (n_a[:, None] + n_b[None, :] - shared))
-
-
-def _sets_of(items: list[dict]) -> tuple[np.ndarray, list[np.ndarray], np.ndarray]:
-    sets = [np.frombuffer(x["tokens"], dtype=np.uint64) for x in items]
-    return np.array([x["id"] for x in items], dtype=np.int64), sets, np.array([len(x) for x in sets], dtype=np.int64)
-
-
-def block_links(blocks: DataFrame, percent: int = THRESHOLD_PERCENT) -> DataFrame:
-    """u, v, hub, degree: for each block (j, low, items) a spanning forest of its links, and its best-linked class.
-
-    Link rows have a null hub; a hub row has null u and v.
-    """
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            out = []
-            for j, low, items in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                ids, sets, n = _sets_of(sorted(items, key=lambda x: x["id"]))
-                opened, shared = _overlaps(sets, sets, percent)
-                if not len(opened):
-                    continue
-                link = np.zeros((len(ids), len(ids)), dtype=bool)
-                link[opened] = _linked(shared, n[opened], n, percent)
-                np.fill_diagonal(link, False)
-                left = set(range(len(ids)))
-                while left:  # one tree for each component
-                    todo = [left.pop()]
-                    while todo:
-                        x = todo.pop()
-                        for y in np.flatnonzero(link[x]).tolist():
-                            if y in left:
-                                left.remove(y)
-                                todo.append(y)
-                                out.append((j, low, int(ids[y]), int(ids[x]), None, None))
-                degree = link.sum(axis=1)
-                best = int(degree.argmax())
-                if degree[best]:
-                    out.append((j, low, None, None, int(ids[best]), int(degree[best])))
-            columns = list(zip(*out, strict=True)) or [[]] * 6
-            yield pa.RecordBatch.from_arrays([pa.array(columns[0], pa.int32()), *[pa.array(c, pa.int64()) for c in columns[1:]]], names=["j", "low", "u", "v", "hub", "degree"])
-
-    return blocks.select("j", "low", "items").mapInArrow(run, "j int, low long, u long, v long, hub long, degree long")
-
-
-def _forest(link: np.ndarray) -> list[tuple[int, int]]:
-    """Cells (row, column) of a link matrix that connect what all its links connect."""
-    out, rows, columns = [], set(np.flatnonzero(link.any(axis=1)).tolist()), set(np.flatnonzero(link.any(axis=0)).tolist())
-    while rows:
-        todo = [(rows.pop(), True)]
-        while todo:
-            x, is_row = todo.pop()
-            left = columns if is_row else rows
-            for y in np.flatnonzero(link[x] if is_row else link[:, x]).tolist():
-                if y in left:
-                    left.remove(y)
-                    todo.append((y, not is_row))
-                    out.append((x, y) if is_row else (y, x))
-    return out
-
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([s.tobytes() for s in sets], pa.binary())], names=["id", "tokens"])
 
-def opened_links(blocks: DataFrame, percent: int = THRESHOLD_PERCENT) -> DataFrame:
-    """u, v: for each row (queries, members) links that connect all that its links connect, one for each set at most."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def linked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at, leads = None, []
         for batch in batches:
             u, v = [], []
-            for queries, members in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                q_ids, q_sets, q_n = _sets_of(queries)
-                m_ids, m_sets, m_n = _sets_of(members)
-                opened, shared = _overlaps(q_sets, m_sets, percent)
-                if len(opened):
-                    cells = _forest(_linked(shared, q_n[opened], m_n, percent))
-                    u += [int(q_ids[opened[i]]) for i, _ in cells]
-                    v += [int(m_ids[j]) for _, j in cells]
+            for hub, salt, follows, id_, blob in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                tokens = np.frombuffer(blob, dtype=np.uint64)
+                if at != (hub, salt):
+                    at, leads = (hub, salt), []
+                if not follows:
+                    leads.append(tokens)
+                elif any(_links(tokens, lead, percent) for lead in leads):
+                    u.append(id_)
+                    v.append(hub)
             yield pa.RecordBatch.from_arrays([pa.array(u, pa.int64()), pa.array(v, pa.int64())], names=["u", "v"])
 
-    return blocks.select("queries", "members").mapInArrow(run, "u long, v long").where("u != v")
+    sets = _docs(docs).withColumnRenamed("doc_id", "id").join(wanted, "id", "left_semi").select("id", "text").mapInArrow(hashed, "id long, tokens binary")
+    met = sets.join(small_side(roles, BROADCAST_ROWS), "id").select("v", "salt", "follows", "id", "tokens")
+    return met.repartition("v", "salt").sortWithinPartitions("v", "salt", "follows").mapInArrow(linked, "u long, v long").distinct()
 
 
-def packed(rows: DataFrame, key: list[str], name: str) -> DataFrame:
-    """Rows (key, id, n, tokens) of each key dealt into blocks of bounded size: key, ``name`` (array of id, tokens)."""
-    sizes = rows.groupBy(*key).agg(F.count("*").alias("k"), F.sum("n").alias("w"))
-    blocks = F.greatest(F.ceil(F.col("k") / BLOCK_SETS), F.ceil(F.col("w") / BLOCK_TOKENS))
-    dealt = rows.join(sizes, key).withColumn("slot", F.pmod(F.xxhash64("id", *key), blocks))
-    return dealt.groupBy(*key, "slot").agg(F.collect_list(F.struct("id", "tokens")).alias(name)).drop("slot")
+def _links(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
+    if 100 * min(len(a), len(b)) < percent * max(len(a), len(b)):
+        return False
+    shared = overlap(a, b)
+    return shared > 0 and 100 * shared >= percent * (len(a) + len(b) - shared)
 
 
-def verified(pairs: DataFrame, sets: DataFrame, percent: int = THRESHOLD_PERCENT) -> DataFrame:
-    """The pairs (u, v) whose sets link."""
+def _by_size(columns: list, at: int, signatures: int) -> list:
+    """A block's columns by ascending set size (column ``at``)."""
+    order = np.lexsort((columns[0], columns[at]))
+    return [[c[i] for i in order] if k == signatures else c[order] for k, c in enumerate(columns)]
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            keep = []
-            for a, b in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True):
-                x, y = np.frombuffer(a, dtype=np.uint64), np.frombuffer(b, dtype=np.uint64)
-                shared = overlap(x, y)
-                keep.append(100 * shared >= percent * (len(x) + len(y) - shared) and shared > 0)
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], names=["u", "v"]).filter(pa.array(keep, pa.bool_()))
 
-    one = sets.select(F.col("id").alias("u"), F.col("tokens").alias("a"))
-    two = sets.select(F.col("id").alias("v"), F.col("tokens").alias("b"))
-    return pairs.join(one, "u").join(two, "v").select("u", "v", "a", "b").mapInArrow(run, "u long, v long")
+def block_stars(blocks: DataFrame, percent: int = THRESHOLD_PERCENT) -> DataFrame:
+    """j, low, u, v, hub, degree: for each block (j, low, slot, id, n, signature) pairs worth verifying, and its best-linked class.
 
+    The pairs are a star around that class and a forest over the rest of what may link, at most one for each class. Pair rows have a null
+    hub; a hub row has null u and v.
+    """
 
-def matrix_candidates(docs: DataFrame, classes: DataFrame, groups: DataFrame, frequent: bytes, total: int, width: int = WIDTH, percent: int = THRESHOLD_PERCENT) -> DataFrame:
-    """a, b, cluster: the pairs of groups whose bound qualifies, and the groups b of each cluster a.
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        out = []
 
-    ``classes``: id, first (whether it names a class) of every document; ``groups``: id, g of those in a group of several;
-    ``total``: shingles of the corpus.
+        def flushed() -> pa.RecordBatch:
+            columns = list(zip(*out, strict=True)) or [[]] * 6
+            out.clear()
+            return pa.RecordBatch.from_arrays([pa.array(columns[0], pa.int32()), *[pa.array(c, pa.int64()) for c in columns[1:]]], names=["j", "low", "u", "v", "hub", "degree"])
+
+        for (j, low, _), columns in keyed(batches, 3):
+            ids, n, marks = _by_size(list(columns), 1, 2)
+            a, b, _ = near(n, marks, percent, lambda i, js: slice(None))
+            apart = ids[a] != ids[b]
+            a, b = a[apart], b[apart]
+            if len(a):
+                degree = np.bincount(np.concatenate([a, b]), minlength=len(ids))
+                best = int(degree.argmax())
+                out.append((j, low, None, None, int(ids[best]), int(degree[best])))
+                out += [(j, low, int(ids[x]), int(ids[y]), None, None) for x, y in _trees(a, b, best)]
+            if len(out) > 10_000:
+                yield flushed()
+        yield flushed()
+
+    return blocks.select("j", "low", "slot", "id", "n", "signature").repartition("j", "low", "slot").sortWithinPartitions("j", "low", "slot").mapInArrow(run, "j int, low long, u long, v long, hub long, degree long")
+
+
+def _trees(a: np.ndarray, b: np.ndarray, root: int) -> Iterator[tuple[int, int]]:
+    """A spanning forest of the edges (a, b), breadth first, ``root`` first."""
+    beside: dict[int, list[int]] = {}
+    for x, y in zip(a.tolist(), b.tolist(), strict=True):
+        beside.setdefault(x, []).append(y)
+        beside.setdefault(y, []).append(x)
+    seen: set[int] = set()
+    for first in [root, *beside]:
+        if first in seen:
+            continue
+        seen.add(first)
+        todo = [first]
+        for x in todo:
+            for y in beside[x]:
+                if y not in seen:
+                    seen.add(y)
+                    todo.append(y)
+                    yield y, x
+
+
+def matrix(docs: DataFrame, status: DataFrame, frequent: bytes, total: int, width: int = WIDTH, percent: int = THRESHOLD_PERCENT) -> DataFrame:
+    """a, b, shared, small, large: how many tokens two groups meet in, with the sizes that can link there; parts of sums.
+
+    ``status``: id, first (whether it names a class), g (its group) of the documents that are copies or in a group of several;
+    ``total``: shingles of the corpus. Rows that share 0 tokens say that group b is in the crowd of token a.
     """
-    known = small_side(groups, BROADCAST_ROWS)
-    rows = _docs(docs).withColumnRenamed("doc_id", "id")
-    others = small_side(classes.where("not first").select("id"), BROADCAST_ROWS)  # copies of a class that is read already
-    rows = rows.join(others, "id", "left_anti").join(known, "id", "left").select("id", F.coalesce("g", "id").alias("g"), "text").where("id is not null")
+    rows = _docs(docs).withColumnRenamed("doc_id", "id").where("id is not null")
+    rows = rows.join(small_side(status, BROADCAST_ROWS), "id", "left").where("coalesce(first, true)").select(F.coalesce("g", "id").alias("g"), "text")
+    parts = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), total // TOKENS_PER_TASK + 1)
+    shift = np.uint64(64 - min(MOST_BITS, parts.bit_length() + SPARE_BITS))
+    paired = PAIRED_GROUPS
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hasher = ShingleHasher(width)
         bitmap = np.unpackbits(np.frombuffer(frequent, dtype=np.uint8)).astype(bool)
+        tokens, group, size, held = [], [], [], 0
 
-        def flush(tokens: list, owner: list, group: list, size: list) -> pa.RecordBatch:
-            t, o, g, n = (np.concatenate(x) for x in (tokens, owner, group, size))
-            bucket = (t >> np.uint64(64 - BUCKET_BITS)).astype(np.int32)
-            order = np.argsort(bucket, kind="stable")
-            bucket, t, o, g, n = (x[order] for x in (bucket, t, o, g, n))
-            low = (t & np.uint64(0xFFFFFFFFFF)).astype(np.uint64)
+        def flushed() -> pa.RecordBatch:
+            t, g, n = np.concatenate(tokens), np.repeat(np.array(group, dtype=np.int64), list(map(len, tokens))), np.repeat(np.array(size, dtype=np.int32), list(map(len, tokens)))
+            t, g, small, large = _one_each(t, g, n, n)
+            bucket = (t >> shift).astype(np.int32)
             at = np.flatnonzero(np.concatenate([[True], bucket[1:] != bucket[:-1]]))
             ends = np.append(at[1:], len(bucket))
-            blobs = []
-            for a, b in zip(at.tolist(), ends.tolist(), strict=True):
-                same = bool((o[a:b] == g[a:b]).all())
-                blobs.append((int(bucket[a]), low[a:b].view(np.uint8).reshape(-1, 8)[:, :5].tobytes(), o[a:b].tobytes(), b"" if same else g[a:b].tobytes(), n[a:b].tobytes()))
+            low = np.ascontiguousarray(t.view(np.uint8).reshape(-1, 8)[:, :5])
+            blobs = [(int(bucket[a]), low[a:b].tobytes(), g[a:b].tobytes(), small[a:b].tobytes(), b"" if (small[a:b] == large[a:b]).all() else large[a:b].tobytes()) for a, b in zip(at.tolist(), ends.tolist(), strict=True)]
             columns = list(zip(*blobs, strict=True))
-            return pa.RecordBatch.from_arrays([pa.array(columns[0], pa.int32()), *[pa.array(c, pa.binary()) for c in columns[1:]]], names=["bucket", "tokens", "owner", "grp", "size"])
+            return pa.RecordBatch.from_arrays([pa.array(columns[0], pa.int32()), *[pa.array(c, pa.binary()) for c in columns[1:]]], names=["bucket", "tokens", "grp", "small", "large"])
 
-        tokens, owner, group, size, held = [], [], [], [], 0
         for batch in batches:
-            ids, gs = batch.column(0).to_pylist(), batch.column(1).to_pylist()
-            for i, g, s in zip(ids, gs, hasher.sets(batch.column(2).to_pylist()), strict=True):
+            for g, s in zip(batch.column(0).to_pylist(), hasher.sets(batch.column(1).to_pylist()), strict=True):
                 if not len(s):
                     continue
                 k = prefix_length(len(s), percent)
                 common = bitmap[(s >> np.uint64(64 - SKETCH_BITS)).astype(np.int64)]
-                if common.any():
-                    s = np.concatenate([s[~common], s[common]])
-                tokens.append(s[:k])
-                owner.append(np.full(k, i, dtype=np.int64))
-                group.append(np.full(k, g, dtype=np.int64))
-                size.append(np.full(k, len(s), dtype=np.int32))
+                chosen = np.concatenate([s[~common], s[common]])[:k] if common.any() else s[:k].copy()
+                tokens.append(chosen)
+                group.append(g)
+                size.append(len(s))
                 held += k
-            if held > FLUSH_TOKENS:
-                yield flush(tokens, owner, group, size)
-                tokens, owner, group, size, held = [], [], [], [], 0
+                if held > FLUSH_TOKENS:
+                    yield flushed()
+                    tokens, group, size, held = [], [], [], 0
         if held:
-            yield flush(tokens, owner, group, size)
+            yield flushed()
 
     def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         parts = []
         for batch in batches:
-            for bucket, t, o, g, n in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            for bucket, t, g, n, m in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 low = np.zeros((len(t) // 5, 8), dtype=np.uint8)
                 low[:, :5] = np.frombuffer(t, dtype=np.uint8).reshape(-1, 5)
-                parts.append((low.view(np.uint64).reshape(-1) | (np.uint64(bucket) << np.uint64(64 - BUCKET_BITS)), np.frombuffer(o, dtype=np.int64), np.frombuffer(g or o, dtype=np.int64), np.frombuffer(n, dtype=np.int32)))
+                parts.append((low.view(np.uint64).reshape(-1) ^ (np.uint64(bucket) << shift), *(np.frombuffer(x, dtype=kind) for x, kind in ((g, np.int64), (n, np.int32), (m or n, np.int32)))))
         if not parts:
             return
-        t, o, g, n = (np.concatenate(x) for x in zip(*parts, strict=True))
+        columns = [np.concatenate(x) for x in zip(*parts, strict=True)]
         del parts
-        # only tokens that several groups hold matter; of a group, its smallest and largest set with the token
-        order = np.lexsort((g, t))
-        t, g, n = (x[order] for x in (t, g, n))
-        row = np.flatnonzero(np.concatenate([[True], (t[1:] != t[:-1]) | (g[1:] != g[:-1])])) if len(t) else np.zeros(0, dtype=np.int64)
-        small, large = (f.reduceat(n, row) if len(row) else n for f in (np.minimum, np.maximum))
-        t, g = t[row], g[row]
-        head = np.flatnonzero(np.concatenate([[True], t[1:] != t[:-1]])) if len(t) else row
+        t, g, small, large = _one_each(*columns)
+        head = np.flatnonzero(np.concatenate([[True], t[1:] != t[:-1]]))
         tail = np.append(head[1:], len(t))
+        many = tail - head > 1
+        crowded = np.flatnonzero(many & (tail - head > paired))
+        for x in crowded.tolist():
+            a, b = int(head[x]), int(tail[x])
+            none = pa.array(np.zeros(b - a, dtype=np.int32))
+            yield pa.RecordBatch.from_arrays([pa.array(np.full(b - a, t[a]).view(np.int64)), pa.array(g[a:b]), pa.array(np.zeros(b - a, dtype=np.int64)), none, none], names=["a", "b", "shared", "small", "large"])
         found: list[tuple] = []
         held = 0
-        many = (tail - head > 1) & (tail - head <= PAIRED_GROUPS)
-        crowd = np.flatnonzero(tail - head > PAIRED_GROUPS)
-        if len(crowd):  # entries are by token and group, so a run starts with its smallest group
-            times = (tail - head)[crowd]
-            at = np.arange(times.sum()) - np.repeat(np.cumsum(times) - times, times) + np.repeat(head[crowd], times)
-            both = np.unique(np.stack([np.repeat(g[head[crowd]], times), g[at]]), axis=1)
-            zero = pa.array(np.zeros(both.shape[1], dtype=np.int32))
-            yield pa.RecordBatch.from_arrays([pa.array(both[0]), pa.array(both[1]), pa.array(np.zeros(both.shape[1], dtype=np.int64)), zero, zero], names=["a", "b", "shared", "small", "large"])
-        for a, b in zip(head[many].tolist(), tail[many].tolist(), strict=True):
-            for rows in _meetings(g[a:b], small[a:b], large[a:b], percent):
+        few = many & (tail - head <= paired)
+        for k in np.unique((tail - head)[few]).tolist():  # tokens with equally many groups at once
+            starts = head[few & (tail - head == k)]
+            i, j = np.triu_indices(k, 1)
+            for part in np.array_split(starts, max(1, len(starts) * len(i) // FLUSH_TOKENS)):
+                rows = _meetings(g, small, large, (part[:, None] + i).ravel(), (part[:, None] + j).ravel(), percent)
                 found.append(rows)
                 held += len(rows[0])
                 if held > FLUSH_TOKENS:
                     yield _summed(found)
                     found, held = [], 0
-        if found:
+        if held:
             yield _summed(found)
 
-    parts = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), total // TOKENS_PER_TASK + 1)
-    cells = rows.mapInArrow(cut, "bucket int, tokens binary, owner binary, grp binary, size binary").repartition(parts, "bucket")
-    met = cells.mapInArrow(meet, "a long, b long, shared long, small int, large int")
-    # rows of clusters share 0; pairs share a token at least
-    met = met.withColumn("cluster", F.col("shared") == 0)
-    bound = met.groupBy("a", "b", "cluster").agg(F.sum("shared").alias("shared"), F.min("small").alias("small"), F.max("large").alias("large"))
-    # overlap <= shared + what lies behind the shorter-reaching prefix; least for the smallest and the largest set
-    total = F.col("small") + F.col("large")
-    asked = F.ceil(total * percent / (100.0 + percent)) - (F.ceil(F.col("large") * percent / 100.0) - 1) - 1
-    return bound.where(F.col("cluster") | (F.col("shared") >= asked)).select("a", "b", "cluster")
+    cells = rows.mapInArrow(cut, "bucket int, tokens binary, grp binary, small binary, large binary").repartition(parts, "bucket")
+    return cells.mapInArrow(meet, "a long, b long, shared long, small int, large int")
 
 
-def _meetings(group: np.ndarray, small: np.ndarray, large: np.ndarray, percent: int = THRESHOLD_PERCENT) -> Iterator[tuple]:
-    """For one token: (a, b, smallest, largest fitting size) of the pairs of groups whose sizes can link.
+def _one_each(t: np.ndarray, g: np.ndarray, small: np.ndarray, large: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Entries by token and group, one for each, with the smallest and the largest set that has the token."""
+    order = np.lexsort((g, t))
+    t, g, small, large = (x[order] for x in (t, g, small, large))
+    row = np.flatnonzero(np.concatenate([[True], (t[1:] != t[:-1]) | (g[1:] != g[:-1])]))
+    return t[row], g[row], np.minimum.reduceat(small, row), np.maximum.reduceat(large, row)
 
-    Entries are one for each group, by group, with the sizes of its smallest and largest set here.
-    """
-    k = len(group)
-    chunk = max(1, 1_000_000 // k)
-    small, large = small.astype(np.int64), large.astype(np.int64)
-    for at in range(0, k - 1, chunk):
-        i, j = np.nonzero(np.arange(at, min(k - 1, at + chunk))[:, None] < np.arange(k)[None, :])
-        i += at
-        # the sets of the one that have a size the other can link with
-        low = np.maximum(np.minimum(small[i], small[j]), -(-np.maximum(small[i], small[j]) * percent // 100))
-        high = np.minimum(np.maximum(large[i], large[j]), np.minimum(large[i], large[j]) * 100 // percent)
-        keep = (large[i] * 100 >= small[j] * percent) & (large[j] * 100 >= small[i] * percent)
-        yield group[i[keep]], group[j[keep]], low[keep].astype(np.int32), high[keep].astype(np.int32)
+
+def _meetings(group: np.ndarray, small: np.ndarray, large: np.ndarray, i: np.ndarray, j: np.ndarray, percent: int = THRESHOLD_PERCENT) -> tuple:
+    """(a, b, smallest, largest fitting size) of the entries i and j that share a token and have sizes that can link."""
+    small_i, small_j, large_i, large_j = (x.astype(np.int64) for x in (small[i], small[j], large[i], large[j]))
+    keep = (large_i * 100 >= small_j * percent) & (large_j * 100 >= small_i * percent)
+    # the sets of the one that have a size the other can link with
+    low = np.maximum(np.minimum(small_i, small_j), -(-np.maximum(small_i, small_j) * percent // 100))
+    high = np.minimum(np.maximum(large_i, large_j), np.minimum(large_i, large_j) * 100 // percent)
+    return group[i][keep], group[j][keep], low[keep].astype(np.int32), high[keep].astype(np.int32)
 
 
 def _summed(found: list[tuple]) -> pa.RecordBatch:
@@ -503,68 +446,123 @@ def _summed(found: list[tuple]) -> pa.RecordBatch:
     a, b, small, large = (np.concatenate(x) for x in zip(*found, strict=True))
     order = np.lexsort((b, a))
     a, b, small, large = (x[order] for x in (a, b, small, large))
-    head = np.flatnonzero(np.concatenate([[True], (a[1:] != a[:-1]) | (b[1:] != b[:-1])])) if len(a) else np.zeros(0, dtype=np.int64)
+    head = np.flatnonzero(np.concatenate([[True], (a[1:] != a[:-1]) | (b[1:] != b[:-1])]))
     shared = np.diff(np.append(head, len(a)))
-    least, most = (f.reduceat(x, head) if len(head) else x for f, x in ((np.minimum, small), (np.maximum, large)))
-    return pa.RecordBatch.from_arrays([pa.array(a[head]), pa.array(b[head]), pa.array(shared.astype(np.int64)), pa.array(least.astype(np.int32)), pa.array(most.astype(np.int32))], names=["a", "b", "shared", "small", "large"])
+    return pa.RecordBatch.from_arrays([pa.array(a[head]), pa.array(b[head]), pa.array(shared.astype(np.int64)), pa.array(np.minimum.reduceat(small, head)), pa.array(np.maximum.reduceat(large, head))], names=["a", "b", "shared", "small", "large"])
 
 
-def _merged(*edges: DataFrame) -> DataFrame:
-    out = edges[0].select("u", "v")
-    for e in edges[1:]:
-        out = out.unionByName(e.select("u", "v"))
-    return out
+#: How a group stands in what is opened: opened for all others, one of a crowd, asking only.
+OPENED, CROWD, ASKING = 0, 1, 2
+
+
+def opened(met: DataFrame, groups: DataFrame, percent: int = THRESHOLD_PERCENT) -> DataFrame:
+    """job, g, kind: the groups g that are compared because of the matrix's rows ``met``, by the largest group of each pair or crowd."""
+    pairs = met.where("shared > 0").groupBy("a", "b").agg(F.sum("shared").alias("shared"), F.min("small").alias("small"), F.max("large").alias("large"))
+    # overlap <= shared + what lies behind the shorter-reaching prefix; least for the smallest and the largest set
+    total = F.col("small") + F.col("large")
+    asked = F.ceil(total * percent / (100.0 + percent)) - (F.ceil(F.col("large") * percent / 100.0) - 1) - 1
+    pairs = pairs.where(F.col("shared") >= asked).select("a", "b")
+    sizes = small_side(stage(groups.groupBy("g").agg(F.count("*").alias("k")), "jaccard-sizes"), BROADCAST_ROWS)
+    of = lambda rows, side: rows.join(sizes.select(F.col("g").alias(side), F.struct("k", "g").alias(f"of_{side}")), side, "left").withColumn(f"of_{side}", F.coalesce(f"of_{side}", F.struct(F.lit(1).cast("long").alias("k"), F.col(side).alias("g"))))
+    sized = of(of(pairs, "a"), "b").select(F.greatest("of_a", "of_b").getField("g").alias("job"), F.least("of_a", "of_b").getField("g").alias("g"))
+    sized = sized.select("job", F.explode(F.array(F.struct(F.col("job").alias("g"), F.lit(OPENED).alias("kind")), F.struct("g", F.lit(ASKING).alias("kind")))).alias("x")).select("job", "x.*")
+    crowds = met.where("shared = 0").select(F.col("a").alias("token"), F.col("b").alias("g"))
+    named = of(crowds, "g").groupBy("token").agg(F.max("of_g").getField("g").alias("job"))
+    crowds = crowds.join(small_side(stage(named, "jaccard-crowds"), BROADCAST_ROWS), "token").select("job", "g", F.lit(CROWD).alias("kind"))
+    return sized.unionByName(crowds).groupBy("job", "g").agg(F.min("kind").alias("kind"))
+
+
+def candidates(members: DataFrame, nearest: bool, percent: int = THRESHOLD_PERCENT) -> DataFrame:
+    """job, u, v, more: pairs of different groups within a job whose signatures allow a link. ``members``: job, id, g, kind, n, signature (staged).
+
+    With ``nearest`` a block pair gives, of the pairs of one set with one group, that of the nearest members only, and ``more`` says that it held others.
+    """
+    k, w = F.count("*"), F.sum("n")
+    wide = F.greatest(F.ceil(k / BLOCK_SETS), F.ceil(w / BLOCK_TOKENS), F.least(F.lit(SPREAD), F.ceil(k / SPREAD_SETS))).cast("int")
+    slots = small_side(stage(members.groupBy("job").agg(wide.alias("slots")), "jaccard-slots"), BROADCAST_ROWS)
+    dealt = members.join(slots, "job").withColumn("slot", F.pmod(F.xxhash64("id", "job"), "slots").cast("int"))
+    dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("slots") - 1))).withColumn("lo", F.least("slot", "other")).withColumn("hi", F.greatest("slot", "other"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for (job, lo, hi), columns in keyed(batches, 3):
+            ids, g, kind, n, slot, marks = _by_size(list(columns), 3, 5)
+
+            def meets(i: int, js: np.ndarray) -> np.ndarray:
+                apart = (g[js] != g[i]) & (ids[js] != ids[i])
+                if lo != hi:
+                    apart &= slot[js] != slot[i]
+                if kind[i] != OPENED:
+                    apart &= (kind[js] == OPENED) | (kind[js] == CROWD) & (kind[i] == CROWD)
+                return apart
+
+            a, b, differ = near(n, marks, percent, meets)
+            had = len(a)
+            if nearest:
+                a, b, differ = _nearest(a, b, g[b], differ)
+                b, a, differ = _nearest(b, a, g[a], differ)
+            if len(a):
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(a), job)), pa.array(ids[a]), pa.array(ids[b]), pa.array(np.full(len(a), had > len(a)))], names=["job", "u", "v", "more"])
+
+    dealt = dealt.select("job", "lo", "hi", "id", "g", "kind", "n", "slot", "signature")
+    return dealt.repartition("job", "lo", "hi").sortWithinPartitions("job", "lo", "hi").mapInArrow(run, "job long, u long, v long, more boolean")
+
+
+def _nearest(one: np.ndarray, other: np.ndarray, group: np.ndarray, differ: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Of the pairs (one, other) the one that differs least for each ``one`` and ``group`` of the other."""
+    order = np.lexsort((differ, group, one))
+    x, y = one[order], group[order]
+    if len(order):
+        order = order[np.concatenate([[True], (x[1:] != x[:-1]) | (y[1:] != y[:-1])])]
+    return one[order], other[order], differ[order]
 
 
 def linked_components(docs: DataFrame, width: int = WIDTH, percent: int = THRESHOLD_PERCENT) -> DataFrame:
     """doc_id, n_shingles, component_id of every row of ``docs``."""
     table = stage(profile(docs, width), "jaccard-profile")
-    rows = table.where("n is not null").select("doc_id", "n", "f1", "f2", "mins")
+    rows = table.where("n is not null").select("doc_id", "n", "f1", "f2")
     total = rows.agg(F.sum("n").alias("s")).first()["s"] or 0
-    real = rows.where("n > 0 and doc_id is not null")
+    real = table.where("n > 0 and doc_id is not null")
     key = ["n", "f1", "f2"]
-    named = real.groupBy(*key).agg(F.min("doc_id").alias("id"), F.first("mins").alias("mins"))
+    named = real.groupBy(*key).agg(F.min("doc_id").alias("id"), F.first("mins").alias("mins"), F.first("signature").alias("signature"))
     named = stage(named, "jaccard-classes")
 
-    # groups: every pair within blocks of classes that share a minimum hash; of keys with the same classes one is enough
+    # groups: blocks of classes that share a minimum hash; of keys with the same classes one is enough
     mins = named.select("id", "n", F.posexplode("mins").alias("j", "low"))
-    keys = mins.groupBy("j", "low").agg(F.count("*").alias("k"), F.bit_xor(F.xxhash64("id")).alias("same")).where("k > 1")
-    keys = keys.groupBy("k", "same").agg(F.min(F.struct("j", "low")).alias("x")).select("x.j", "x.low", "k")
-    members = stage(mins.join(keys, ["j", "low"]).select("j", "low", "id", "k"), "jaccard-members")
-    sets = class_sets(docs, members.select("id"), width)
-    with batch_rows(docs.sparkSession, BATCH_BLOCKS):
-        found = stage(block_links(packed(members.drop("k").join(sets, "id"), ["j", "low"], "items"), percent), "jaccard-blocks")
+    slots = F.greatest(F.ceil(F.count("*") / BLOCK_SETS), F.ceil(F.sum("n") / BLOCK_TOKENS)).cast("int")
+    keys = mins.groupBy("j", "low").agg(F.count("*").alias("k"), slots.alias("slots"), F.bit_xor(F.xxhash64("id")).alias("same")).where("k > 1")
+    keys = keys.groupBy("k", "same").agg(F.min(F.struct("j", "low", "slots")).alias("x")).select("x.*")
+    members = stage(mins.join(keys, ["j", "low"]).withColumn("slot", F.pmod(F.xxhash64("id"), "slots").cast("int")).select("j", "low", "slot", "slots", "id", "n"), "jaccard-members")
+    found = stage(block_stars(members.join(named.select("id", "n", "signature"), ["id", "n"]), percent), "jaccard-stars")
     hubs = found.where("hub is not null").groupBy("j", "low").agg(F.max_by("hub", F.struct("degree", "hub")).alias("v"))
-    spokes = members.where(F.col("k") > BLOCK_SETS).join(hubs, ["j", "low"]).where("id != v").select(F.col("id").alias("u"), "v").distinct()
-    links = stage(_merged(found.where("u is not null"), verified(spokes, sets, percent)), "jaccard-links")
+    spokes = members.where("slots > 1").join(hubs, ["j", "low"]).where("id != v").select(F.col("id").alias("u"), "v")
+    pairs = stage(found.where("u is not null").select("u", "v").unionByName(spokes).distinct(), "jaccard-pairs")
+    links = stage(verified(pairs, docs, width, percent), "jaccard-links")
     groups = stage(components(links, "jaccard-groups").select(F.col("node").alias("id"), F.col("component").alias("g")), "jaccard-groups")
 
-    # the matrix and the pairs of groups it lets through
-    copies = real.select("doc_id", *key).join(named.select(*key, "id"), key).select(F.col("doc_id").alias("id"), (F.col("doc_id") == F.col("id")).alias("first"))
-    copies = stage(copies.groupBy("id").agg(F.max("first").alias("first")), "jaccard-copies")
-    frequent = frequent_bitmap(table.where("slice is not null"), total)
-    pairs = stage(matrix_candidates(docs, copies, groups, frequent, total, width, percent), "jaccard-candidates")
-
-    # the larger group of a pair is opened for the members of the other, a cluster for all but its largest group
-    sizes = groups.groupBy("g").agg(F.count("*").alias("k"))
-    sized = lambda side: sizes.select(F.col("g").alias(side), F.col("k").alias(f"k{side}"))
-    met = pairs.join(sized("b"), "b", "left").withColumn("kb", F.coalesce("kb", F.lit(1)))
-    two = met.where(~F.col("cluster")).join(sized("a"), "a", "left")
-    swap = F.coalesce("ka", F.lit(1)) > F.col("kb")
-    two = two.select(F.when(swap, F.col("b")).otherwise(F.col("a")).alias("asking"), F.when(swap, F.col("a")).otherwise(F.col("b")).alias("g"))
-    crowd = stage(met.where("cluster").select("a", F.col("b").alias("g"), "kb"), "jaccard-clusters")
-    largest = crowd.groupBy("a").agg(F.max_by("g", F.struct("kb", "g")).alias("most"))
-    pair_job, crowd_job = F.concat(F.lit("g"), F.col("g").cast("string")), F.concat(F.lit("c"), F.col("a").cast("string"))
-    asking = two.select(pair_job.alias("job"), F.col("asking").alias("g")).unionByName(crowd.join(largest, "a").where("g != most").select(crowd_job.alias("job"), "g"))
-    asked = two.select(pair_job.alias("job"), "g").distinct().unionByName(crowd.select(crowd_job.alias("job"), "g"))
-    of = lambda rows: rows.join(groups, "g", "left").select("job", F.coalesce("id", "g").alias("id"))
-    queries = stage(of(asking).distinct(), "jaccard-queries")
-    targets = stage(of(asked), "jaccard-targets")
-    sets = class_sets(docs, queries.select("id").unionByName(targets.select("id")), width)
-    with batch_rows(docs.sparkSession, BATCH_BLOCKS):
-        blocks = packed(queries.join(sets, "id"), ["job"], "queries").join(packed(targets.join(sets, "id"), ["job"], "members"), "job")
-        opened = stage(opened_links(blocks, percent), "jaccard-opened")
-    label = stage(components(_merged(links, opened), "jaccard-joined"), "jaccard-labels")
+    # the matrix, and the groups that its bound lets through
+    copies = real.select("doc_id", *key).join(named.select(*key, "id"), key).groupBy(F.col("doc_id").alias("id")).agg(F.max(F.col("doc_id") == F.col("id")).alias("first"))
+    status = stage(copies.join(groups, "id", "left").where("not first or g is not null"), "jaccard-status")
+    met = stage(matrix(docs, status, frequent_bitmap(table.where("slice is not null"), total), total, width, percent), "jaccard-met")
+    jobs = stage(opened(met, groups, percent), "jaccard-jobs")
+    release(met, found, members)
+
+    # members of what is opened, by their signatures and then by their sets
+    alone = jobs.join(groups.select("g").distinct(), "g", "left_anti").withColumn("id", F.col("g"))
+    members = jobs.join(groups, "g").select("job", "g", "kind", "id").unionByName(alone.select("job", "g", "kind", "id"))
+    members = stage(members.join(named.select("id", "n", "signature"), "id"), "jaccard-opened")
+    close = stage(candidates(members, True, percent), "jaccard-close")
+    links = [links, stage(verified(stage(close.select("u", "v").distinct(), "jaccard-pairs"), docs, width, percent), "jaccard-links")]
+    label = stage(components(_merged(*links), "jaccard-joined"), "jaccard-labels")
+    of = lambda side: label.select(F.col("node").alias(side), F.col("component").alias(f"of_{side}"))
+    apart = close.where("more").join(of("u"), "u", "left").join(of("v"), "v", "left").where("coalesce(of_u, u) != coalesce(of_v, v)").select("job").distinct()
+    apart = stage(apart, "jaccard-apart")
+    if not apart.isEmpty():
+        left = members.join(apart, "job", "left_semi").join(label.withColumnRenamed("node", "id"), "id", "left")
+        left = stage(left.select("job", "id", F.coalesce("component", "g").alias("g"), "kind", "n", "signature"), "jaccard-opened")
+        pairs = stage(candidates(left, False, percent).select("u", "v").distinct(), "jaccard-pairs")
+        links.append(stage(verified(pairs, docs, width, percent), "jaccard-links"))
+        label = stage(components(_merged(*links), "jaccard-joined"), "jaccard-labels")
+    release(close, members, jobs)
 
     by_class = named.join(label, named["id"] == label["node"], "left").select(*key, F.coalesce("component", "id").alias("component"))
     out = rows.join(by_class, key, "left")
@@ -573,8 +571,21 @@ def linked_components(docs: DataFrame, width: int = WIDTH, percent: int = THRESH
     return out.select("doc_id", F.col("n").alias("n_shingles"), component.alias("component_id"))
 
 
+def _merged(*edges: DataFrame) -> DataFrame:
+    out = edges[0].select("u", "v")
+    for e in edges[1:]:
+        out = out.unionByName(e.select("u", "v"))
+    return out
+
+
 def one_of_each(docs: DataFrame, width: int = WIDTH, percent: int = THRESHOLD_PERCENT) -> DataFrame:
-    """``docs`` with one document of each component, the one of the smallest doc_id; every column is kept as it is."""
-    found = linked_components(docs, width, percent)
+    """``docs`` with one row of each component, of the document with the smallest doc_id; every column is kept as it is."""
+    found = stage(linked_components(docs, width, percent), "jaccard-components")
     lost = stage(found.where("component_id != doc_id").select("doc_id").distinct(), "jaccard-lost")
-    return docs.join(small_side(lost, BROADCAST_ROWS), "doc_id", "left_anti").select(*docs.columns)
+    kept = docs.join(small_side(lost, BROADCAST_ROWS), "doc_id", "left_anti").select(*docs.columns)
+    twice = stage(found.where("component_id = doc_id").groupBy("doc_id").agg(F.count("*").alias("k")).where("k > 1").select("doc_id"), "jaccard-twice")
+    if twice.isEmpty():
+        return kept
+    twice = small_side(twice, BROADCAST_ROWS)
+    one = kept.join(twice, "doc_id", "left_semi").groupBy("doc_id").agg(F.min_by(F.struct(*[F.col(c) for c in docs.columns]), F.struct(F.coalesce(F.col("text"), F.lit("")))).alias("x"))
+    return kept.join(twice, "doc_id", "left_anti").select(*docs.columns).unionByName(one.select("x.*"))
