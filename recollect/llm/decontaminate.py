@@ -3,16 +3,19 @@
 Items and documents are sets of word shingles (five words, lower-cased). Containment of an item in a document is the
 share of the item's shingles that the document holds. Items are partitioned by size; in a partition of items with at
 most u shingles the sketch of an item is its ``u - ceil(threshold * u) + 1`` smallest hashes. A document that holds the
-threshold's share of an item misses too few shingles to miss the whole sketch, so looking up sketch hashes finds
-every such pair, however long the document. What is found is verified by counting the item's distinct shingles in
-the document exactly, words against words.
+threshold's share of an item misses at most ``n - ceil(threshold * n)`` of its n shingles, so however long it is, it holds all but
+so many of the sketch. The search is by sketches alone: hashes of documents' shingles meet the sketches' hashes, and a document with
+enough of an item's sketch is a candidate for that item. Candidates are then verified by counting the item's distinct
+shingles in the document exactly, words against words.
 
-Only DataFrame expressions are used. Documents are never shuffled: their shingles meet the items' in a broadcast join
-while the items' shingles are within a counted bound, and by a shuffle of hashes beyond it.
+Only DataFrame expressions are used. Documents are not shuffled: their shingle hashes meet the sketches, and the candidates' shingles
+the items' shingles, in broadcast joins while those tables are within a counted size; beyond it hashes (16 bytes for each shingle) are
+shuffled in the search, and shingles of candidates alone in the verification.
 
 Defined cases: items with fewer than five words count as one shingle of all their words, which only a document
 of just those words holds; null and empty items and texts have no shingles and match nothing; repeated rows of documents give
-one row for each doc_id and item; equal items each get their own rows; extra columns are ignored.
+one row for each doc_id and item, and texts under one doc_id are one document; a row with a null doc_id is not searched, and stays; equal items each get their own rows; very
+long texts are searched whole, one row for each shingle; an empty table of documents or items gives no rows; extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -24,53 +27,66 @@ from recollect.runtime import small_side, stage
 
 SHINGLE = 5
 THRESHOLD = 0.75
-#: Item shingles broadcast at most (about 100 bytes each).
+#: Fixed-width rows (sketch hashes, candidates, doc_ids) broadcast at most, and bytes of items' shingles.
 BROADCAST_SHINGLES = 200_000
+BROADCAST_BYTES = 32 << 20
 
 _SPACE = r"[ \t-\r]+"
 
 
+def _words(rows: DataFrame, key: str) -> DataFrame:
+    words = F.array_remove(F.split(F.lower(F.col("text").cast("string")), _SPACE), "")
+    return rows.where("text is not null").select(F.col(key).cast("long").alias(key), words.alias("w")).where(F.col(key).isNotNull() & (F.size("w") > 0))
+
+
+def _starts(width: int):
+    return F.sequence(F.lit(1), F.greatest(F.size("w") - (width - 1), F.lit(1)))
+
+
 def shingles(rows: DataFrame, key: str, width: int = SHINGLE) -> DataFrame:
-    """key and the ``width`` words w0.. of every shingle (with repetitions); missing words of short texts are null."""
-    words = F.filter(F.split(F.lower(F.col("text").cast("string")), _SPACE), lambda w: w != "")
-    cut = rows.where("text is not null").select(F.col(key).cast("long").alias(key), words.alias("w"))
-    n = F.size("w")
-    columns = [F.slice("w", F.lit(1 + i), F.greatest(n - (width - 1), F.lit(1))) for i in range(width)]
-    zipped = F.arrays_zip(*[c.alias(f"w{i}") for i, c in enumerate(columns)])
-    return cut.where(n > 0).select(key, F.inline(zipped).alias(*[f"w{i}" for i in range(width)]))
+    """key, h, s: hash and words of every shingle (with repetitions); short texts are one shingle of all their words."""
+    each = _words(rows, key).select(key, F.explode(F.transform(_starts(width), lambda i: F.slice("w", i, width))).alias("s"))
+    return each.select(key, F.xxhash64("s").alias("h"), "s")
 
 
-def _hashed(rows: DataFrame, width: int) -> DataFrame:
-    return rows.withColumn("h", F.xxhash64(*[f"w{i}" for i in range(width)]))
+def shingle_hashes(rows: DataFrame, key: str, width: int = SHINGLE) -> DataFrame:
+    """key, h of every shingle (with repetitions)."""
+    return _words(rows, key).select(key, F.explode(F.transform(_starts(width), lambda i: F.xxhash64(F.slice("w", i, width)))).alias("h"))
 
 
 def item_sketches(items: DataFrame, width: int = SHINGLE, threshold: float = THRESHOLD) -> DataFrame:
-    """item_id, h, w0.., n_item, in_sketch: the distinct shingles of each item."""
-    own = _hashed(shingles(items, "item_id", width), width).distinct()
+    """item_id, h, s, n_item, in_sketch, asked: the distinct shingles of each item; ``asked`` of those in its sketch a holder must have."""
+    own = shingles(items, "item_id", width).distinct()
     n = F.count("*").over(Window.partitionBy("item_id"))
-    rank = F.row_number().over(Window.partitionBy("item_id").orderBy("h"))
+    rank = F.row_number().over(Window.partitionBy("item_id").orderBy("h", "s"))
     sized = own.select("*", n.alias("n_item"), rank.alias("rank"))
     top = F.pow(F.lit(2.0), F.ceil(F.log2("n_item")))  # partition of sizes (top / 2, top]
-    sketch = top - F.ceil(F.lit(threshold) * top) + 1
-    return sized.select("item_id", "h", *[f"w{i}" for i in range(width)], "n_item", (F.col("rank") <= sketch).alias("in_sketch"))
+    sketch = F.least((top - F.ceil(F.lit(threshold) * top) + 1).cast("long"), F.col("n_item"))
+    missing = F.col("n_item") - F.ceil(F.lit(threshold) * F.col("n_item"))
+    return sized.select("item_id", "h", "s", "n_item", (F.col("rank") <= sketch).alias("in_sketch"), F.greatest(sketch - missing, F.lit(1)).cast("long").alias("asked"))
+
+
+def candidates(docs: DataFrame, sketches: DataFrame, width: int = SHINGLE) -> DataFrame:
+    """doc_id, item_id of the pairs that share enough of the item's sketch."""
+    asked = sketches.where("in_sketch").select("item_id", "h", "asked").distinct()
+    if asked.count() <= BROADCAST_SHINGLES:
+        asked = F.broadcast(asked)
+    met = shingle_hashes(docs, "doc_id", width).join(asked, "h").groupBy("doc_id", "item_id", "h").agg(F.first("asked").alias("asked"))
+    return met.groupBy("doc_id", "item_id").agg(F.count("*").alias("k"), F.first("asked").alias("asked")).where("k >= asked").select("doc_id", "item_id")
 
 
 def contained(docs: DataFrame, items: DataFrame, width: int = SHINGLE, threshold: float = THRESHOLD) -> DataFrame:
     """doc_id, item_id, n_item, n_common, containment of every pair at or above the threshold."""
     sketches = stage(item_sketches(items, width, threshold), "benchmark-sketches")
-    words = [f"w{i}" for i in range(width)]
-    theirs = sketches.select("item_id", F.col("h").alias("ih"), *[F.col(w).alias(f"i{w}") for w in words], "n_item", "in_sketch")
-    if sketches.count() <= BROADCAST_SHINGLES:
-        theirs = F.broadcast(theirs)
-    own = _hashed(shingles(docs, "doc_id", width), width).where("doc_id is not null")
-    met = own.join(theirs, F.col("h") == F.col("ih"))
-    for w in words:  # equal hashes are not taken for equal words
-        met = met.where(F.col(w).eqNullSafe(F.col(f"i{w}")))
-    each = met.groupBy("doc_id", "item_id", "n_item", "h").agg(F.max("in_sketch").alias("in_sketch"))
-    pairs = each.groupBy("doc_id", "item_id", "n_item").agg(F.count("*").alias("n_common"), F.max("in_sketch").alias("found"))
-    return pairs.where(F.col("found") & (F.col("n_common") >= F.lit(threshold) * F.col("n_item"))).select(
-        "doc_id", "item_id", F.col("n_item").cast("long").alias("n_item"), "n_common", (F.col("n_common") / F.col("n_item")).alias("containment")
-    )
+    found = stage(candidates(docs, sketches, width), "benchmark-candidates")
+    size = sketches.agg(F.sum(F.aggregate("s", F.lit(48).cast("long"), lambda n, w: n + F.octet_length(w) + 16))).first()[0] or 0
+    theirs = sketches.select("item_id", F.col("h").alias("ih"), F.col("s").alias("words"), "n_item")
+    theirs = F.broadcast(theirs) if size <= BROADCAST_BYTES else theirs
+    suspects = docs.withColumn("doc_id", F.col("doc_id").cast("long")).join(small_side(stage(found.select("doc_id").distinct(), "benchmark-suspects"), BROADCAST_SHINGLES), "doc_id", "left_semi")
+    met = shingles(suspects, "doc_id", width).join(theirs, (F.col("h") == F.col("ih")) & (F.col("s") == F.col("words")))  # equal hashes are not taken for equal words
+    each = met.select("doc_id", "item_id", "n_item", "s").distinct().join(small_side(found, BROADCAST_SHINGLES), ["doc_id", "item_id"], "left_semi")
+    pairs = each.groupBy("doc_id", "item_id", "n_item").agg(F.count("*").alias("n_common")).where(F.col("n_common") >= F.lit(threshold) * F.col("n_item"))
+    return pairs.select("doc_id", "item_id", F.col("n_item").cast("long").alias("n_item"), "n_common", (F.col("n_common") / F.col("n_item")).alias("containment"))
 
 
 def drop_contaminated(docs: DataFrame, items: DataFrame, width: int = SHINGLE, threshold: float = THRESHOLD) -> DataFrame:
