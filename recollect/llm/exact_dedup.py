@@ -4,13 +4,13 @@ A text is normalised (each run of ASCII white space becomes one space; null coun
 chunks. Every chunk gets two polynomial hashes ``sum(b[i] * r**(n-1-i)) mod p``, one matrix product for all
 chunks of a text; hashes of neighbours combine by length-shifted arithmetic, ``H(AB) = H(A) * r**|B| + H(B)``,
 so chunks of a huge text can be hashed in any order and place. Rows of equal fingerprint and length are then
-compared chunk by chunk: the chunks' bytes are grouped beside fingerprint and chunk number, which collapses
-copies before the shuffle. A fingerprint with two different chunks in one place is a collision, and its rows
+compared chunk by chunk: the texts of repeated fingerprints alone are read again, and their chunks' bytes are grouped beside fingerprint
+and chunk number, which collapses copies before the shuffle. A fingerprint with two different chunks in one place is a collision, and its rows
 are grouped by their whole text instead.
 
 Defined cases: null and empty texts are equal to each other; of equal texts the row with the smallest doc_id
-stays (a null doc_id sorts last); of repeated rows with that doc_id exactly one is kept; an empty table gives
-an empty result; extra columns are ignored, whatever their names.
+stays (a null doc_id sorts last); of repeated rows with that doc_id exactly one is kept; very long texts are normalised and hashed in
+blocks of fixed size, so that a text takes a small multiple of its own bytes; an empty table gives an empty result; extra columns are ignored, whatever their names.
 """
 
 from __future__ import annotations
@@ -33,20 +33,32 @@ COMPARE_CHUNK = 65536
 #: A set of repeated fingerprints (24 bytes each) of up to this many rows is broadcast; larger ones shuffle.
 BROADCAST_ROWS = 200_000
 
+#: Bytes that are normalised, and chunks that are hashed, at once.
+BLOCK = 1 << 20
+BLOCK_CHUNKS = 256
+
 _SPACES = b" \t\n\x0b\x0c\r"
 
 
-def normalise(text: str | None) -> bytes:
-    """UTF-8 of the text with each run of white space as one space."""
-    raw = (text or "").encode("utf-8", "surrogatepass")
-    if not raw:
-        return raw
+def _squeezed(raw: bytes) -> bytes:
     inner = b" ".join(raw.split())
     if not inner:
         return b" "
     return (b" " if raw[0] in _SPACES else b"") + inner + (b" " if raw[-1] in _SPACES else b"")
 
 
+def normalise(text: str | None) -> bytes:
+    """UTF-8 of the text with each run of white space as one space."""
+    raw = (text or "").encode("utf-8", "surrogatepass")
+    if len(raw) <= BLOCK:
+        return _squeezed(raw) if raw else raw
+    out = bytearray()
+    for at in range(0, len(raw), BLOCK):
+        piece = _squeezed(raw[at : at + BLOCK])
+        out += piece[1:] if out[-1:] == b" " and piece[:1] == b" " else piece
+    return bytes(out)
+
+
 class Fingerprinter:
     """Hashes byte strings for one (modulus, radix) and combines hashes of adjacent strings."""
 
@@ -65,9 +77,9 @@ class Fingerprinter:
         raw = np.frombuffer(data, dtype=np.uint8)
         whole = len(raw) // self.chunk
         out = []
-        if whole:
-            sums = raw[: whole * self.chunk].reshape(whole, self.chunk).astype(np.uint64) @ self.powers
-            out = [(int(x) % self.p, self.chunk) for x in sums]
+        table = raw[: whole * self.chunk].reshape(whole, self.chunk)
+        for at in range(0, whole, BLOCK_CHUNKS):
+            out += [(int(x) % self.p, self.chunk) for x in table[at : at + BLOCK_CHUNKS].astype(np.uint64) @ self.powers]
         rest = raw[whole * self.chunk :]
         if len(rest):
             out.append((int(rest.astype(np.uint64) @ self.powers[-len(rest) :]) % self.p, len(rest)))
@@ -124,35 +136,39 @@ def _chunks(docs: DataFrame, hashes, size: int) -> DataFrame:
     return docs.select(F.col("text").cast("string").alias("text")).mapInArrow(run, schema)
 
 
-def collisions(docs: DataFrame, repeated: DataFrame, hashes=HASHES, size: int = COMPARE_CHUNK) -> DataFrame:
-    """Fingerprints among ``repeated`` under which texts differ in some chunk."""
-    keys = F.broadcast(repeated) if repeated.count() <= BROADCAST_ROWS else repeated
-    chunks = _chunks(docs, hashes, size).join(keys, ["f1", "f2", "n"], "left_semi")
-    different = chunks.groupBy("f1", "f2", "n", "part", "chunk").agg(F.lit(1).alias("one"))
+def collisions(docs: DataFrame, ids: DataFrame, hashes=HASHES, size: int = COMPARE_CHUNK) -> DataFrame:
+    """Fingerprints under which texts differ in some chunk, of the rows of ``docs`` whose doc_id is in ``ids``."""
+    again = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    again = again.join(ids, again["doc_id"].eqNullSafe(ids["doc_id"]), "left_semi")
+    different = _chunks(again, hashes, size).groupBy("f1", "f2", "n", "part", "chunk").agg(F.lit(1).alias("one"))
     return different.groupBy("f1", "f2", "n", "part").agg(F.count("*").alias("k")).where("k > 1").select("f1", "f2", "n").distinct()
 
 
 def exact_groups(docs: DataFrame, hashes=HASHES, size: int = COMPARE_CHUNK) -> DataFrame:
     """One row per row of ``docs``: doc_id, keep_id, group_size, kept, text_sha256, n_bytes."""
     prints = stage(fingerprints(docs, hashes).withColumn("row", F.monotonically_increasing_id()), "fingerprints")
-    repeated = stage(prints.groupBy("f1", "f2", "n").agg(F.count("*").alias("k")).where("k > 1").select("f1", "f2", "n"), "repeated")
-    collided = stage(collisions(docs, repeated, hashes, size), "collided")
+    print_key = ["f1", "f2", "n"]
+    repeated = stage(prints.groupBy(*print_key).agg(F.count("*").alias("k")).where("k > 1").select(*print_key), "repeated")
+    ids = stage(prints.join(small_side(repeated, BROADCAST_ROWS), print_key, "left_semi").select("doc_id").distinct(), "repeated-ids")
+    collided = stage(collisions(docs, small_side(ids, BROADCAST_ROWS), hashes, size), "collided")
     if collided.isEmpty():
         rows = prints.withColumn("text", F.lit(""))
     else:  # the SHA-256 only pairs rows with their texts; equality is decided on the text
         bad = docs.select(F.decode(_normalised(F.col("text")), "utf-8").alias("text"))
         bad = bad.withColumn("text_sha256", F.sha2(F.encode("text", "utf-8"), 256)).distinct()
-        wrong = prints.join(collided, ["f1", "f2", "n"], "left_semi").select("text_sha256").distinct()
+        wrong = prints.join(collided, print_key, "left_semi").select("text_sha256").distinct()
         texts = bad.join(wrong, "text_sha256", "left_semi")
         rows = prints.join(texts, "text_sha256", "left").withColumn("text", F.coalesce("text", F.lit("")))
-    key = ["f1", "f2", "n", "text"]
+    key = [*print_key, "text"]
     first = F.struct(F.col("doc_id").isNull().alias("missing"), "doc_id", "row")
-    groups = rows.groupBy(*key).agg(F.min(first).alias("first"), F.count("*").alias("group_size"))
-    return rows.join(groups, key).select(
+    # only groups of several rows meet their rows again: one row for each such group, staged, so that Spark can split the rows of a large one
+    groups = stage(rows.groupBy(*key).agg(F.min(first).alias("first"), F.count("*").alias("group_size")).where("group_size > 1"), "exact-groups")
+    own = F.col("first").isNull()
+    return rows.join(small_side(groups, BROADCAST_ROWS) if collided.isEmpty() else groups, key, "left").select(
         "doc_id",
-        F.col("first.doc_id").alias("keep_id"),
-        F.col("group_size"),
-        (F.col("row") == F.col("first.row")).alias("kept"),
+        F.when(own, F.col("doc_id")).otherwise(F.col("first.doc_id")).alias("keep_id"),
+        F.coalesce("group_size", F.lit(1).cast("long")).alias("group_size"),
+        (own | (F.col("row") == F.col("first.row"))).alias("kept"),
         "text_sha256",
         F.col("n").alias("n_bytes"),
     )
