@@ -10,7 +10,8 @@ Only DataFrame expressions are used. What is shuffled are sums by prefix, never
 
 Defined cases: null and empty texts have no bytes but a shard; a null key is hashed as the empty string; rows
 with equal keys cannot be parted, so a bucket of one key over the limit (or a single row over it) is a shard
-marked ``oversized``; an empty table has no shards; extra columns are ignored.
+marked ``oversized``; very long texts count by their bytes; an empty table has no shards, and is written as a folder without rows; extra columns are ignored, and written as they are:
+the folder column takes the first of ``shard``, ``shard_``, ... that is not in use.
 """
 
 from __future__ import annotations
@@ -20,12 +21,14 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from recollect.runtime import stage
+from recollect.runtime import small_side, stage
 
 LIMIT_BYTES = 4 << 20
 #: Bits below an even spread that one pass looks at, and the bits of the hash.
 SLACK_BITS = 4
 HASH_BITS = 60
+#: Hashes with their shard (about 150 bytes each) broadcast at most; more are joined by shuffle.
+BROADCAST_ROWS = 100_000
 
 
 def hash_bits(key: Column) -> Column:
@@ -65,27 +68,38 @@ def directory(rows: DataFrame, limit: int = LIMIT_BYTES) -> DataFrame:
         depth, top = top, min(HASH_BITS, top + 2 * SLACK_BITS)
 
 
-def assign(docs: DataFrame, key: str = "doc_id", limit: int = LIMIT_BYTES) -> DataFrame:
-    """doc_id, bytes, shard, depth, shard_bytes, shard_docs, oversized of every row."""
-    size = F.octet_length(F.coalesce(F.col("text").cast("string"), F.lit(""))).cast("long")
-    rows = stage(docs.select(F.col("doc_id").cast("long").alias("doc_id"), size.alias("bytes"), hash_bits(F.col(key)).alias("bits")), "shard-rows")
-    shards = directory(rows, limit)
+def _located(rows: DataFrame, shards: DataFrame) -> DataFrame:
+    """``rows`` (with ``bits``) beside the columns of the shard that each belongs to."""
     depths = [r["depth"] for r in shards.select("depth").distinct().orderBy("depth").collect()]  # at most HASH_BITS + 1
     if not depths:
-        return rows.select("doc_id", "bytes").join(shards, F.lit(False))
+        return rows.join(shards, F.lit(False))
     # a row belongs to the one shard among its prefixes of the depths that occur
     prefixes = F.array(*[F.substring("bits", 1, d) if d else F.lit("") for d in depths])
-    return rows.select("doc_id", "bytes", F.explode(prefixes).alias("shard")).join(shards, "shard").select("doc_id", "bytes", "shard", "depth", "shard_bytes", "shard_docs", "oversized")
+    return rows.withColumn("shard", F.explode(prefixes)).join(shards, "shard")
+
+
+def assign(docs: DataFrame, key: str = "doc_id", limit: int = LIMIT_BYTES) -> DataFrame:
+    """doc_id, bytes, shard, depth, shard_bytes, shard_docs, oversized of every row."""
+    size = F.octet_length(F.coalesce(F.col("text").cast("string"), F.lit(""))).cast("long")
+    rows = stage(docs.select(F.col("doc_id").cast("long").alias("doc_id"), size.alias("bytes"), hash_bits(F.col(key)).alias("bits")), "shard-rows")
+    return _located(rows, directory(rows, limit)).select("doc_id", "bytes", "shard", "depth", "shard_bytes", "shard_docs", "oversized")
+
 
+def write_shards(docs: DataFrame, path: str, key: str = "doc_id", limit: int = LIMIT_BYTES) -> str:
+    """Write ``docs`` as Parquet, one folder for each shard; returns the name of the folder column.
 
-def write_shards(docs: DataFrame, path: str, key: str = "doc_id", limit: int = LIMIT_BYTES) -> None:
-    """Write ``docs`` as Parquet, one folder for each shard."""
-    rows = docs.withColumn("__bits", hash_bits(F.col(key)))
-    sized = rows.select(F.octet_length(F.coalesce("text", F.lit(""))).cast("long").alias("bytes"), F.col("__bits").alias("bits"))
-    shards = directory(stage(sized, "shard-rows"), limit).select("shard", "depth")
-    depths = [r["depth"] for r in shards.select("depth").distinct().orderBy("depth").collect()]
-    prefixes = F.array(*[F.substring("__bits", 1, d) if d else F.lit("") for d in depths])
-    own = rows.withColumn("shard", F.explode(prefixes)).join(shards, "shard", "left_semi").drop("__bits")
+    Shards are found for the hashes of keys; texts are moved once, to the task that writes their shard.
+    """
+    used = {c.lower() for c in docs.columns}
+    folder = "shard"
+    while folder in used:
+        folder += "_"
+    size = F.octet_length(F.coalesce(F.col("text").cast("string"), F.lit(""))).cast("long")
+    rows = stage(docs.select(size.alias("bytes"), hash_bits(F.col(key)).alias("bits")), "shard-rows")
     # readers take a folder named by digits alone for a number
-    own = own.withColumn("shard", F.concat(F.lit("bits"), "shard"))
-    own.repartition("shard").write.partitionBy("shard").parquet(path)
+    places = _located(rows.select("bits").distinct(), directory(rows, limit)).select("bits", F.concat(F.lit("bits"), "shard").alias("place"))
+    places = small_side(stage(places, "shard-places"), BROADCAST_ROWS)
+    whole = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("r"), hash_bits(F.col(key)).alias("bits"))
+    own = whole.join(places, "bits").select("r.*", F.col("place").alias(folder))
+    own.repartition(folder).write.partitionBy(folder).parquet(path)
+    return folder
