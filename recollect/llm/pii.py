@@ -1,20 +1,30 @@
 """Personal data: fixed patterns, and terms that give the protected entity away.
 
 The patterns find e-mail addresses, IP addresses, payment cards and phone numbers. The method then estimates from the
-whole corpus how strongly a term in the documents of a protected entity reveals it: with counts n of whole documents,
-``PMI = log(n(e,t) * N / (n(e) * n(t)))`` is the information that term t gives about entity e, and
-``IC = log(N / n(e))`` what there is to know about it. A term with ``PMI / IC`` at or above the disclosure
-threshold, in several documents of the entity with different words, is a further span (kind ``term``) wherever it stands in a document that holds the entity.
-``sanitise`` replaces base spans by their kind (generalisation) and removes disclosing terms.
+whole corpus how strongly a term reveals what is protected, as the share of the information about it that the term
+gives: with counts n of whole documents, ``PMI = log(n(e,t) * N / (n(e) * n(t)))`` over ``IC = log(N / n(e))``.
+
+* An *entity* is one address or number. A term that reaches ``DISCLOSURE`` with one, in several documents of the entity with different
+  words, is a further span (kind ``term``) wherever it stands in a document that holds the entity.
+* The *concept* is that a document holds any entity. Most entities stand in a single document, so what gives personal data away in
+  general is estimated here: the probability of the concept given a term, taken at the lower end of a confidence interval (``CONFIDENCE`` standard
+  deviations), has to give ``CONCEPT_DISCLOSURE`` of the concept's information. Such a term is a span in every document. Documents with the same least word hash (near copies) count once for a term.
+
+Terms are words of three letters or more, and identifiers: runs of 16 or more letters, digits and ``+/_=-`` with a letter and a
+digit. A single identifier is too rare to be counted, so identifiers are counted as their class (kinds of characters and length, as a power of two).
+
+``sanitised`` replaces base spans by their kind and identifiers by ``<id>`` (generalisation), and removes other disclosing terms.
 
 Defined cases: null counts as empty; matches that fail their test (a part over 255, digit counts, Luhn) are
 dropped without another try; spans are code points, end exclusive; repeated rows get equal rows; documents with equal words (copies) count once as support;
-with an empty table there are no statistics and no rows; extra columns are ignored.
+a null doc_id is a document like any other; very long texts are read whole; terms of equal strength are all spans; with an empty table there are no statistics and no rows; extra columns are ignored
+(``sanitised`` keeps them as they are).
 """
 
 from __future__ import annotations
 
 import hashlib
+import math
 import re
 from collections import Counter
 from collections.abc import Iterator
@@ -25,11 +35,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from recollect.runtime import bound_batches, small_side, stage
+from recollect.runtime import bound_batches, release, small_side, stage
 
 KINDS = ("email", "ip", "card", "phone")
 MIN_CONTEXTS = 3
 DISCLOSURE = 0.9
+CONCEPT_DISCLOSURE = 0.7
+CONFIDENCE = 3.0
 #: Candidate terms, and disclosing pairs, sent to the executors as a set, up to this many; more are joined by shuffle.
 BROADCAST_TERMS = 100_000
 #: Counts that a task holds before it passes them on.
@@ -42,7 +54,8 @@ _IP = re.compile(r"(?<![0-9])[0-9]++(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)")
 _CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 _DIGIT = re.compile(r"[0-9]")
-_TERM = re.compile(r"[^\W\d_]{3,}")
+_TERM = re.compile(r"(?P<id>(?=[A-Za-z0-9+/_=-]{16})(?=[A-Za-z+/_=-]*[0-9])(?=[0-9+/_=-]*[A-Za-z])[A-Za-z0-9+/_=-]+)|[^\W\d_]{3,}")
+_IDENTIFIER = re.compile(r"[A-Za-z0-9+/_=-]{16,}")
 
 
 def _emails(text: str) -> Iterator[tuple[int, int]]:
@@ -89,9 +102,15 @@ def base_spans(text: str | None) -> list[tuple[str, int, int]]:
     return out
 
 
+def identifier_class(run: str) -> str:
+    """``#`` with the kinds of characters of an identifier and its length, rounded down to a power of two."""
+    kinds = "".join(k for k, has in (("l", str.islower), ("u", str.isupper), ("d", str.isdigit)) if any(map(has, run)))
+    return f"#{kinds}{'' if run.isalnum() else 's'}{1 << (len(run).bit_length() - 1)}"
+
+
 def terms_of(text: str) -> list[tuple[str, int, int]]:
     """(term, start, end) of every term of the text."""
-    return [(m.group().lower(), m.start(), m.end()) for m in _TERM.finditer(text)]
+    return [(identifier_class(m.group()) if m.lastgroup else m.group().lower(), m.start(), m.end()) for m in _TERM.finditer(text)]
 
 
 def outside(text: str, spans: list[tuple[str, int, int]]) -> list[tuple[str, int, int]]:
@@ -127,10 +146,12 @@ def _parsed(written: str) -> list[tuple[str, int, int]]:
 
 _SCAN = T.StructType(
     [
+        T.StructField("row", T.LongType()),
         T.StructField("doc_id", T.LongType()),
         *[T.StructField(f"n_{k}", T.LongType()) for k in KINDS],
         T.StructField("base_sha256", T.StringType()),
         T.StructField("base", T.StringType()),
+        T.StructField("concept", T.StringType()),
         T.StructField("entities", T.ArrayType(T.LongType())),
         T.StructField("context", T.LongType()),
         T.StructField("text", T.StringType()),
@@ -138,24 +159,109 @@ _SCAN = T.StructType(
 )
 
 
-def scan(docs: DataFrame) -> DataFrame:
-    """Base spans of every row; of rows with any, also the entities, a hash of the words outside the spans, and the text."""
-    bound_batches(docs.sparkSession)
+def _plain(docs: DataFrame) -> DataFrame:
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+
+
+def numbered(docs: DataFrame) -> DataFrame:
+    """row, doc_id, text."""
+    return _plain(docs).select(F.monotonically_increasing_id().alias("row"), "doc_id", "text")
+
+
+def scan(rows: DataFrame, terms: frozenset[str] = frozenset()) -> DataFrame:
+    """Base spans of every one of ``rows`` (row, doc_id, text), and the places of ``terms`` outside them; of rows with base spans also the entities, a hash of the words outside the spans, and the text."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = [t or "" for t in batch.column(1).to_pylist()]
+            texts = [t or "" for t in batch.column(2).to_pylist()]
             spans = [base_spans(t) for t in texts]
             counts = [Counter(k for k, _, _ in s) for s in spans]
             written = [_written(s) for s in spans]
+            concept = [",".join(f"term:{a}:{b}" for w, a, b in outside(t, s) if w in terms) if terms else "" for t, s in zip(texts, spans, strict=True)]
             own = [entities(t, s) for t, s in zip(texts, spans, strict=True)]
             context = [_hash(" ".join(w for w, _, _ in outside(t, s))) if s else None for t, s in zip(texts, spans, strict=True)]
             held = [t if s else None for t, s in zip(texts, spans, strict=True)]
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), *[pa.array([c[k] for c in counts], pa.int64()) for k in KINDS], pa.array([hashlib.sha256(w.encode()).hexdigest() for w in written], pa.string()), pa.array(written, pa.string()), pa.array(own, pa.list_(pa.int64())), pa.array(context, pa.int64()), pa.array(held, pa.string())],
+                [batch.column(0), batch.column(1), *[pa.array([c[k] for c in counts], pa.int64()) for k in KINDS], pa.array([hashlib.sha256(w.encode()).hexdigest() for w in written], pa.string()), pa.array(written, pa.string()), pa.array(concept, pa.string()), pa.array(own, pa.list_(pa.int64())), pa.array(context, pa.int64()), pa.array(held, pa.string())],
                 names=_SCAN.fieldNames(),
             )
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(run, _SCAN)
+    return rows.mapInArrow(run, _SCAN)
+
+
+def holders(docs: DataFrame) -> DataFrame:
+    """kin, terms, n, n_holders: of each document with an entity its least word hash and its distinct terms; for each task a row with its numbers of documents and of such."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        n = 0
+        names = ["kin", "terms", "n", "n_holders"]
+        held = 0
+        for batch in batches:
+            n += batch.num_rows
+            kin, terms = [], []
+            for text in batch.column(0).to_pylist():
+                spans = base_spans(text)
+                if spans:
+                    found = sorted({t for t, _, _ in outside(text, spans)})
+                    kin.append(min(map(_hash, found), default=0))
+                    terms.append(found)
+            held += len(kin)
+            none = pa.nulls(len(kin), pa.int64())
+            yield pa.RecordBatch.from_arrays([pa.array(kin, pa.int64()), pa.array(terms, pa.list_(pa.string())), none, none], names=names)
+        yield pa.RecordBatch.from_arrays([pa.nulls(1, pa.int64()), pa.nulls(1, pa.list_(pa.string())), pa.array([n], pa.int64()), pa.array([held], pa.int64())], names=names)
+
+    return docs.select(F.col("text").cast("string").alias("text")).mapInArrow(run, "kin long, terms array<string>, n long, n_holders long")
+
+
+def disclosed(n_both: int, n_term: int, n_holders: int, total: int, confidence: float = CONFIDENCE) -> float:
+    """Share of the concept's information that a term gives, at the lower end (Wilson) of the interval of its probability."""
+    n, p, z = max(n_term, n_both), min(1.0, n_both / max(n_term, n_both)), confidence
+    low = (p + z * z / (2 * n) - z * math.sqrt(p * (1 - p) / n + z * z / (4 * n * n))) / (1 + z * z / n)
+    prior = n_holders / total
+    return math.log(low / prior) / -math.log(prior) if low > 0 and prior < 1 else 0.0
+
+
+def _disclosed_column(n_both, n_term, n_holders: int, total: int, confidence: float = CONFIDENCE):
+    n, z, prior = F.greatest(n_term, n_both), confidence, n_holders / total
+    p = n_both / n
+    low = (p + z * z / (2 * n) - z * F.sqrt(p * (1 - p) / n + z * z / (4 * n * n))) / (1 + z * z / n)
+    return F.when(low > 0, F.log(low / prior) / -math.log(prior)).otherwise(0.0)
+
+
+def concept_terms(docs: DataFrame, threshold: float = CONCEPT_DISCLOSURE, bound: int = BROADCAST_TERMS) -> DataFrame:
+    """term, n_both, n_term, disclosure: the terms that give away, in any document, that it holds an entity (staged)."""
+    rows = stage(holders(docs), "pii-holders")
+    sums = rows.agg(F.sum("n").alias("n"), F.sum("n_holders").alias("k")).first()
+    total, k = sums["n"] or 0, sums["k"] or 0
+    empty = "term string, n_both long, n_term long, disclosure double"
+    if not 0 < k < total or disclosed(k, k, k, total) < threshold:
+        return docs.sparkSession.createDataFrame([], empty)
+    # the least support that can reach the threshold, with a term that only holders have
+    support = next(n for n in range(1, k + 1) if disclosed(n, n, k, total) >= threshold)
+    once = rows.where("kin is not null").groupBy("kin").agg(F.min("terms").alias("terms"))
+    both = once.select(F.explode("terms").alias("term")).groupBy("term").agg(F.count("*").alias("n_both")).where(F.col("n_both") >= support)
+    both = stage(both, "pii-concept-pairs")
+    release(rows)
+    if both.isEmpty():
+        return docs.sparkSession.createDataFrame([], empty)
+    joined = both.join(document_counts(docs, both.select("term"), bound), "term")
+    joined = joined.withColumn("disclosure", _disclosed_column(F.col("n_both"), F.col("n_term"), k, total))
+    return stage(joined.where(F.col("disclosure") >= threshold).select("term", "n_both", "n_term", "disclosure"), "pii-concept")
+
+
+def _concept_by_shuffle(rows: DataFrame, terms: DataFrame) -> DataFrame:
+    """row, concept: the places of ``terms`` in ``rows`` (row, text), where they are too many to be sent to every task."""
+
+    def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kinds = (pa.int64(), pa.string(), pa.int64(), pa.int64())
+        for batch in batches:
+            for row, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                flat = [(row, *t) for t in outside(text or "", base_spans(text))]
+                yield pa.RecordBatch.from_arrays([pa.array([f[i] for f in flat], kind) for i, kind in enumerate(kinds)], names=["row", "term", "start", "stop"])
+
+    found = rows.select("row", "text").mapInArrow(each, "row long, term string, start long, stop long").join(terms.select("term"), "term", "left_semi")
+    written = F.transform(F.sort_array(F.collect_list(F.struct("start", "stop"))), lambda s: F.concat(F.lit("term:"), s["start"], F.lit(":"), s["stop"]))
+    return found.groupBy("row").agg(F.array_join(written, ",").alias("concept"))
 
 
 def document_counts(docs: DataFrame, terms: DataFrame, bound: int = BROADCAST_TERMS) -> DataFrame:
@@ -259,35 +365,77 @@ def marks(held: DataFrame, pairs: DataFrame, bound: int = BROADCAST_TERMS) -> Da
     return found.select("row", "start", "stop").distinct().groupBy("row").agg(F.sort_array(F.collect_list(F.struct("start", "stop"))).alias("terms"))
 
 
-def find(docs: DataFrame, threshold: float = DISCLOSURE, support: int = MIN_CONTEXTS, bound: int = BROADCAST_TERMS) -> DataFrame:
-    """One row per row of ``docs``: doc_id, counts by kind, base_sha256, spans (base and added), n_term."""
-    rows = stage(scan(docs).withColumn("row", F.monotonically_increasing_id()), "pii-scan")
+def _found(numbered_rows: DataFrame, docs: DataFrame, threshold: float, support: int, bound: int) -> DataFrame:
+    """row and the columns of ``find``; ``numbered_rows``: row, doc_id, text of ``docs``."""
+    terms = concept_terms(docs, bound=bound)
+    if terms.count() <= bound:
+        rows = scan(numbered_rows, frozenset(r["term"] for r in terms.select("term").collect()))  # at most `bound` words
+        rows = stage(rows, "pii-scan")
+    else:
+        numbered_rows = stage(numbered_rows, "pii-rows")
+        places = _concept_by_shuffle(numbered_rows, terms)
+        rows = stage(scan(numbered_rows).drop("concept").join(places, "row", "left").withColumn("concept", F.coalesce("concept", F.lit(""))), "pii-scan")
     each = rows.where("text is not null").select("row", "context", F.explode("entities").alias("entity"))
     seen = each.groupBy("entity", "context").agg(F.count("*").alias("n")).groupBy("entity").agg(F.count("*").alias("contexts"), F.sum("n").alias("n_entity"))
     entity = stage(seen.where(F.col("contexts") >= support).select("entity", "n_entity"), "pii-entities")
-    own = each.join(small_side(entity.select("entity"), bound), "entity", "left_semi").groupBy("row").agg(F.collect_list("entity").alias("entities"))
-    held = stage(rows.select("row", "base", "context", "text").join(own, "row"), "pii-held")
-    pairs = stage(disclosing(docs, stage(together(held, support), "pii-pairs"), entity, rows.count(), threshold), "pii-disclosing")
-    added = marks(held, pairs, bound)
-    terms = F.coalesce(F.transform("terms", lambda s: F.concat(F.lit("term:"), s["start"], F.lit(":"), s["stop"])), F.array().cast("array<string>"))
-    return rows.join(added, "row", "left").select(
+    added = None
+    if not entity.isEmpty():
+        own = each.join(small_side(entity.select("entity"), bound), "entity", "left_semi").groupBy("row").agg(F.collect_list("entity").alias("entities"))
+        held = stage(rows.where("text is not null").select("row", "base", "context", "text").join(own, "row"), "pii-held")
+        pairs = stage(disclosing(docs, stage(together(held, support), "pii-pairs"), entity, rows.count(), threshold), "pii-disclosing")
+        added = marks(held, pairs, bound)
+    place = lambda s: F.struct(F.split(s, ":")[1].cast("long").alias("start"), F.split(s, ":")[2].cast("long").alias("stop"))
+    concept = F.transform(F.when(F.col("concept") == "", F.array().cast("array<string>")).otherwise(F.split("concept", ",")), place)
+    if added is None:
+        places = concept
+    else:
+        rows = rows.join(added, "row", "left")
+        places = F.array_sort(F.array_union(concept, F.coalesce("terms", F.array().cast(_MARKS))))
+    spans = F.transform(places, lambda s: F.concat(F.lit("term:"), s["start"], F.lit(":"), s["stop"]))
+    return rows.select(
+        "row",
         "doc_id",
         *[f"n_{k}" for k in KINDS],
         "base_sha256",
-        F.concat_ws(",", F.when(F.col("base") != "", F.col("base")), terms).alias("spans"),
-        F.size(terms).cast("long").alias("n_term"),
+        F.concat_ws(",", F.when(F.col("base") != "", F.col("base")), spans).alias("spans"),
+        F.size(spans).cast("long").alias("n_term"),
     )
 
 
+def find(docs: DataFrame, threshold: float = DISCLOSURE, support: int = MIN_CONTEXTS, bound: int = BROADCAST_TERMS) -> DataFrame:
+    """One row per row of ``docs``: doc_id, counts by kind, base_sha256, spans (base and added), n_term."""
+    bound_batches(docs.sparkSession)
+    return _found(numbered(docs), docs, threshold, support, bound).drop("row")
+
+
 def sanitise(text: str, spans: str) -> str:
-    """The text with base spans replaced by ``<kind>`` and disclosing terms removed."""
+    """The text with base spans replaced by ``<kind>``, disclosing identifiers by ``<id>``, and other disclosing terms removed."""
     out, at = [], 0
     parsed = sorted((int(a), -int(b), k) for k, a, b in (s.split(":") for s in spans.split(",") if s))
     for start, stop, kind in parsed:
         if start >= at:
-            out += [text[at:start], "" if kind == "term" else f"<{kind}>"]
+            general = "<id>" if _IDENTIFIER.fullmatch(text, start, -stop) else ""
+            out += [text[at:start], general if kind == "term" else f"<{kind}>"]
         at = max(at, -stop)
     return "".join(out) + text[at:]
 
 
-__all__ = ["base_spans", "disclosing", "document_counts", "entities", "find", "marks", "outside", "sanitise", "scan", "terms_of", "together"]
+def sanitised(docs: DataFrame, threshold: float = DISCLOSURE, support: int = MIN_CONTEXTS, bound: int = BROADCAST_TERMS) -> DataFrame:
+    """``docs`` with sanitised texts; null texts and every other column stay as they are."""
+    bound_batches(docs.sparkSession)
+    whole = stage(docs.select(F.monotonically_increasing_id().alias("row"), F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("r")), "pii-whole")
+    plain = whole.select("row", F.col("r.doc_id").cast("long").alias("doc_id"), F.col("r.text").cast("string").alias("text"))
+    spans = _found(plain, plain, threshold, support, bound).where("spans != ''").select("row", "spans")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            clean = [sanitise(t, s) for t, s in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(clean, pa.string())], names=["row", "clean"])
+
+    clean = plain.join(spans, "row").select("row", "text", "spans").mapInArrow(run, "row long, clean string")
+    both = whole.join(clean, "row", "left")
+    text = F.coalesce("clean", F.col("r.text"))
+    return both.select(*[text.alias(c) if c == "text" else F.col(f"r.`{c}`").alias(c) for c in docs.columns])
+
+
+__all__ = ["base_spans", "concept_terms", "disclosed", "disclosing", "document_counts", "entities", "find", "marks", "outside", "sanitise", "sanitised", "scan", "terms_of", "together"]
