@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import unicodedata
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -10,14 +12,16 @@ REASON_LIMIT = 200
 CHUNK_CHARS = 1400
 SNIPPET_CHARS = 200
 
-#: Latin letters with marks and what they fold to.
-_ACCENTED = "àáâãäåèéêëìíîïòóôõöùúûüýÿñçÀÁÂÃÄÅÈÉÊËÌÍÎÏÒÓÔÕÖÙÚÛÜÝÑÇ"
-_PLAIN = "aaaaaaeeeeiiiiooooouuuuyyncAAAAAAEEEEIIIIOOOOOUUUUYNC"
+def _latin_folds() -> tuple[str, str]:
+    """Latin letters that decompose into a plain letter and marks, and those letters."""
+    parts = [(chr(c), unicodedata.normalize("NFD", chr(c))) for c in [*range(0xC0, 0x250), *range(0x1E00, 0x1F00)]]
+    kept = [(c, d[0]) for c, d in parts if len(d) > 1 and d[0].isascii() and all(map(unicodedata.combining, d[1:]))]
+    return "".join(c for c, _ in kept), "".join(d for _, d in kept)
 
 
 def fold_marks(text: Column) -> Column:
-    """Strip the marks of Latin letters; ß stays ß."""
-    return F.translate(text, _ACCENTED, _PLAIN)
+    """Strip the marks of Latin letters, composed or decomposed; letters that do not decompose (ß, ł, ø) stay."""
+    return F.regexp_replace(F.translate(text, *_latin_folds()), r"(?<=[A-Za-z])\p{Mn}+", "")
 
 
 def index_tokens(text: Column) -> Column:
@@ -69,19 +73,27 @@ def without_frontmatter(text: Column) -> Column:
     return F.regexp_replace(text, r"(?s)\A---\s*\n.*?\n---\s*\n", "")
 
 
+def stripped(text: Column) -> Column:
+    """Without white space at either end."""
+    return F.regexp_replace(text, r"(?U)\A\s+|\s+\z", "")
+
+
 def packed_paragraphs(body: Column, limit: int = CHUNK_CHARS) -> Column:
-    """A section's text whole if it fits, else its paragraphs packed in order up to the limit."""
-    paragraphs = F.filter(F.transform(F.split(body, r"\n\s*\n"), F.trim), lambda p: p != "")
+    """A section's text whole if it fits, else its paragraphs packed in order up to the limit.
+
+    Blank paragraphs are dropped; the others keep their text as it is, and only the ends of a finished chunk are stripped.
+    """
+    paragraphs = F.filter(F.split(body, r"\n\s*\n"), lambda p: stripped(p) != "")
     empty = F.struct(F.array().cast("array<string>").alias("out"), F.lit("").alias("cur"))
 
     def step(state, para):
         flush = (F.length(state["cur"]) + F.length(para) + 2 > limit) & (state["cur"] != "")
         return F.struct(
-            F.when(flush, F.array_append(state["out"], state["cur"])).otherwise(state["out"]).alias("out"),
+            F.when(flush, F.array_append(state["out"], stripped(state["cur"]))).otherwise(state["out"]).alias("out"),
             F.when(flush | (state["cur"] == ""), para).otherwise(F.concat(state["cur"], F.lit("\n\n"), para)).alias("cur"),
         )
 
-    packed = F.aggregate(paragraphs, empty, step, lambda s: F.when(s["cur"] != "", F.array_append(s["out"], s["cur"])).otherwise(s["out"]))
+    packed = F.aggregate(paragraphs, empty, step, lambda s: F.when(s["cur"] != "", F.array_append(s["out"], stripped(s["cur"]))).otherwise(s["out"]))
     return F.when(F.length(body) <= limit, F.array(body)).otherwise(packed)
 
 
@@ -100,8 +112,10 @@ def snippet(text: Column, query: Column, width: int = SNIPPET_CHARS) -> Column:
 
 
 def clamped(value: Column, default: int, ceiling: int) -> Column:
-    """An integer limit: the default if it is none, within 1 and the ceiling."""
-    return F.least(F.greatest(F.coalesce(value.try_cast("int"), F.lit(default)), F.lit(1)), F.lit(ceiling))
+    """An integer limit: the default if it is no whole number, within 1 and the ceiling however many digits it has."""
+    text = F.trim(value.cast("string"))
+    digits = F.when(text.rlike(r"^[+-]?[0-9]+$"), F.when(F.length(F.regexp_replace(text, r"^[+-]?0*", "")) > 18, F.when(text.startswith("-"), F.lit(1)).otherwise(F.lit(ceiling))).otherwise(text.try_cast("long")))
+    return F.least(F.greatest(F.coalesce(digits, F.lit(default)), F.lit(1)), F.lit(ceiling)).cast("int")
 
 
 def valid_point_id(value: Column) -> Column:

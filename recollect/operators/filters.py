@@ -3,6 +3,10 @@
 Values: a scalar (equal), ``"*"`` (present), or a mapping of operators. ``AND``, ``OR`` and ``NOT`` take lists. Every
 condition is two-valued - an absent key fails a test and passes its negation - and the scope is always ANDed, so a
 specification can narrow a scope but never widen it.
+
+Keys are free: one that the rows do not have is absent, an empty array counts as absent, and an operand of another type than the
+column's (a number for a text, a range on a text, a text for a boolean) matches nothing. An array matches if any of its elements does.
+Nothing is cast, so no row can make a filter fail. A text operand without any token matches nothing.
 """
 
 from __future__ import annotations
@@ -11,10 +15,11 @@ from functools import reduce
 from operator import and_, or_
 from typing import Any
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from recollect.functions.text import has_all_tokens
+from recollect.functions.text import has_all_tokens, whole_tokens
 
 RANGES = {"gt": Column.__gt__, "gte": Column.__ge__, "lt": Column.__lt__, "lte": Column.__le__}
 LOGICAL = ("AND", "OR", "NOT")
@@ -36,8 +41,8 @@ def _operand_fault(op: str, v: Any) -> str | None:
         return f"{op} takes a number"
     if op in ("in", "nin") and (not isinstance(v, list) or not v or not all(map(_scalar, v))):
         return f"{op} takes a non-empty list of scalars"
-    if op in ("contains", "icontains") and not isinstance(v, str):
-        return f"{op} takes a string"
+    if op in ("contains", "icontains") and (not isinstance(v, str) or not v):
+        return f"{op} takes a non-empty string"
     if op in ("eq", "ne") and not _scalar(v):
         return f"{op} takes a scalar"
     return None
@@ -87,40 +92,69 @@ def _holds(c: Column) -> Column:
     return F.coalesce(c, F.lit(False))
 
 
-def _test(column: Column, op: str, v: Any) -> Column:
+def _comparable(kind: T.DataType, v: Any) -> bool:
+    """Whether values of the column's type can equal the operand."""
+    if isinstance(v, bool):
+        return isinstance(kind, T.BooleanType)
+    return isinstance(kind, T.NumericType if isinstance(v, (int, float)) else T.StringType)
+
+
+def _hit(column: Column, kind: T.DataType, op: str, v: Any) -> Column:
+    """Whether one value passes a positive test; null and values of other types do not."""
     if op in RANGES:
-        return _holds(RANGES[op](column, F.lit(v)))
+        return _holds(RANGES[op](column, F.lit(v))) if isinstance(kind, T.NumericType) else F.lit(False)
     if op in ("contains", "icontains"):
-        return column.isNotNull() & has_all_tokens(column, F.lit(v))
-    if op in ("in", "nin"):
-        hit = _holds(column.isin(v))
+        return _holds(column.isNotNull() & (F.size(whole_tokens(F.lit(v))) > 0) & has_all_tokens(column, F.lit(v))) if isinstance(kind, T.StringType) else F.lit(False)
+    fit = [x for x in (v if op in ("in", "nin") else [v]) if _comparable(kind, x)]
+    return _holds(column.isin(fit)) if fit else F.lit(False)
+
+
+def _test(key: str, schema: T.StructType, op: str, v: Any) -> Column:
+    kind = schema[key].dataType if key in schema.names else None
+    name = F.col(f"`{key}`")
+    if kind is None:
+        hit = F.lit(False)
+    elif isinstance(kind, T.ArrayType):
+        hit = _holds(F.exists(name, lambda x: _hit(x, kind.elementType, op, v)))
     else:
-        hit = _holds(column == F.lit(v))
+        hit = _hit(name, kind, op, v)
     return ~hit if op in ("ne", "nin") else hit
 
 
-def _compile(spec: dict[str, Any]) -> Column:
+def _present(key: str, schema: T.StructType) -> Column:
+    if key not in schema.names:
+        return F.lit(False)
+    name = F.col(f"`{key}`")
+    return _holds(F.size(name) > 0) if isinstance(schema[key].dataType, T.ArrayType) else name.isNotNull()
+
+
+def _compile(spec: dict[str, Any], schema: T.StructType) -> Column:
     parts = []
     for key, test in spec.items():
         if key == "AND":
-            parts += [_compile(c) for c in test]
+            parts += [_compile(c, schema) for c in test]
         elif key == "OR":
-            parts.append(reduce(or_, [_compile(c) for c in test]))
+            parts.append(reduce(or_, [_compile(c, schema) for c in test]))
         elif key == "NOT":
-            parts += [~_compile(c) for c in test]
+            parts += [~_compile(c, schema) for c in test]
         elif test == "*":
-            parts.append(F.col(key).isNotNull())
+            parts.append(_present(key, schema))
         else:
-            parts += [_test(F.col(key), op, v) for op, v in (test.items() if isinstance(test, dict) else [("eq", test)])]
+            parts += [_test(key, schema, op, v) for op, v in (test.items() if isinstance(test, dict) else [("eq", test)])]
     return reduce(and_, parts) if parts else F.lit(True)
 
 
-def where(spec: dict[str, Any] | None = None, scope: dict[str, Any] | None = None, include_archived: bool = True) -> Column:
-    """Condition of a specification within a scope; without ``include_archived`` archived rows are out."""
+def where(schema: T.StructType, spec: dict[str, Any] | None = None, scope: dict[str, Any] | None = None, include_archived: bool = False) -> Column:
+    """Condition of a specification within a scope, for rows of a schema; archived rows are out unless they are asked for."""
     found = faults(spec or {}, scope)
     if found:
         raise FilterError("; ".join(found))
-    parts = [_holds(F.col(k) == F.lit(v)) for k, v in (scope or {}).items()]
+    parts = [_test(k, schema, "eq", v) for k, v in (scope or {}).items()]
     if not include_archived:
-        parts.append(~_holds(F.col("archived")))
-    return reduce(and_, [*parts, _compile(spec or {})])
+        parts.append(~_test("archived", schema, "eq", True))
+    return reduce(and_, [*parts, _compile(spec or {}, schema)])
+
+
+def matching(rows: DataFrame, spec: dict[str, Any] | None = None, scope: dict[str, Any] | None = None, include_archived: bool = False) -> DataFrame:
+    """The rows that a specification lets through, within a scope."""
+    return rows.where(where(rows.schema, spec, scope, include_archived))

@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from recollect.runtime import bound_batches
+from recollect.runtime import bound_batches, stage
 
 #: Query vectors sent to the executors at most; a larger query table is processed in blocks of this many.
 QUERY_BLOCK = 4096
@@ -37,45 +37,66 @@ def dense_topk(points: DataFrame, queries: DataFrame, k: int, metric: str = "cos
     """query_id, point_id, score, rank: the k points of highest score for each query.
 
     ``points``: point_id long, dense array; ``queries``: query_id long, dense array. ``same`` names a column of both
-    that must be equal (a scope). Each task multiplies blocks of points with the queries and keeps k rows for each
-    query; those meet in one window by query. Euclid scores are negative distances.
+    that must be equal (a scope). Each task multiplies blocks of points with a block of queries and keeps k rows for each
+    query; those meet in one window by query. The driver holds one block of queries at a time. Euclid scores are negative distances.
+    Vectors of unlike widths are an error.
     """
     spark = points.sparkSession
     bound_batches(spark, 4096)
-    scope = [same] if same else []
-    rows = sorted(queries.select("query_id", "dense", *scope).where("dense is not null").collect(), key=lambda r: r["query_id"])
-    out = None
-    for at in range(0, max(1, len(rows)), QUERY_BLOCK):
-        block = rows[at : at + QUERY_BLOCK]
-        found = _block_topk(points, block, k, metric, same)
-        out = found if out is None else out.unionByName(found)
+    asked = queries.select("query_id", "dense", *([same] if same else [])).where("dense is not null")
+    total = asked.count()
+    if total <= QUERY_BLOCK:
+        found = _block_topk(points, asked.collect(), k, metric, same)
+    else:
+        parts = 2 * total // QUERY_BLOCK + 1
+        asked = stage(asked.withColumn("part", F.pmod(F.xxhash64("query_id"), F.lit(parts))), "query-blocks")
+        found = None
+        for part in range(parts):
+            one = stage(_block_topk(points, asked.where(F.col("part") == part).drop("part").collect(), k, metric, same), "query-block-hits")  # about QUERY_BLOCK / 2 rows
+            found = one if found is None else found.unionByName(one)
     best = Window.partitionBy("query_id").orderBy(F.col("score").desc(), "point_id")
-    return out.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k)
+    return found.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k)
+
+
+def _matrix(vectors: pa.ListArray, width: int | None) -> np.ndarray:
+    """Rows of a list column as one array, without a Python object for each number."""
+    flat, sizes = vectors.flatten().to_numpy(zero_copy_only=False), np.diff(vectors.offsets.to_numpy())
+    wide = width if width is not None else int(sizes[0])
+    if (sizes != wide).any():
+        raise ValueError(f"vectors of different width: {wide} and {sorted(set(sizes.tolist()) - {wide})}")
+    return flat.astype(np.float64, copy=False).reshape(len(sizes), wide)
+
+
+def _best(query: np.ndarray, point: np.ndarray, score: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The k rows of highest score of each query, ties by point."""
+    order = np.lexsort((point, -score, query))
+    query, point, score = query[order], point[order], score[order]
+    head = np.flatnonzero(np.concatenate([[True], query[1:] != query[:-1]])) if len(query) else order
+    place = np.arange(len(query)) - np.repeat(head, np.diff(np.append(head, len(query))))
+    return query[place < k], point[place < k], score[place < k]
 
 
 def _block_topk(points: DataFrame, block: list, k: int, metric: str, same: str | None) -> DataFrame:
+    block = sorted(block, key=lambda r: r["query_id"])
     ids = np.array([r["query_id"] for r in block], dtype=np.int64)
-    q = np.array([r["dense"] for r in block], dtype=np.float64) if block else np.zeros((0, 1))
-    scopes = [r[same] for r in block] if same else None
+    q = _matrix(pa.array([r["dense"] for r in block], pa.list_(pa.float64())), None) if block else None
+    scopes = np.array([r[same] for r in block], dtype=object) if same else None
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        best: list[list[tuple[float, int]]] = [[] for _ in ids]
+        best = (np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64), np.zeros(0))
         for batch in batches:
             if not batch.num_rows or not len(ids):
                 continue
-            point = np.array(batch.column(0).to_pylist(), dtype=np.int64)
-            x = np.array(batch.column(1).to_pylist(), dtype=np.float64)
-            s = np.round(_scores(q, x, metric), SCORE_DIGITS) + 0.0
+            point = batch.column(0).to_numpy(zero_copy_only=False)
+            s = np.round(_scores(q, _matrix(batch.column(1), q.shape[1]), metric), SCORE_DIGITS) + 0.0
             if scopes is not None:
-                own = batch.column(2).to_pylist()
-                s[np.array([[a != b for b in own] for a in scopes])] = -np.inf
-            for i in range(len(ids)):
-                top = np.lexsort((point, -s[i]))[:k]
-                best[i] = sorted(best[i] + [(-float(s[i, j]), int(point[j])) for j in top if s[i, j] > -np.inf])[:k]
-        flat = [(int(ids[i]), p, -s) for i, own in enumerate(best) for s, p in own]
-        yield pa.RecordBatch.from_arrays([pa.array([f[0] for f in flat], pa.int64()), pa.array([f[1] for f in flat], pa.int64()), pa.array([f[2] for f in flat], pa.float64())], names=["query_id", "point_id", "score"])
-
-    own = points.where("dense is not null").select(F.col("point_id").cast("long"), "dense", *([same] if same else []))
+                s[scopes[:, None] != np.array(batch.column(2).to_pylist(), dtype=object)[None, :]] = -np.inf
+            least = np.partition(s, -k, axis=1)[:, -k] if s.shape[1] > k else np.full(len(ids), -np.inf)
+            i, j = np.nonzero((s >= least[:, None]) & (s > -np.inf))
+            best = _best(*(np.concatenate(x) for x in zip(best, (i, point[j], s[i, j]), strict=True)), k)
+        yield pa.RecordBatch.from_arrays([pa.array(ids[best[0]], pa.int64()), pa.array(best[1], pa.int64()), pa.array(best[2], pa.float64())], names=["query_id", "point_id", "score"])
+
+    own = points.where("dense is not null").select(F.col("point_id").cast("long"), F.col("dense").cast("array<double>"), *([same] if same else []))
     return own.mapInArrow(run, "query_id long, point_id long, score double")
 
 

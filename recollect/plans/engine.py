@@ -56,7 +56,7 @@ class MemoryStore:
     def search(self, queries: DataFrame, k: int | None = None, spec: dict | None = None, scope: dict | None = None) -> DataFrame:
         """query_id, point_id, score, rank, text, ts of the best points for each query (query_id, query)."""
         k = min(max(k or self.conf.top_k, 1), 100)
-        allowed = self.points().where(filters.where(spec, scope))
+        allowed = filters.matching(self.points(), spec, scope)
         asked = queries.withColumn("dense", self.embed("query"))
         found = rank.dense_topk(allowed, asked, k, self.conf.metric)
         if self.conf.hybrid:
@@ -74,14 +74,14 @@ class MemoryStore:
             found = found.withColumn("w", temporal.window_udf(now or datetime.now(UTC))("query"))
             found = rank.time_window(found, F.col("w.start"), F.col("w.end")).drop("w")
         if self.conf.entities:
-            found = rank.boosted(found, entities.overlap_udf("query", "text"))
+            found = rank.boosted(found, entities.coverage(entities.mentions(F.col("query")), F.col("text")))
         if self.conf.rerank:
             found = rank.reranked(found, rank.word_overlap(F.col("query"), F.col("text")))
         return found
 
     def scroll(self, session_id: str | None = None, limit: int = 100, include_archived: bool = False) -> DataFrame:
         scope = {"session_id": session_id} if session_id is not None else {}
-        return self.points(include_archived).where(filters.where({}, scope) & (F.col("text") != "")).orderBy("point_id").limit(min(max(limit, 1), 1000))
+        return filters.matching(self.points(include_archived), {}, scope, include_archived).where("text != ''").orderBy("point_id").limit(min(max(limit, 1), 1000))
 
     def forget(self, ids: list[str], confirm: bool = False) -> DataFrame:
         """seq, id, status of the requested ids; with ``confirm`` those found are deleted."""

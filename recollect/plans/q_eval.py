@@ -109,7 +109,7 @@ def hit_rate(spark, d):
     return table(spark, d, "events").groupBy("event_type").agg(F.count("*").alias("n"), F.count_if(v > 50).alias("hits"), F.round(F.avg(v), 6).alias("mean"), F.round(F.median(v), 6).alias("mid"), F.min(v).alias("low"), F.max(v).alias("high"))
 
 
-_ATTEMPTS = "att AS (SELECT CAST(user_id % 5 AS VARCHAR) AS endpoint, event_id AS seq, CAST(event_id AS DOUBLE) AS ts, event_type = 'signup' AS ok FROM events WHERE event_id < 600)"
+_ATTEMPTS = "att AS (SELECT CAST(user_id % 5 AS VARCHAR) AS endpoint, event_id AS seq, CAST(event_id AS DOUBLE) AS ts, event_type = 'signup' AS ok FROM events)"
 
 
 @query(f"""WITH RECURSIVE {_ATTEMPTS}, o AS (SELECT *, row_number() OVER (PARTITION BY endpoint ORDER BY seq) AS i FROM att),

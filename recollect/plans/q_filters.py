@@ -11,7 +11,7 @@ from recollect.plans.base import POINTS, points, query, table
 
 def _filter(name, spec, sql, scope=None, include_archived=True):
     def run(spark, d):
-        return points(spark, d).where(filters.where(spec, scope, include_archived)).select("point_id", "session_id", "kind", "source", "value")
+        return filters.matching(points(spark, d), spec, scope, include_archived).select("point_id", "session_id", "kind", "source", "value")
 
     run.__name__ = name
     query(f"WITH {POINTS} SELECT point_id, session_id, kind, source, value FROM points WHERE {sql}")(run)
@@ -28,12 +28,22 @@ _filter("filter_exists", {"source": "*"}, "source IS NOT NULL")
 _filter("filter_and_or_not", {"AND": [{"value": {"gte": 1}}], "OR": [{"kind": "click"}, {"source": "cli"}], "NOT": [{"kind": "error"}, {"value": {"gt": 400}}]}, "value >= 1 AND (kind = 'click' OR coalesce(source = 'cli', false)) AND kind <> 'error' AND NOT value > 400")
 _filter("filter_nested", {"OR": [{"AND": [{"kind": "view"}, {"NOT": [{"source": "web"}]}]}, {"kind": {"ne": "view"}, "value": {"lt": 5}}]}, "(kind = 'view' AND source IS DISTINCT FROM 'web') OR (kind <> 'view' AND value < 5)")
 _filter("filter_scope_and", {"kind": {"in": ["click", "view"]}}, "session_id = 7 AND kind IN ('click', 'view')", scope={"session_id": 7})
+_filter("filter_type_clash", {"OR": [{"kind": 5}, {"kind": {"gt": 3}}, {"value": "click"}, {"archived": "true"}, {"NOT": [{"session_id": {"ne": "7"}}]}, {"kind": {"in": [5, "view"]}}]}, "kind = 'view'")
+_filter("filter_absent_key", {"nothing": {"ne": 1}, "none": {"nin": [1, 2]}, "NOT": [{"nowhere": "*"}, {"nowhere": {"gt": 1}}], "OR": [{"nowhere": 1}, {"kind": "click"}]}, "kind = 'click'")
+_filter("filter_no_token", {"OR": [{"text": {"contains": "!!!"}}, {"kind": {"icontains": "Error"}}, {"value": {"contains": "1"}}]}, "kind = 'error'")
 _filter("archived_excluded", {}, "archived IS NULL OR NOT archived", include_archived=False)
 
 
+@query(f"WITH {POINTS} SELECT point_id FROM points WHERE point_id % 3 <> 0 AND kind IN ('click', 'view')")
+def filter_arrays(spark, d):
+    """An array matches by any element; an empty one is absent."""
+    tags = F.when(F.col("point_id") % 3 == 0, F.array().cast("array<string>")).otherwise(F.array("kind", F.lit("x")))
+    return filters.matching(points(spark, d).withColumn("tags", tags), {"tags": "*", "AND": [{"tags": {"in": ["click", "view"]}}, {"tags": {"ne": "error"}}, {"NOT": [{"tags": 5}]}]}, include_archived=True).select("point_id")
+
+
 @query(f"WITH {POINTS} SELECT point_id, text, kind FROM points WHERE session_id = 7 AND text <> '' AND (archived IS NULL OR NOT archived) ORDER BY point_id LIMIT 20")
 def scroll_session(spark, d):
-    rows = points(spark, d).where(filters.where({}, {"session_id": 7}, include_archived=False) & (F.col("text") != ""))
+    rows = filters.matching(points(spark, d), {}, {"session_id": 7}).where("text != ''")
     return rows.orderBy("point_id").limit(20).select("point_id", "text", "kind")
 
 
@@ -56,12 +66,12 @@ def points_lookup_missing(spark, d):
     return asked.join(found, "id", "left").select("id", "text", F.coalesce("hit", F.lit(False)).alias("found"))
 
 
-_LIMITS = ["5", "0", "-3", "1000", "abc", "7.5", None, "100", "101"]
+_LIMITS = ["5", "0", "-3", "1000", "abc", "7.5", None, "100", "101", "9999999999", "-9999999999", " 7 "]
 
 
-@query("SELECT raw, CAST(least(greatest(coalesce(CASE WHEN raw SIMILAR TO '[+-]?[0-9]+' THEN CAST(raw AS INTEGER) END, 10), 1), 100) AS INTEGER) AS k FROM (VALUES ('5'), ('0'), ('-3'), ('1000'), ('abc'), (NULL), ('100'), ('101')) t(raw)")
+@query("SELECT raw, CAST(least(greatest(coalesce(CASE WHEN trim(raw) SIMILAR TO '[+-]?[0-9]+' THEN CAST(trim(raw) AS HUGEINT) END, 10), 1), 100) AS INTEGER) AS k FROM (VALUES ('5'), ('0'), ('-3'), ('1000'), ('abc'), ('7.5'), (NULL), ('100'), ('101'), ('9999999999'), ('-9999999999'), (' 7 ')) t(raw)")
 def limit_clamp(spark, d):
-    rows = spark.createDataFrame([(x,) for x in _LIMITS if x != "7.5"], "raw string")
+    rows = spark.createDataFrame([(x,) for x in _LIMITS], "raw string")
     return rows.select("raw", T.clamped(F.col("raw"), 10, 100).alias("k"))
 
 
@@ -85,7 +95,7 @@ def forget_apply(spark, d):
     return points(spark, d).join(F.broadcast(gone), "point_id", "left_anti").groupBy("kind").agg(F.count("*").alias("n"))
 
 
-@query(f"WITH {POINTS} SELECT point_id, substr(text, 1, 12) AS short, CASE WHEN length(text) <= 10 THEN text ELSE substr(text, 1, 10) || '…' END AS summary FROM points WHERE point_id % 50 = 1")
+@query(f"WITH {POINTS} SELECT point_id, substr(text, 1, 12) AS short, CASE WHEN length(text) <= 10 THEN text ELSE substr(text, 1, 10) || '…' END AS summary FROM points")
 def text_truncation(spark, d):
     t = F.col("text")
     return points(spark, d).select("point_id", T.truncated(t, 12).alias("short"), T.summary(t, 10).alias("summary"))

@@ -11,7 +11,7 @@ from recollect.operators import filters, lexical, rank
 from recollect.plans.base import MARKDOWN, POINTS, markdown, points, query, query_vectors, table, vectors
 from recollect.runtime import stage
 
-_KNN = """WITH q AS (SELECT vec_id AS query_id, embedding::DOUBLE[] AS x, label FROM embeddings WHERE vec_id < 20),
+_KNN = """WITH q AS (SELECT vec_id AS query_id, embedding::DOUBLE[] AS x, label FROM embeddings WHERE vec_id % 50 = 0),
 s AS (SELECT query_id, vec_id AS point_id, round({score}, 6) + 0.0 AS score FROM q, embeddings e {where}),
 r AS (SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, point_id) AS INTEGER) AS rank FROM s)
 SELECT query_id, point_id, score, rank FROM r WHERE rank <= 10"""
@@ -34,7 +34,7 @@ def knn_euclid(spark, d):
     return own.withColumn("rank", F.row_number().over(rank.Window.partitionBy("query_id").orderBy(F.col("score").desc(), "point_id"))).where("rank <= 10")
 
 
-_SCOPED = f"""WITH {POINTS}, q AS (SELECT vec_id AS query_id, embedding::DOUBLE[] AS x, label FROM embeddings WHERE vec_id < 20),
+_SCOPED = f"""WITH {POINTS}, q AS (SELECT vec_id AS query_id, embedding::DOUBLE[] AS x, label FROM embeddings WHERE vec_id % 50 = 0),
 s AS (SELECT query_id, vec_id AS point_id, round({_COSINE}, 6) + 0.0 AS score FROM q JOIN embeddings e ON e.label = q.label JOIN points p ON p.point_id = e.vec_id
   WHERE kind IN ('click', 'view') AND value >= 1 AND archived IS NULL),
 r AS (SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, point_id) AS INTEGER) AS rank FROM s)
@@ -44,7 +44,7 @@ SELECT query_id, point_id, score, rank FROM r WHERE rank <= 10"""
 @query(_SCOPED)
 def knn_scoped_filtered(spark, d):
     """Scoped, filtered, archived rows out: the flagship."""
-    allowed = points(spark, d).where(filters.where({"kind": {"in": ["click", "view"]}, "value": {"gte": 1}}, include_archived=False)).select("point_id")
+    allowed = filters.matching(points(spark, d), {"kind": {"in": ["click", "view"]}, "value": {"gte": 1}}).select("point_id")
     return rank.dense_topk(vectors(spark, d).join(allowed, "point_id"), query_vectors(spark, d), 10, same="label")
 
 
@@ -62,7 +62,7 @@ _INDEX = f"""tok AS (SELECT doc_id AS chunk_id, source, {_TOK.format("coalesce(t
 dl AS (SELECT chunk_id, source, len(t) AS dl FROM tok), st AS (SELECT count(*) AS n, avg(dl) AS avgdl FROM dl),
 post AS (SELECT chunk_id, term, count(*) AS tf FROM (SELECT chunk_id, unnest(t) AS term FROM tok) GROUP BY 1, 2),
 df AS (SELECT term, count(*) AS df FROM post GROUP BY 1)"""
-_QT = f"""qt AS (SELECT DISTINCT item_id AS query_id, unnest({_TOK.format("text")}) AS term FROM benchmark WHERE item_id < 10)"""
+_QT = f"""qt AS (SELECT DISTINCT item_id AS query_id, unnest({_TOK.format("text")}) AS term FROM benchmark WHERE item_id % 50 = 0)"""
 _BM25 = """sc AS (SELECT query_id, p.chunk_id, round(-sum(CASE WHEN ln((n - df + 0.5) / (df + 0.5)) <= 0 THEN 1e-6 ELSE ln((n - df + 0.5) / (df + 0.5)) END
   * tf * 2.2 / (tf + 1.2 * (0.25 + 0.75 * dl / avgdl))), 6) AS score FROM qt JOIN post p USING (term) JOIN df USING (term) JOIN dl ON dl.chunk_id = p.chunk_id, st {0} GROUP BY 1, 2),
 lex AS (SELECT query_id, chunk_id, score, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score, chunk_id) AS INTEGER) AS rank FROM sc)"""
@@ -90,7 +90,7 @@ def bm25_phrase_underscore(spark, d):
     return lexical.phrase_hits(rows, F.col("snake"), "of_the").select("conv_id", "turn")
 
 
-@query(f"""WITH {_INDEX}, qtf AS (SELECT item_id AS query_id, term, count(*) AS qtf, max(ql) AS ql FROM (SELECT item_id, len(t) AS ql, unnest(t) AS term FROM (SELECT item_id, {_TOK.format("text")} AS t FROM benchmark WHERE item_id < 10)) GROUP BY 1, 2),
+@query(f"""WITH {_INDEX}, qtf AS (SELECT item_id AS query_id, term, count(*) AS qtf, max(ql) AS ql FROM (SELECT item_id, len(t) AS ql, unnest(t) AS term FROM (SELECT item_id, {_TOK.format("text")} AS t FROM benchmark WHERE item_id % 50 = 0)) GROUP BY 1, 2),
 sc AS (SELECT query_id, p.chunk_id, round(sum(qtf * 2.2 / (qtf + 1.2 * (0.25 + 0.75 * ql / 256.0)) * tf * 2.2 / (tf + 1.2 * (0.25 + 0.75 * dl / 256.0)) * ln(1 + (n - df + 0.5) / (df + 0.5))), 6) AS score
   FROM qtf JOIN post p USING (term) JOIN df USING (term) JOIN dl ON dl.chunk_id = p.chunk_id, st GROUP BY 1, 2),
 r AS (SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, chunk_id) AS INTEGER) AS rank FROM sc) SELECT * FROM r WHERE rank <= 10""")
@@ -100,7 +100,7 @@ def sparse_idf_topk(spark, d):
     return lexical.topk(scores, 10, descending=True)
 
 
-_HYBRID = f"""WITH {_INDEX}, {_QT}, {_BM25.format('')}, q AS (SELECT vec_id AS query_id, embedding::DOUBLE[] AS x FROM embeddings WHERE vec_id < 10),
+_HYBRID = f"""WITH {_INDEX}, {_QT}, {_BM25.format('')}, q AS (SELECT vec_id AS query_id, embedding::DOUBLE[] AS x FROM embeddings WHERE vec_id % 50 = 0),
 ds AS (SELECT query_id, vec_id AS chunk_id, round({_COSINE}, 6) + 0.0 AS score FROM q, embeddings e),
 dn AS (SELECT query_id, chunk_id, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, chunk_id) AS rank FROM ds),
 arms AS (SELECT query_id, chunk_id, rank FROM dn WHERE rank <= 10 UNION ALL SELECT query_id, chunk_id, rank FROM lex WHERE rank <= 10),
@@ -144,7 +144,7 @@ def lexical_all_terms(spark, d):
     return lexical.all_terms(points(spark, d), "VIEW user item 3", F.col("text"), 15).select("point_id", "text")
 
 
-@query(f"""WITH {_INDEX}, {_QT}, {_BM25.format('')}, q AS (SELECT vec_id AS query_id, embedding::DOUBLE[] AS x FROM embeddings WHERE vec_id < 14),
+@query(f"""WITH {_INDEX}, {_QT}, {_BM25.format('')}, q AS (SELECT vec_id AS query_id, embedding::DOUBLE[] AS x FROM embeddings WHERE vec_id % 50 = 0),
 l5 AS (SELECT query_id, chunk_id AS point_id, 'lexical' AS tier, rank FROM lex WHERE rank <= 5),
 few AS (SELECT query_id FROM q WHERE (SELECT count(*) FROM l5 WHERE l5.query_id = q.query_id) < 2),
 sem AS (SELECT query_id, vec_id AS point_id, row_number() OVER (PARTITION BY query_id ORDER BY round({_COSINE}, 6) DESC, vec_id) AS rank FROM q JOIN few USING (query_id), embeddings e)
@@ -166,7 +166,7 @@ def _candidates(spark, d):
     return p.select(F.col("session_id").alias("query_id"), "point_id", F.col("value").alias("score"), "ts", "text").withColumn("rank", F.row_number().over(order)).where("rank <= 12")
 
 
-_CAND = f"""{POINTS}, cand AS (SELECT * FROM (SELECT session_id AS query_id, point_id, value AS score, ts, text, row_number() OVER (PARTITION BY session_id ORDER BY value DESC, point_id) AS rank FROM points WHERE point_id < 4000) WHERE rank <= 12)"""
+_CAND = f"""{POINTS}, cand AS (SELECT * FROM (SELECT session_id AS query_id, point_id, value AS score, ts, text, row_number() OVER (PARTITION BY session_id ORDER BY value DESC, point_id) AS rank FROM points) WHERE rank <= 12)"""
 _W0, _W1 = 1704499200.0, 1705363200.0
 
 
@@ -240,7 +240,7 @@ _CLOSER = f"regexp_matches(array_to_string({_TOKENS}, ' '), '{gate.CLOSER_PATTER
 _LEADS = ", ".join(f"'{w}'" for w in gate.QUESTION_LEADS)
 
 
-@query(f"SELECT t, {_CLOSER} AS skip FROM (VALUES {_TURN_VALUES}) v(t) UNION ALL SELECT text, {_CLOSER.replace('lower(t)', 'lower(text)')} FROM conversations WHERE conv_id % 10 = 0")
+@query(f"SELECT t, {_CLOSER} AS skip FROM (VALUES {_TURN_VALUES}) v(t) UNION ALL SELECT text, {_CLOSER.replace('lower(t)', 'lower(text)')} FROM conversations")
 def gate_store(spark, d):
     fixed = spark.createDataFrame([(t,) for t in _TURNS], "t string")
     own = table(spark, d, "conversations").select(F.col("text").alias("t"))
@@ -290,14 +290,14 @@ def rerank_overlap(spark, d):
 
 @query()
 def entity_extract(spark, d):
-    rows = table(spark, d, "conversations").select("conv_id", "turn", entities.entities_udf("text").alias("found"))
+    rows = table(spark, d, "conversations").select("conv_id", "turn", entities.mentions(F.col("text")).alias("found"))
     return rows.select("conv_id", "turn", F.array_join("found", "|").alias("entities"))
 
 
 @query()
 def entity_boost(spark, d):
     rows = _candidates(spark, d)
-    return rank.boosted(rows, entities.overlap_udf(F.lit("`click` and `item 3`"), F.col("text"))).select("query_id", "point_id", "score", "rank")
+    return rank.boosted(rows, entities.coverage(entities.mentions(F.lit("`click` and `item 3`")), F.col("text"))).select("query_id", "point_id", "score", "rank")
 
 
 @query()
@@ -309,7 +309,7 @@ def recall_pipeline(spark, d):
     cand = _hybrid(spark, d).join(asked, "query_id").join(texts, "point_id").join(times, "point_id", "left")
     cand = rank.without_near_copies(cand)
     cand = rank.time_window(cand, F.lit(_W0), F.lit(_W1))
-    cand = rank.boosted(cand, entities.overlap_udf(F.col("query"), F.col("text")))
+    cand = rank.boosted(cand, entities.coverage(entities.mentions(F.col("query")), F.col("text")))
     return rank.reranked(cand, rank.word_overlap(F.col("query"), F.col("text")), 5).select("query_id", "point_id", "score", "rank")
 
 

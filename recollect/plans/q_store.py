@@ -26,12 +26,12 @@ def chunk_fixed_width(spark, d):
 
 
 _PARA = f"""{MARKDOWN}, whole AS (SELECT path, heading, regexp_replace(body, '^\\s+|\\s+$', '', 'g') AS body FROM md),
-para AS (SELECT path, heading, body, list_filter(list_transform(regexp_split_to_array(body, '\\n\\s*\\n'), lambda p: trim(p)), lambda p: p <> '') AS ps FROM whole WHERE body <> ''),
+para AS (SELECT path, heading, body, list_filter(regexp_split_to_array(body, '\\n\\s*\\n'), lambda p: regexp_matches(p, '\\S')) AS ps FROM whole WHERE body <> ''),
 fold AS (SELECT path, heading, 0 AS i, ps, CAST([] AS VARCHAR[]) AS done, '' AS cur FROM para WHERE length(body) > 1400
   UNION ALL SELECT path, heading, i + 1, ps, CASE WHEN cur <> '' AND length(cur) + length(ps[i + 1]) + 2 > 1400 THEN list_append(done, cur) ELSE done END,
     CASE WHEN cur = '' OR length(cur) + length(ps[i + 1]) + 2 > 1400 THEN ps[i + 1] ELSE cur || chr(10) || chr(10) || ps[i + 1] END FROM fold WHERE i < len(ps)),
 packed AS (SELECT path, heading, CASE WHEN cur <> '' THEN list_append(done, cur) ELSE done END AS parts FROM fold WHERE i = len(ps) UNION ALL SELECT path, heading, [body] FROM para WHERE length(body) <= 1400),
-chunks AS (SELECT path, heading, CAST(generate_subscripts(parts, 1) - 1 AS INTEGER) AS part, unnest(parts) AS content FROM packed)"""
+chunks AS (SELECT path, heading, CAST(generate_subscripts(parts, 1) - 1 AS INTEGER) AS part, regexp_replace(unnest(parts), '^\\s+|\\s+$', '', 'g') AS content FROM packed)"""
 
 
 @query(f"WITH RECURSIVE {_PARA} SELECT path, heading, part, content FROM chunks")
@@ -39,6 +39,18 @@ def chunk_pack_paragraphs(spark, d):
     return C.chunked(markdown(spark, d)).select("path", "heading", "part", "content")
 
 
+_LONG = "x" * 700
+
+
+@query(f"""SELECT * FROM (VALUES ('a.md', 'A', 0, '0 zero start' || chr(10) || chr(10) || '{_LONG}'), ('a.md', 'A', 1, '1. first {_LONG} ends in 20' || chr(10) || chr(10) || '  2024 kept its indent'),
+  ('b.md', 'b.md', 0, 'no heading'), ('c.md', 'c.md', 0, '---' || chr(10) || 'only: this' || chr(10) || '---'), ('d.md', 'd.md', 0, 'd.md')) t(path, heading, part, content)""")
+def chunk_edges(spark, d):
+    """Digits and indents at the edges of paragraphs, a file without a heading, one of front matter only, and an empty one."""
+    long = f"# A\n\n0 zero start\n\n{_LONG}\n \n1. first {_LONG} ends in 20\n\n\n  2024 kept its indent  \n"
+    files = [("a.md", long), ("b.md", "no heading\n# Empty\n"), ("c.md", "---\nonly: this\n---\n"), ("d.md", "")]
+    return C.chunked(spark.createDataFrame(files, "path string, content string")).select("path", "heading", "part", "content")
+
+
 @query(f"WITH {MARKDOWN} SELECT path, heading FROM md WHERE trim(body) <> ''")
 def chunk_heading_path(spark, d):
     return C.sections(markdown(spark, d)).select("path", "heading")
@@ -156,7 +168,7 @@ def cluster_first_fit(spark, d):
     return store.first_fit_clusters(vectors(spark, d).withColumn("pos", F.col("point_id")), "label", 0.35)
 
 
-_GROUPS = f"""{POINTS}, g AS (SELECT point_id, session_id % 20 AS grp, text, ts, importance, CAST(point_id % 3 AS INTEGER) AS chunk_index, session_id, point_id AS pos FROM points WHERE point_id < 400)"""
+_GROUPS = f"""{POINTS}, g AS (SELECT point_id, session_id % 20 AS grp, text, ts, importance, CAST(point_id % 3 AS INTEGER) AS chunk_index, session_id, point_id AS pos FROM points)"""
 
 
 @query(f"""WITH {_GROUPS}, one AS (SELECT grp, first(point_id ORDER BY ts DESC NULLS LAST, pos) AS point_id, first(text ORDER BY length(text) DESC, ts DESC NULLS LAST, pos) AS text, max(ts) AS ts, max(importance) AS importance,
@@ -168,7 +180,7 @@ def merge_payloads(spark, d):
     return store.merged_payloads(rows, "grp")
 
 
-@query(f"WITH {POINTS}, r AS (SELECT point_id, text, first_value(point_id) OVER w AS keeper, row_number() OVER w AS n FROM points WHERE point_id < 3000 WINDOW w AS (PARTITION BY text ORDER BY coalesce(ts, 0.0) DESC, point_id)) SELECT point_id, keeper AS superseded_by, true AS archived FROM r WHERE n > 1")
+@query(f"WITH {POINTS}, r AS (SELECT point_id, text, first_value(point_id) OVER w AS keeper, row_number() OVER w AS n FROM points WINDOW w AS (PARTITION BY text ORDER BY coalesce(ts, 0.0) DESC, point_id)) SELECT point_id, keeper AS superseded_by, true AS archived FROM r WHERE n > 1")
 def supersede_flags(spark, d):
     w = Window.partitionBy("text").orderBy(F.coalesce("ts", F.lit(0.0)).desc(), "point_id")
     r = points(spark, d).select("point_id", F.first("point_id").over(w).alias("superseded_by"), F.row_number().over(w).alias("n"))

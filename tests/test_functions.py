@@ -5,6 +5,7 @@ from datetime import UTC, datetime
 
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from recollect.functions import entities, gate, temporal
 from recollect.functions import text as T
@@ -66,18 +67,46 @@ def test_month_shift_clamps():
         ("e.g. nothing here", []),
         ('a "quoted term" stays', ["quoted term"]),
         ("plain words only", []),
+        ("Alice Smith joined the team", ["Alice Smith"]),
+        ("I saw The Rock at the cinema", ["The Rock"]),
+        ("The cat sat on the mat.", []),
+        ("I and A", []),
+        ("install some-plugin-name today", ["some-plugin-name"]),
+        ("the API and BM25", ["API", "BM25"]),
+        ("run `do_recall` now", ["do_recall"]),
+        ('"' + "word " * 40 + '"', []),
+        ('he said "Stop. Now" loudly', ["Stop. Now"]),
+        ("Alice met ALICE", ["Alice"]),
+        ("Alice Smith saw Alice", ["Alice Smith", "Alice"]),
+        ("MemoryProvider and Memory Provider", ["MemoryProvider"]),
+        ("Done. The\tBig  Apple is it", ["Done", "Big Apple"]),
+        ("   ", []),
         ("", []),
         (None, []),
     ],
 )
-def test_entities(text, found):
-    assert entities.entities(text) == found
-
-
-def test_overlap():
-    assert entities.overlap(["New York City"], "we saw New York") == 1.0
-    assert entities.overlap(["entityOverlap", "Paris"], "entity overlap is here") == 0.5
-    assert entities.overlap([], "x") == 0.0
+def test_entities(spark, text, found):
+    assert spark.createDataFrame([(text,)], "t string").select(entities.mentions(F.col("t"))).first()[0] == found
+
+
+def test_overlap(spark):
+    cases = [
+        (["New York City"], "we saw New York", 1.0),
+        (["entityOverlap", "Paris"], "entity overlap is here", 0.5),
+        ([], "x", 0.0),
+        (None, "x", 0.0),
+        (["Alice"], None, 0.0),
+        (["Alice", "Bob"], "alice went home", 0.5),
+        (["Alice", "ALICE"], "Alice", 1.0),
+        (["New York"], "New York City", 1.0),
+        (["MemoryStoreProvider"], "the Memory Store Provider class", 1.0),
+        (["ok"], "the token was accepted", 0.0),
+        (["hi"], "this is history", 0.0),
+        (["a\\E.b"], "see a\\E.b here", 1.0),
+    ]
+    rows = spark.createDataFrame(cases, "w array<string>, t string, x double")
+    for r in rows.select("*", entities.coverage(F.col("w"), F.col("t")).alias("got")).collect():
+        assert r.got == r.x, r
 
 
 def test_gate(spark):
@@ -93,14 +122,14 @@ def test_filter_faults():
     assert filters.faults({"s": "other"}, {"s": "mine"})
     assert not filters.faults({"s": {"in": ["mine", "x"]}}, {"s": "mine"})
     with pytest.raises(filters.FilterError):
-        filters.where({"k": {"nope": 1}})
+        filters.where(StructType(), {"k": {"nope": 1}})
 
 
 def test_scope_is_never_widened(spark):
     rows = spark.createDataFrame([(1, "a", None), (2, "b", 1), (3, "a", 2), (4, None, 3)], "id int, s string, v int")
-    scoped = {r.id for r in rows.where(filters.where({}, {"s": "a"})).collect()}
+    scoped = {r.id for r in filters.matching(rows, {}, {"s": "a"}).collect()}
     for spec in ({"v": {"ne": 1}}, {"OR": [{"v": 1}, {"v": {"nin": [1]}}]}, {"NOT": [{"v": 1}]}, {"v": "*"}):
-        assert {r.id for r in rows.where(filters.where(spec, {"s": "a"})).collect()} <= scoped
+        assert {r.id for r in filters.matching(rows, spec, {"s": "a"}).collect()} <= scoped
 
 
 def test_uuid5(spark):

@@ -1,4 +1,4 @@
-"""Queries that once kept a few ids work on whole tables: each gives the rows of its SQL with the SQL's id cut lifted."""
+"""Queries that once kept a few ids work on whole tables, and so does their SQL."""
 
 import re
 
@@ -36,8 +36,8 @@ def larger():
 
 @pytest.mark.parametrize("name", ASKED)
 def test_queries_with_ids_divisible_by_50(spark, con, name):
-    sql, n = re.subn(r"(vec_id|item_id) < (10|14|20)\b", r"\1 % 50 = 0", catalog.ORACLES[name])
-    assert n
+    sql = catalog.ORACLES[name]
+    assert re.search(r"(vec_id|item_id) % 50 = 0", sql) and not re.search(r"(vec_id|item_id) < \d", sql)
     same(spark, con, catalog.QUERIES[name], sql)
 
 
@@ -55,9 +55,8 @@ def equal(spark, con, d, name, sql):
 
 @pytest.mark.parametrize("name", CANDIDATES)
 def test_candidates_come_from_all_points(spark, larger, name):
-    sql, n = re.subn(r" WHERE point_id < 4000", "", catalog.ORACLES[name])
-    assert n
-    equal(spark, larger, LARGER, name, sql)
+    assert "point_id < 4000" not in catalog.ORACLES[name]
+    equal(spark, larger, LARGER, name, catalog.ORACLES[name])
 
 
 def test_entity_boost_has_all_sessions_top_12(spark, larger):
@@ -77,8 +76,8 @@ def test_entity_boost_has_all_sessions_top_12(spark, larger):
     ],
 )
 def test_whole_table(spark, name, cut, d):
-    assert cut in catalog.ORACLES[name]
-    equal(spark, tables(d), d, name, catalog.ORACLES[name].replace(cut, ""))
+    assert cut not in catalog.ORACLES[name]
+    equal(spark, tables(d), d, name, catalog.ORACLES[name])
 
 
 def test_near_dup_pairs_without_top_k(spark, con, monkeypatch):
