@@ -8,8 +8,9 @@ and leaves what is stored unchanged, and an edit only rebuilds what follows it.
 whole texts: it splits again from a few pieces before an edit until the split falls in with the old one.
 
 Defined cases: null and empty texts have no tokens and decode to nothing; special-token strings are ordinary
-text; pieces that are vocabulary entries are one token, as in the public library; very long pieces take time
-proportional to their length; lone surrogates cannot occur in Spark strings.
+text; pieces that are vocabulary entries are one token, as in the public library; very long texts are encoded whole, and very long pieces take time
+proportional to their length; repeated rows get equal rows; a null doc_id stays null; an empty table gives no rows; extra columns are ignored, whatever their names; of two
+encodings of a piece BPE makes only one, so there are no ties; lone surrogates cannot occur in Spark strings.
 """
 
 from __future__ import annotations
@@ -18,6 +19,8 @@ import base64
 import bisect
 import functools
 import hashlib
+import operator
+import struct
 from collections.abc import Iterator
 
 import ahocorasick
@@ -30,10 +33,13 @@ from pyspark.sql import types as T
 
 from recollect.runtime import bound_batches
 
-#: Bounds of what a worker remembers; longer pieces are encoded anew each time, so memory stays bounded.
-CACHE_PIECES = 400_000
+#: Bounds of what a worker remembers, in bytes of words and of pieces, and in pairs; longer pieces are encoded anew each time.
+CACHE_WORDS = 128 << 20
+CACHE_PIECES = 32 << 20
 CACHE_PAIRS = 600_000
 CACHE_BYTES = 64
+#: What an entry of the memory takes besides its text and ids.
+ENTRY_BYTES = 200
 
 
 def load_ranks(path: str) -> dict[bytes, int]:
@@ -175,52 +181,81 @@ def _STANDS_ALONE(part: str) -> bool:
     return part != "" and not part[0].isspace() and not part[-1].isspace()
 
 
+class Memory:
+    """Ids (little-endian, 32 bits) by text, in two generations: when the young one is full it becomes the old one, whose used entries move over."""
+
+    def __init__(self, limit: int):
+        self.limit, self.young, self.old, self.held = limit // 2, {}, {}, 0
+
+    def get(self, text: str) -> bytes | None:
+        found = self.young.get(text)
+        if found is None:
+            found = self.old.get(text)
+            if found is not None:
+                self.put(text, found)
+        return found
+
+    def put(self, text: str, ids: bytes) -> None:
+        self.held += len(text) + len(ids) + ENTRY_BYTES
+        if self.held > self.limit:
+            self.old, self.young, self.held = self.young, {}, 0
+        self.young[text] = ids
+
+
 class Encoder:
-    """Splits text by a pattern and encodes each piece; remembers short pieces.
+    """Splits text by a pattern and encodes each piece; remembers short words and pieces.
 
     ``spaced`` says that the pattern takes a single space between two other characters together with what
     follows it and never matches across such a space's left side. Words can then be looked up whole.
     """
 
     def __init__(self, ranks: dict[bytes, int], pattern: str, spaced: bool = False):
-        self.vocabulary, self.pattern, self.cache = Vocabulary(ranks), regex.compile(pattern), {}
-        self.spaced, self.words = spaced, {}
+        self.vocabulary, self.pattern, self.cache = Vocabulary(ranks), regex.compile(pattern), Memory(CACHE_PIECES)
+        self.spaced, self.words = spaced, Memory(CACHE_WORDS)
+        self.table = [self.vocabulary.tokens.get(i, b"") for i in range(max(self.vocabulary.tokens) + 1)]
 
-    def piece(self, text: str) -> tuple[int, ...]:
+    def _piece(self, text: str) -> bytes:
         known = self.cache.get(text)
         if known is None:
             data = text.encode("utf-8")
             whole = self.vocabulary.ranks.get(data)
-            known = (whole,) if whole is not None else tuple(PrefixTable(self.vocabulary, data).ids())
+            ids = [whole] if whole is not None else PrefixTable(self.vocabulary, data).ids()
+            known = struct.pack(f"<{len(ids)}I", *ids)
             if len(data) <= CACHE_BYTES:
-                if len(self.cache) >= CACHE_PIECES:
-                    self.cache.clear()
-                self.cache[text] = known
+                self.cache.put(text, known)
         return known
 
-    def _pieces(self, text: str) -> tuple[int, ...]:
-        return tuple(i for m in self.pattern.findall(text) for i in self.piece(m))
+    def piece(self, text: str) -> tuple[int, ...]:
+        return tuple(memoryview(self._piece(text)).cast("I"))
 
-    def encode(self, text: str | None) -> list[int]:
+    def _pieces(self, text: str) -> bytes:
+        return b"".join(map(self._piece, self.pattern.findall(text)))
+
+    def packed(self, text: str | None) -> bytes:
+        """The text's ids as little-endian unsigned 32-bit integers."""
         if not text:
-            return []
+            return b""
         if not self.spaced:
-            return list(self._pieces(text))
-        out, known = [], self.words
-        for word in _words(text):
-            ids = known.get(word)
-            if ids is None:
-                ids = self._pieces(word)
-                if len(word) <= CACHE_BYTES:
-                    if len(known) >= CACHE_PIECES:
-                        known.clear()
-                    known[word] = ids
-            out += ids
-        return out
+            return self._pieces(text)
+        words = _words(text)
+        found = list(map(self.words.young.get, words))
+        if None in found:
+            for i, word in enumerate(words):
+                if found[i] is None:
+                    ids = self.words.get(word)
+                    if ids is None:
+                        ids = self._pieces(word)
+                        if len(word) <= CACHE_BYTES:
+                            self.words.put(word, ids)
+                    found[i] = ids
+        return b"".join(found)
+
+    def encode(self, text: str | None) -> list[int]:
+        return np.frombuffer(self.packed(text), dtype="<u4").tolist()
 
     def decode(self, ids) -> bytes:
-        tokens = self.vocabulary.tokens
-        return b"".join([tokens[i] for i in ids])
+        ids = list(ids)
+        return b"".join(operator.itemgetter(*ids)(self.table)) if len(ids) > 1 else b"".join(self.table[i] for i in ids)
 
 
 class EditableText:
@@ -274,16 +309,18 @@ def encode_documents(docs: DataFrame, path: str, pattern: str, *, spaced: bool =
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = encoder(path, pattern, spaced)
         for batch in batches:
-            encoded = [np.array(own.encode(t), dtype="<u4") for t in batch.column(1).to_pylist()]
+            packed = [own.packed(t) for t in batch.column(1).to_pylist()]
+            ids = [np.frombuffer(x, dtype="<u4") for x in packed]
             columns = [
                 batch.column(0),
-                pa.array([len(x) for x in encoded], pa.int64()),
-                pa.array([hashlib.sha256(x.tobytes()).hexdigest() for x in encoded], pa.string()),
-                pa.array([hashlib.sha256(own.decode(x.tolist())).hexdigest() for x in encoded], pa.string()),
+                pa.array([len(x) for x in ids], pa.int64()),
+                pa.array([hashlib.sha256(x).hexdigest() for x in packed], pa.string()),
+                pa.array([hashlib.sha256(own.decode(x.tolist())).hexdigest() for x in ids], pa.string()),
             ]
             names = ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"]
             if with_ids:
-                columns.append(pa.array([x.astype(np.int32) for x in encoded], pa.list_(pa.int32())))
+                offsets = np.concatenate([[0], np.cumsum([len(x) for x in ids])]).astype(np.int32)
+                columns.append(pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.frombuffer(b"".join(packed), dtype="<i4"), pa.int32())))
                 names.append("ids")
             yield pa.RecordBatch.from_arrays(columns, names=names)
 
