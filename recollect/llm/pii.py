@@ -8,7 +8,7 @@ gives: with counts n of whole documents, ``PMI = log(n(e,t) * N / (n(e) * n(t)))
   words, is a further span (kind ``term``) wherever it stands in a document that holds the entity.
 * The *concept* is that a document holds any entity. Most entities stand in a single document, so what gives personal data away in
   general is estimated here: the probability of the concept given a term, taken at the lower end of a confidence interval (``CONFIDENCE`` standard
-  deviations), has to give ``CONCEPT_DISCLOSURE`` of the concept's information. Such a term is a span in every document. Documents with the same least word hash (near copies) count once for a term.
+  deviations), has to give ``CONCEPT_DISCLOSURE`` of the concept's information. Such a term is a span in every document. Documents with the same least hash of three terms in a row (near copies) count once for a term.
 
 Terms are words of three letters or more, and identifiers: runs of 16 or more letters, digits and ``+/_=-`` with a letter and a
 digit. A single identifier is too rare to be counted, so identifiers are counted as their class (kinds of characters and length, as a power of two).
@@ -189,8 +189,13 @@ def scan(rows: DataFrame, terms: frozenset[str] = frozenset()) -> DataFrame:
     return rows.mapInArrow(run, _SCAN)
 
 
+def kinship(terms: list[str], width: int = 3) -> int:
+    """Least hash of the runs of ``width`` terms, which near copies mostly have in common."""
+    return min(_hash(" ".join(terms[i : i + width])) for i in range(max(1, len(terms) - width + 1)))
+
+
 def holders(docs: DataFrame) -> DataFrame:
-    """kin, terms, n, n_holders: of each document with an entity its least word hash and its distinct terms; for each task a row with its numbers of documents and of such."""
+    """kin, terms, n, n_holders: of each document with an entity its kinship and its distinct terms; for each task a row with its numbers of documents and of such."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         n = 0
@@ -202,9 +207,9 @@ def holders(docs: DataFrame) -> DataFrame:
             for text in batch.column(0).to_pylist():
                 spans = base_spans(text)
                 if spans:
-                    found = sorted({t for t, _, _ in outside(text, spans)})
-                    kin.append(min(map(_hash, found), default=0))
-                    terms.append(found)
+                    found = [t for t, _, _ in outside(text, spans)]
+                    kin.append(kinship(found))
+                    terms.append(sorted(set(found)))
             held += len(kin)
             none = pa.nulls(len(kin), pa.int64())
             yield pa.RecordBatch.from_arrays([pa.array(kin, pa.int64()), pa.array(terms, pa.list_(pa.string())), none, none], names=names)
