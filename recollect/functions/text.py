@@ -139,6 +139,47 @@ def epoch_seconds(raw: Column, strict: bool = False) -> Column:
     return iso if strict else F.coalesce(number, iso)
 
 
+def iso_from_epoch(seconds: Column) -> Column:
+    """ISO 8601 in UTC, of epoch seconds; null of null."""
+    micros = (seconds * 1000000).cast("long")
+    return F.concat(F.date_format(F.to_utc_timestamp(F.timestamp_micros(micros), F.current_timezone()), "yyyy-MM-dd'T'HH:mm:ss"), F.lit("+00:00"))
+
+
+def stamp(seconds: Column, zone: str = "UTC") -> Column:
+    """Date and time to the second in a zone, ``-`` without a time."""
+    utc = F.to_utc_timestamp(F.timestamp_micros((seconds * 1000000).cast("long")), F.current_timezone())
+    return F.coalesce(F.date_format(F.from_utc_timestamp(utc, zone), "yyyy-MM-dd HH:mm:ss"), F.lit("-"))
+
+
+def result_line(score: Column, point_id: Column, text: Column) -> Column:
+    """A hit as a line: score, id, text."""
+    return F.concat(F.lit("["), F.format_string("%.2f", score), F.lit("] ("), point_id.cast("string"), F.lit(") "), text)
+
+
+def parsed_results(page: Column) -> Column:
+    """Hits (score, point_id, text) of a page of result lines; a hit's text goes on until the next hit begins."""
+    begins = r"(?m)^\[(-?[0-9.]+)\] \(([^)]+)\) "
+    marked = F.regexp_replace(page, begins, "\u0001$1\u0002$2\u0002")
+    parts = F.filter(F.split(marked, "\u0001"), lambda p: F.contains(p, F.lit("\u0002")))
+    field = lambda p, i: F.split(p, "\u0002", 3)[i]
+    return F.transform(parts, lambda p: F.struct(field(p, 0).cast("double").alias("score"), field(p, 1).alias("point_id"), F.regexp_replace(field(p, 2), r"\n\z", "").alias("text")))
+
+
+def counted(n: Column) -> Column:
+    """A count with thousands separators."""
+    return F.format_number(n.cast("long"), 0)
+
+
+def status_line(name: Column, millis: Column, collection: Column, hits: Column, attempts: Column) -> Column:
+    """name, milliseconds, collection and hits of attempts, as far as there are any."""
+    return F.concat_ws(" · ", name, F.concat(F.round(millis).cast("long").cast("string"), F.lit(" ms")), collection, F.concat(F.lit("hits "), hits.cast("string"), F.lit("/"), attempts.cast("string")))
+
+
+def json_bytes(payload: Column) -> Column:
+    """Bytes of a payload (struct) as JSON."""
+    return F.octet_length(F.to_json(payload))
+
+
 def truthy(value: Column) -> Column:
     """Switch text: on words are true, everything else is off."""
     return F.coalesce(F.lower(F.trim(value)).isin("1", "true", "yes", "on"), F.lit(False))

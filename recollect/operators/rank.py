@@ -136,6 +136,32 @@ def fused(arms: list[DataFrame], k: int, constant: int = 60) -> DataFrame:
     return scored.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
 
 
+def hybrid(dense: DataFrame, sparse: Callable[[], DataFrame], k: int, constant: int = 60, on_error: Callable | None = None) -> DataFrame:
+    """Dense candidates fused with the sparse arm; a sparse arm that fails, when it is built or when it runs, leaves the dense ones as they are."""
+    try:
+        arm = stage(sparse().select("query_id", "point_id", "rank"), "sparse-arm")
+    except Exception as e:  # noqa: BLE001 - search goes on without this arm
+        if on_error:
+            on_error(e)
+        return dense.where(F.col("rank") <= k)
+    return fused([dense, arm], k, constant)
+
+
+def first_per_text(rows: DataFrame) -> DataFrame:
+    """The first candidate of each text for each query (query_id, rank, text); equal texts collapse."""
+    nth = F.row_number().over(Window.partitionBy("query_id", "text").orderBy("rank"))
+    return _renumbered(rows.withColumn("nth", nth).where("nth = 1").drop("nth"), F.col("rank"))
+
+
+def cosine(a: Column, b: Column) -> Column:
+    """Cosine of two arrays; 0 if either is empty or has no length; vectors of unlike widths are an error."""
+    total = lambda x: F.aggregate(x, F.lit(0.0), lambda s, v: s + v)
+    product = total(F.zip_with(a, b, lambda x, y: x * y))
+    norms = F.sqrt(total(F.transform(a, lambda x: x * x))) * F.sqrt(total(F.transform(b, lambda x: x * x)))
+    empty = (F.size(a) == 0) | (F.size(b) == 0)
+    return F.when(empty, F.lit(0.0)).when(F.size(a) != F.size(b), F.raise_error(F.lit("vectors of different width")).cast("double")).when(norms == 0, F.lit(0.0)).otherwise(product / norms)
+
+
 def _renumbered(rows: DataFrame, *order: Column) -> DataFrame:
     return rows.withColumn("rank", F.row_number().over(Window.partitionBy("query_id").orderBy(*order)))
 
@@ -226,27 +252,32 @@ def reranked(rows: DataFrame, scorer: Column, top: int | None = None) -> DataFra
 
 
 def cascade(queries: DataFrame, levels: list[tuple[str, Callable[[DataFrame], DataFrame]]], on_error: Callable | None = None) -> DataFrame:
-    """query_id, the level's rows, level, reason: each query is answered by the first level that has rows for it.
+    """query_id, the level's rows, level, reason, attempted, degraded: each query is answered by the first level that has rows for it.
 
-    A level sees only the queries still open. A level that fails is noted and passed over.
+    A level sees only the queries still open; what it finds is written before the next one is asked, so a level that fails, when it is built or when it
+    runs, is noted and passed over, and no level runs twice. ``reason`` is why the first level did not answer; ``degraded``: another one did.
+    A hook that fails is passed over too.
     """
-    left, out, reasons, tried = queries, None, [], []
+    if not levels:
+        raise ValueError("no levels configured")
+    left, out, reasons, tried = stage(queries, "cascade-open"), None, [], []
     for name, level in levels:
+        tried.append(name)
         try:
-            found = level(left)
-            schema = found.schema  # analysis errors show here
+            found = stage(level(left), f"cascade-{name}")
         except Exception as e:  # noqa: BLE001 - a failing level must not take the others with it
-            reasons.append(f"{name} failed: {type(e).__name__}: {e}"[:200])
-            tried.append(name)
+            reasons.append(f"{name} failed: {type(e).__name__}: {str(e)[:200]}")
             if on_error:
-                on_error(name, e)
+                try:
+                    on_error(name, e)
+                except Exception:  # noqa: BLE001
+                    pass
             continue
-        tried.append(name)
-        why = reasons[0] if reasons else None
-        rows = found.select(*schema.fieldNames(), F.lit(name).alias("level"), F.lit(why).cast("string").alias("reason"))
+        why = F.lit(reasons[0] if reasons else None).cast("string")
+        rows = found.select(*found.columns, F.lit(name).alias("level"), why.alias("reason"), F.lit(",".join(tried)).alias("attempted"), F.lit(name != tried[0]).alias("degraded"))
         out = rows if out is None else out.unionByName(rows, allowMissingColumns=True)
-        left = left.join(found.select("query_id").distinct(), "query_id", "left_anti")
+        left = stage(left.join(found.select("query_id").distinct(), "query_id", "left_anti"), "cascade-open")
         reasons.append(f"{name} returned no results")
     if out is None:
-        raise ValueError("no levels configured" if not levels else reasons[0])
+        raise ValueError(reasons[0])
     return out

@@ -20,15 +20,15 @@ LEDGER_KEEP = 50
 
 
 def upserted(old: DataFrame, new: DataFrame, key: str, version: str) -> DataFrame:
-    """One row for each key, the one of the highest version."""
-    both = old.unionByName(new)
-    pick = F.row_number().over(Window.partitionBy(key).orderBy(F.col(version).desc()))
-    return both.withColumn("__n", pick).where("__n = 1").drop("__n")
+    """One row for each key, the one of the highest version; of equal versions the new row, then the one of the greatest values."""
+    both = old.withColumn("__new", F.lit(0)).unionByName(new.withColumn("__new", F.lit(1)))
+    pick = F.max_by(F.struct(*[F.col(c) for c in old.columns]), F.struct(version, "__new", F.xxhash64(*old.columns)))
+    return both.groupBy(F.col(key).alias("__key")).agg(pick.alias("__row")).select("__row.*")
 
 
 def flagged(points: DataFrame, flags: DataFrame, key: str, *columns: str) -> DataFrame:
-    """``columns`` taken from ``flags`` where it has the key and a value."""
-    marks = flags.select(key, *[F.col(c).alias(f"__{c}") for c in columns])
+    """``columns`` taken from ``flags`` where it has the key and a value; of several values of one key the greatest."""
+    marks = flags.groupBy(key).agg(*[F.max(c).alias(f"__{c}") for c in columns])
     joined = points.join(marks, key, "left")
     return joined.withColumns({c: F.coalesce(F.col(f"__{c}"), F.col(c)) for c in columns}).drop(*[f"__{c}" for c in columns])
 
@@ -67,6 +67,76 @@ def decay_plan(points: DataFrame, now: float, half_life: float = HALF_LIFE_DAYS,
     return scored.withColumn("decision", decision)
 
 
+def decay_counters(plan: DataFrame) -> DataFrame:
+    """considered, exempt, no_timestamp, below of a decay plan, one row."""
+    is_ = lambda d: F.count_if(F.col("decision") == d)
+    return plan.agg(F.count("*").alias("considered"), is_("exempt").alias("exempt"), is_("no_timestamp").alias("no_timestamp"), is_("archive").alias("below"))
+
+
+def decay_flags(plan: DataFrame) -> DataFrame:
+    """point_id, archived of the points that a decay plan archives; for ``flagged``."""
+    return plan.where("decision = 'archive'").select("point_id", F.lit(True).alias("archived"))
+
+
+def unarchived_flags(points: DataFrame) -> DataFrame:
+    """point_id, archived = false of every archived point."""
+    return points.where("archived").select("point_id", F.lit(False).alias("archived"))
+
+
+def duplicate_flags(points: DataFrame, block: str, threshold: float = 0.92, limit: int | None = None, allow_unbounded: bool = False) -> DataFrame:
+    """point_id, superseded_by, archived of the points that a newer, similar one of their block supersedes.
+
+    Points (point_id, ts, dense, block) with a vector are clustered newest first; the first of a cluster stays. ``limit`` is how many of the newest
+    points are looked at; to look at all of them has to be asked for.
+    """
+    if limit is None and not allow_unbounded:
+        raise ValueError("a limit is needed, or allow_unbounded")
+    real = points.where(F.size("dense") > 0)
+    newest = [F.col("ts").desc_nulls_last(), F.col("point_id")]
+    if limit is not None:
+        real = real.orderBy(*newest).limit(limit)
+    placed = real.withColumn("pos", F.row_number().over(Window.partitionBy(block).orderBy(*newest)))
+    found = first_fit_clusters(placed, block, threshold)
+    return found.where("point_id != cluster").select("point_id", F.col("cluster").alias("superseded_by"), F.lit(True).alias("archived"))
+
+
+def unmerged_flags(points: DataFrame) -> DataFrame:
+    """point_id, archived = false of every superseded point; ``superseded_by`` is to be cleared with it."""
+    return points.where("superseded_by is not null").select("point_id", F.lit(False).alias("archived"))
+
+
+def without_sparse(points: DataFrame, sparse: DataFrame) -> DataFrame:
+    """Points that do not carry a sparse part yet, for a backfill that can be taken up again (point_id of both)."""
+    return points.join(sparse.where(F.size("indices") > 0).select("point_id").distinct(), "point_id", "left_anti")
+
+
+def sparse_part(text: Column, cells: int = 1 << 20) -> Column:
+    """Sparse part of a text: indices (hashed terms, ascending) and values (how often each occurs)."""
+    from recollect.functions.text import index_tokens
+
+    hashed = F.transform(index_tokens(text), lambda t: F.pmod(F.xxhash64(t), F.lit(cells)).cast("int"))
+    indices = F.array_sort(F.array_distinct(hashed))
+    return F.struct(indices.alias("indices"), F.transform(indices, lambda i: F.size(F.filter(hashed, lambda h: h == i)).cast("double")).alias("values"))
+
+
+def with_sparse(points: DataFrame, existing: DataFrame, text: str = "text") -> DataFrame:
+    """point_id, indices, values: what exists, and the sparse part of every point that lacks one and has tokens."""
+    fresh = without_sparse(points, existing).select("point_id", sparse_part(F.col(text)).alias("s")).select("point_id", "s.*").where(F.size("indices") > 0)
+    return existing.where(F.size("indices") > 0).select("point_id", "indices", "values").unionByName(fresh)
+
+
+def widened(rows: DataFrame, columns: dict[str, str]) -> DataFrame:
+    """``rows`` with the columns (name to type) that they lack, null; those they have stay."""
+    own = {c.lower() for c in rows.columns}
+    return rows.withColumns({c: F.lit(None).cast(kind) for c, kind in columns.items() if c.lower() not in own})
+
+
+def newest_status(writes: DataFrame) -> DataFrame:
+    """One row for each collection of writes (collection, ts, ok, error): when it was last written and the error of the latest one, if it failed."""
+    latest = writes.groupBy("collection").agg(F.max_by(F.struct("ts", "ok", "error"), "ts").alias("w"), F.max(F.when(F.col("ok"), F.col("ts"))).alias("last_good"), F.count_if(~F.col("ok")).alias("failures"))
+    return latest.select("collection", F.col("w.ts").alias("last_write"), "last_good", "failures", F.when(~F.col("w.ok"), F.col("w.error")).alias("error"))
+
+
 def merged_payloads(rows: DataFrame, group: str) -> DataFrame:
     """One payload for each group (columns point_id, text, ts, importance, chunk_index, session_id, pos)."""
     newest = F.struct(F.coalesce("ts", F.lit(float("-inf"))).alias("t"), (-F.col("pos")).alias("p"))
@@ -87,7 +157,7 @@ def merged_payloads(rows: DataFrame, group: str) -> DataFrame:
 
 
 def first_fit_clusters(points: DataFrame, block: str, threshold: float = 0.92) -> DataFrame:
-    """point_id, cluster, is_survivor within each block: each vector joins the first cluster whose running mean is near enough.
+    """point_id, cluster (its first point) of every cluster of several within each block: each vector joins the first cluster whose running mean is near enough.
 
     The result depends on the order (pos), so a block is one sequence; blocks are independent and bound the work.
     """

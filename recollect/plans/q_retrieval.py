@@ -136,7 +136,7 @@ def cascade_levels(spark, d):
     def loose(q):
         return F.broadcast(q.where(F.contains("query", F.lit("purchase")))).join(pts, F.array_contains("w", F.lit("purchase"))).select("query_id", "point_id")
 
-    return rank.cascade(asked, [("strict", strict), ("lexical", loose)])
+    return rank.cascade(asked, [("strict", strict), ("lexical", loose)]).select("query_id", "point_id", "level", "reason")
 
 
 @query(f"WITH {POINTS} SELECT point_id, text FROM points WHERE list_has_all(string_split(text, ' '), ['user', 'view', 'item', '3']) ORDER BY point_id LIMIT 15")
