@@ -14,6 +14,27 @@ _OFF = ("0", "false", "no", "off", "")
 DISPLAY_LEVELS = ("off", "summary", "verbose")
 
 
+_WARNED: set[str] = set()
+
+
+def warn_once(key: str, message: str) -> bool:
+    """Warn about ``key`` the first time only; whether this was it."""
+    if key in _WARNED:
+        return False
+    _WARNED.add(key)
+    warnings.warn(message, stacklevel=3)
+    return True
+
+
+def display_level(value, default: str = "off") -> str:
+    """off, summary or verbose; anything else is the default, with one warning for each such value."""
+    text = str(value if value is not None else default).strip().lower()
+    if text not in DISPLAY_LEVELS:
+        warn_once(f"display_level:{text}", f"display_level: {value!r} is none of {', '.join(DISPLAY_LEVELS)}")
+        return default
+    return text
+
+
 @dataclass(frozen=True)
 class EngineConf:
     dims: int = 64

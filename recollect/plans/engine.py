@@ -13,14 +13,17 @@ from datetime import UTC, datetime
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from recollect.conf import EngineConf
+from recollect.conf import EngineConf, warn_once
 from recollect.functions import embed, entities, gate, temporal
 from recollect.functions.text import TEXT_LIMIT, valid_point_id
-from recollect.operators import filters, lexical, rank, store
+from recollect.operators import chunks, docindex, filters, lexical, rank, store
+from recollect.runtime import stage
+from recollect.streaming import jobs
 
 SCHEMA = "point_id long, version long, text string, session_id string, kind string, source string, ts double, importance double, archived boolean, superseded_by long, deleted boolean, dense array<double>"
 EVENTS = "point_id long, ts double, seq long, event string, delta int, text string"
 EVENT_NAMES = ("add", "update", "recall", "feedback", "delete")
+TOOLS = ("search", "upsert", "recall", "collect", "prepare", "forget", "md_search")
 
 
 class MemoryStore:
@@ -60,9 +63,13 @@ class MemoryStore:
         asked = queries.withColumn("dense", self.embed("query"))
         found = rank.dense_topk(allowed, asked, k, self.conf.metric)
         if self.conf.hybrid:
-            chunks = allowed.select(F.col("point_id").alias("chunk_id"), "text")
-            scores = lexical.bm25(lexical.postings(chunks, "text"), lexical.corpus_stats(chunks, "text"), lexical.query_terms(queries))
-            found = rank.fused([found, lexical.topk(scores, k).withColumnRenamed("chunk_id", "point_id")], k)
+            texts = allowed.select(F.col("point_id").alias("chunk_id"), "text")
+
+            def sparse():
+                scores = lexical.bm25(lexical.postings(texts, "text"), lexical.corpus_stats(texts, "text"), lexical.query_terms(queries))
+                return lexical.topk(scores, k).withColumnRenamed("chunk_id", "point_id")
+
+            found = rank.hybrid(found, sparse, k, on_error=lambda e: warn_once("sparse", f"search goes on without its sparse arm: {type(e).__name__}"))
         return found.join(allowed.select("point_id", "text", "ts"), "point_id")
 
     def recall(self, queries: DataFrame, now: datetime | None = None, k: int | None = None, scope: dict | None = None) -> DataFrame:
@@ -95,8 +102,8 @@ class MemoryStore:
         return plan
 
     def flag(self, flags: DataFrame) -> None:
-        """Set archived and superseded_by of points (point_id, archived, superseded_by)."""
-        marked = store.flagged(self.points(True), flags, "point_id", "archived", "superseded_by")
+        """Set archived, superseded_by or both of points (point_id, archived, superseded_by)."""
+        marked = store.flagged(self.points(True), flags, "point_id", *[c for c in ("archived", "superseded_by") if c in flags.columns])
         self._append(marked.join(flags.select("point_id"), "point_id", "left_semi").withColumn("version", F.lit(time.time_ns())))
 
     def record(self, events: DataFrame) -> None:
@@ -109,6 +116,75 @@ class MemoryStore:
     def ledger(self) -> DataFrame:
         return store.newest_events(self.spark.read.schema(EVENTS).parquet(f"{self.path}/ledger"))
 
+    def compact_ledger(self) -> None:
+        """Write the newest events of each point in place of all."""
+        self._put("ledger", self.ledger().drop("n"))
+
+    # --- maintenance
+
+    def decay(self, now: float, half_life: float = store.HALF_LIFE_DAYS, apply: bool = False) -> DataFrame:
+        """Counters of a decay scan, one row; with ``apply`` what falls below is archived."""
+        plan = stage(store.decay_plan(self.points(), now, half_life), "decay-plan")
+        if apply:
+            self.flag(store.decay_flags(plan))
+        return store.decay_counters(plan)
+
+    def unarchive(self) -> None:
+        self.flag(stage(store.unarchived_flags(self.points(True)), "unarchive"))
+
+    def dedup(self, threshold: float = 0.92, limit: int | None = None, allow_unbounded: bool = False, block: str = "session_id") -> DataFrame:
+        """point_id, superseded_by, archived of the points that a newer, similar one supersedes; they are flagged so."""
+        flags = stage(store.duplicate_flags(self.points().withColumn(block, F.coalesce(block, F.lit(""))), block, threshold, limit, allow_unbounded), "dedup")
+        self.flag(flags)
+        return flags
+
+    def unmerge(self) -> None:
+        """Points that were superseded are as before."""
+        back = stage(self.points(True).where("superseded_by is not null"), "unmerge")
+        self._append(back.withColumn("superseded_by", F.lit(None).cast("long")).withColumn("archived", F.lit(False)).withColumn("version", F.lit(time.time_ns())))
+
+    # --- documents
+
+    @property
+    def documents(self) -> docindex.LexicalIndex:
+        return docindex.LexicalIndex(self.spark, f"{self.path}/documents")
+
+    def _embed_files(self, files: DataFrame) -> None:
+        """Chunks of files with ids and vectors; what was there for their paths goes."""
+        rows = chunks.with_ids(chunks.chunked(files.select("path", "content"))).select("path", "heading", "content", "chunk_id", self.embed("content").alias("dense"), F.lit(time.time_ns()).alias("version"))
+        rows.write.mode("append").parquet(f"{self.path}/document_vectors")
+
+    def md_ingest(self, files: DataFrame) -> DataFrame:
+        """path, tier, status of the files (path, root, content, sha) that were new or changed for the lexical or the semantic tier."""
+        index = self.documents
+        return jobs.ingest_files(index, files, {"lexical": index.replace, "semantic": self._embed_files})
+
+    def md_search(self, queries: DataFrame, mode: str = "auto", limit: int = 5, root: str | None = None) -> tuple[DataFrame, DataFrame]:
+        """(hits, notes) of the two-tier document search; see ``docindex.md_search``."""
+
+        def semantic(asked: DataFrame) -> DataFrame:
+            rows = self.spark.read.parquet(f"{self.path}/document_vectors")
+            newest = rows.groupBy("path").agg(F.max("version").alias("version"))
+            rows = rows.join(newest, ["path", "version"], "left_semi").withColumn("point_id", F.xxhash64("chunk_id"))
+            rows = rows.where(docindex.root_of(F.col("path")) == root) if root else rows
+            hits = rank.dense_topk(rows, asked.withColumn("dense", self.embed("query")), 2 * limit)
+            return hits.join(rows.select("point_id", "path"), "point_id")
+
+        return docindex.md_search(queries, lambda q: self.documents.search(q, limit, root), semantic, mode, limit)
+
+    def status(self) -> DataFrame:
+        """item, value of the store: settings, points, documents and the last write."""
+        own = [(k, str(v)) for k, v in sorted(vars(self.conf).items())]
+        counts = self.collect().first().asDict() | {f"document_{k}": v for k, v in self.documents.stats().first().asDict().items()}
+        last = self.spark.read.schema(SCHEMA).parquet(f"{self.path}/points").agg(F.max("version")).first()[0]
+        return self.spark.createDataFrame([*own, *[(k, str(v)) for k, v in counts.items()], ("last_write", str(last))], "item string, value string")
+
+    def call(self, tool: str, **arguments):
+        """A tool by its name: search, upsert, recall, collect, prepare, forget, md_search."""
+        if tool not in TOOLS:
+            raise ValueError(f"unknown tool {tool!r}")
+        return getattr(self, tool)(**arguments)
+
     def collect(self) -> DataFrame:
         """One row: points, archived, sessions and vector width."""
         p = self.points(True)
@@ -120,11 +196,15 @@ class MemoryStore:
         fault = F.coalesce(store.vector_faults(F.col("dense"), self.conf.dims), F.when(F.trim("text") == "", "blank text"))
         return p.select(fault.alias("fault")).where("fault is not null").groupBy("fault").agg(F.count("*").alias("n"))
 
-    def compact(self) -> None:
-        """Write the latest versions as a new folder and put it in the old one's place."""
-        target = f"{self.path}/points-{uuid.uuid4().hex}"
-        self.points(True).withColumn("deleted", F.lit(False)).write.parquet(target)
+    def _put(self, name: str, rows: DataFrame) -> None:
+        """Write rows as a new folder and put it in a table's place."""
+        target = f"{self.path}/{name}-{uuid.uuid4().hex}"
+        rows.write.parquet(target)
         fs_path = self.spark._jvm.org.apache.hadoop.fs.Path
         fs = fs_path(target).getFileSystem(self.spark._jsc.hadoopConfiguration())
-        fs.delete(fs_path(f"{self.path}/points"), True)
-        fs.rename(fs_path(target), fs_path(f"{self.path}/points"))
+        fs.delete(fs_path(f"{self.path}/{name}"), True)
+        fs.rename(fs_path(target), fs_path(f"{self.path}/{name}"))
+
+    def compact(self) -> None:
+        """Write the latest versions in place of all."""
+        self._put("points", self.points(True).withColumn("deleted", F.lit(False)))

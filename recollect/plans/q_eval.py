@@ -7,8 +7,13 @@ from pyspark.sql import functions as F
 
 from recollect.operators import evaluation as E
 from recollect.operators import store
-from recollect.plans.base import query, table, vectors
 from recollect.operators import rank as R
+from recollect.operators.chunks import URL_SPACE
+from recollect.operators.docindex import LexicalIndex
+from recollect.plans.base import query, table, vectors
+from recollect.plans.q_retrieval import _CLOSER as CLOSER
+from recollect.plans.q_store import _uuid5_sql as uuid5_sql
+from recollect.runtime import scratch
 from recollect.streaming import jobs
 
 _RANKS = "r AS (SELECT item_id, CASE WHEN item_id % 7 = 0 THEN NULL ELSE CAST(item_id % 12 + 1 AS INTEGER) END AS rank FROM benchmark)"
@@ -129,11 +134,58 @@ def stream_window_counts(spark, d):
     return jobs.windowed_counts(spark, f"{d}/events.parquet")
 
 
-@query("SELECT conv_id, turn FROM conversations WHERE trim(text) <> ''")
+@query(f"SELECT conv_id, turn FROM conversations WHERE trim(text) <> '' AND NOT {CLOSER.replace('lower(t)', 'lower(text)')}")
 def stream_ingest_equals_batch(spark, d):
     return jobs.ingested_turns(spark, f"{d}/conversations.parquet")
 
 
+@query(f"""WITH ok AS (SELECT conv_id AS session_id, turn AS msg_id, trim(text) AS text FROM conversations WHERE trim(text) <> '' AND NOT {CLOSER.replace('lower(t)', 'lower(text)')}),
+parts AS (SELECT session_id, msg_id, CAST(i AS INTEGER) AS chunk_index, substr(text, CAST(i * 2000 + 1 AS BIGINT), 2000) AS text FROM ok, range(0, 20) r(i) WHERE i * 2000 < length(text))
+SELECT session_id, msg_id, chunk_index, text, {uuid5_sql('session_id || chr(58) || msg_id || chr(58) || chunk_index')} AS point_id, true AS has_vector FROM parts""")
+def stream_ingest_points(spark, d):
+    """Turns as points: text, ids and vectors, as they arrive."""
+    rows = jobs.ingested_points(spark, f"{d}/conversations.parquet", URL_SPACE)
+    return rows.select("session_id", "msg_id", "chunk_index", "text", "point_id", (F.size("dense") == 64).alias("has_vector"))
+
+
+@query("SELECT user_id AS point_id, count(*) FILTER (event_type = 'view') AS retrieval_count FROM events WHERE event_type = 'view' GROUP BY 1")
+def stream_ledger(spark, d):
+    """Ledger events appended by a stream; the counters are a view over them."""
+    ts = F.expr("timestampdiff(MICROSECOND, timestamp_ntz'1970-01-01 00:00:00', cast(ts as timestamp_ntz))") / 1e6
+    events = jobs._stream(spark, f"{d}/events.parquet").where("event_type = 'view'").select(F.col("user_id").alias("point_id"), ts.alias("ts"), F.col("event_id").alias("seq"), F.lit("recall").alias("event"), F.lit(0).alias("delta"))
+    return store.usage(jobs.ledger_stream(events)).select("point_id", "retrieval_count")
+
+
+@query("SELECT event_type, count(*) AS attempts, count(*) FILTER (value > 50) AS hits FROM events GROUP BY 1")
+def stream_hit_rate(spark, d):
+    return jobs.counted_hits(jobs._stream(spark, f"{d}/events.parquet"), "event_type", F.col("value") > 50)
+
+
+@query("""WITH w AS (SELECT user_id AS key, event_id AS seq, list_sort(list(value) OVER (PARTITION BY user_id ORDER BY event_id ROWS BETWEEN 199 PRECEDING AND CURRENT ROW)) AS v FROM events)
+SELECT key, seq, v[CAST(greatest(1, ceil(len(v) * 50 / 100.0)) AS INTEGER)] AS p50, v[CAST(greatest(1, ceil(len(v) * 95 / 100.0)) AS INTEGER)] AS p95 FROM w""")
+def stream_rolling_latency(spark, d):
+    events = jobs._stream(spark, f"{d}/events.parquet").select(F.col("user_id").alias("key"), F.col("event_id").alias("seq"), "value")
+    return jobs._drained(jobs.rolling_latency(events), "latency")
+
+
+@query("SELECT item_id AS query_id, length(text) AS n FROM benchmark")
+def stream_queries(spark, d):
+    """Each batch of a stream of queries is answered as it comes."""
+    asked = jobs._stream(spark, f"{d}/benchmark.parquet").select(F.col("item_id").alias("query_id"), F.col("text").alias("query"))
+    return jobs.answered(asked, lambda batch: batch.select("query_id", F.length("query").cast("long").alias("n")), "query_id long, n long")
+
+
+@query("""WITH s(step, path, tier, status) AS (VALUES (1, 'a', 'lexical', 'new'), (1, 'b', 'lexical', 'new'), (2, 'b', 'lexical', 'changed'), (2, 'a', 'semantic', 'new'), (2, 'b', 'semantic', 'new')) SELECT * FROM s""")
+def ingest_tiers(spark, d):
+    """Two runs: a file changes, and a tier that was not there before catches up."""
+    index, out = LexicalIndex(spark, scratch(spark, "index")), None
+    for step, (texts, tiers) in enumerate([({"a": "one two", "b": "three"}, {"lexical": index.replace}), ({"a": "one two", "b": "four"}, {"lexical": index.replace, "semantic": lambda files: files.count()})], 1):
+        files = spark.createDataFrame([(p, "r", t) for p, t in texts.items()], "path string, root string, content string").withColumn("sha", F.sha2("content", 256))
+        one = jobs.ingest_files(index, files, tiers).withColumn("step", F.lit(step))
+        out = one if out is None else out.unionByName(one)
+    return out.select("step", "path", "tier", "status")
+
+
 @query("""WITH g AS (SELECT user_id, ts, CASE WHEN ts - lag(ts) OVER (PARTITION BY user_id ORDER BY ts) < INTERVAL 6 HOUR THEN 0 ELSE 1 END AS new FROM events),
 s AS (SELECT user_id, ts, sum(new) OVER (PARTITION BY user_id ORDER BY ts ROWS UNBOUNDED PRECEDING) AS id FROM g) SELECT user_id, strftime(min(ts), '%Y-%m-%d %H:%M:%S') AS start, count(*) AS n FROM s GROUP BY user_id, id""")
 def session_window_users(spark, d):

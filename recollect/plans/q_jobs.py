@@ -2,14 +2,12 @@
 
 from __future__ import annotations
 
-import time
-
 from pyspark.sql import functions as F
 
 from recollect.functions import text as T
 from recollect.operators import docindex, evaluation, lexical, rank, store
 from recollect.plans.base import MESSAGES, NOW, POINTS, messages, points, query, table, vectors
-from recollect.runtime import shared_dir
+from recollect.runtime import scratch, shared_dir
 from recollect.sources import readers
 
 _INDEXES: dict[tuple[str, str, str], docindex.LexicalIndex] = {}
@@ -36,7 +34,7 @@ def _index(spark, d) -> docindex.LexicalIndex:
     """The index over the turns, written once for each session and folder."""
     key = (spark.sparkContext.applicationId, d, shared_dir(spark))
     if key not in _INDEXES:
-        own = docindex.LexicalIndex(spark, f"{shared_dir(spark)}/index-{time.time_ns()}")
+        own = docindex.LexicalIndex(spark, scratch(spark, "index"))
         own.replace(_turn_files(spark, d))
         _INDEXES[key] = own
     return _INDEXES[key]
@@ -72,7 +70,7 @@ SELECT path, root, sha256(content) AS sha, CAST(1 AS BIGINT) AS chunks, CAST(2 *
 def index_replace_drop(spark, d):
     """Files indexed, some replaced, some dropped, what no version points to compacted away."""
     files = _turn_files(spark, d)
-    own = docindex.LexicalIndex(spark, f"{shared_dir(spark)}/index-{time.time_ns()}")
+    own = docindex.LexicalIndex(spark, scratch(spark, "index"))
     own.replace(files)
     content = F.concat(F.lit("new "), F.col("content"))
     own.replace(files.where("session_id % 5 = 0").withColumn("content", content).withColumn("sha", F.sha2("content", 256)))
@@ -88,7 +86,7 @@ def index_stats(spark, d):
 
 @query("SELECT * FROM (VALUES ('a', '3'), ('b', '2')) t(k, v)")
 def index_meta(spark, d):
-    own = docindex.LexicalIndex(spark, f"{shared_dir(spark)}/index-{time.time_ns()}")
+    own = docindex.LexicalIndex(spark, scratch(spark, "index"))
     for rows in ([("a", "1"), ("b", "2")], [("a", "3")]):
         own.set_meta(spark.createDataFrame(rows, "k string, v string"))
     return own.meta()

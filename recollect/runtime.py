@@ -1,4 +1,4 @@
-"""Session helpers shared by operators: staged tables, batch bounds and size-checked broadcasts."""
+"""Session helpers shared by operators: shared folders, staged tables, batch bounds and size-checked broadcasts."""
 
 from __future__ import annotations
 
@@ -41,16 +41,25 @@ def plain_unions(spark: SparkSession) -> None:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """Folder every executor can read: ``spark.checkpoint.dir``; a temporary one only where that is unset (tests)."""
+    """Folder every executor can read: ``spark.checkpoint.dir``, or else the warehouse; a temporary folder only where driver and executors are one process."""
     configured = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if configured:
         return configured.rstrip("/")
+    if spark.sparkContext.master.partition("[")[0] != "local":
+        return spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_recollect"
     key = spark.sparkContext.applicationId
     if key not in _FALLBACK:
         _FALLBACK[key] = "file://" + tempfile.mkdtemp(prefix="recollect-")
     return _FALLBACK[key]
 
 
+def scratch(spark: SparkSession, label: str) -> str:
+    """A new folder of its own in the shared one, deleted when the interpreter ends."""
+    path = f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
+    _STAGED.append((weakref.ref(spark), path))
+    return path
+
+
 def stage(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` to the shared folder and read it back.
 
@@ -59,9 +68,8 @@ def stage(df: DataFrame, label: str) -> DataFrame:
     """
     spark = df.sparkSession
     plain_unions(spark)
-    path = f"{shared_dir(spark)}/staged/{label}-{uuid.uuid4().hex}"
+    path = scratch(spark, f"staged/{label}")
     df.write.mode("overwrite").parquet(path)
-    _STAGED.append((weakref.ref(spark), path))
     out = spark.read.schema(df.schema).parquet(path)
     out._staged_at = path
     return out
