@@ -34,36 +34,30 @@ BROADCAST_BYTES = 32 << 20
 _SPACE = r"[ \t-\r]+"
 
 
-def _words(rows: DataFrame, key: str) -> DataFrame:
-    words = F.array_remove(F.split(F.lower(F.col("text").cast("string")), _SPACE), "")
-    return rows.where("text is not null").select(F.col(key).cast("long").alias(key), words.alias("w")).where(F.col(key).isNotNull() & (F.size("w") > 0))
-
-
-def _starts(width: int):
-    return F.sequence(F.lit(1), F.greatest(F.size("w") - (width - 1), F.lit(1)))
+def _columns(width: int) -> list[str]:
+    return [f"w{i}" for i in range(width)]
 
 
 def shingles(rows: DataFrame, key: str, width: int = SHINGLE) -> DataFrame:
-    """key, h, s: hash and words of every shingle (with repetitions); short texts are one shingle of all their words."""
-    each = _words(rows, key).select(key, F.explode(F.transform(_starts(width), lambda i: F.slice("w", i, width))).alias("s"))
-    return each.select(key, F.xxhash64("s").alias("h"), "s")
-
-
-def shingle_hashes(rows: DataFrame, key: str, width: int = SHINGLE) -> DataFrame:
-    """key, h of every shingle (with repetitions)."""
-    return _words(rows, key).select(key, F.explode(F.transform(_starts(width), lambda i: F.xxhash64(F.slice("w", i, width)))).alias("h"))
+    """key, h, w0..: hash and words of every shingle (with repetitions); words that short texts lack are null."""
+    words = F.array_remove(F.split(F.lower(F.col("text").cast("string")), _SPACE), "")
+    cut = rows.where("text is not null").select(F.col(key).cast("long").alias(key), words.alias("w")).where(F.col(key).isNotNull() & (F.size("w") > 0))
+    # the words side by side: zipped slices make rows whose hash is compiled code
+    names, last = _columns(width), F.greatest(F.size("w") - (width - 1), F.lit(1))
+    zipped = F.arrays_zip(*[F.slice("w", F.lit(1 + i), last).alias(w) for i, w in enumerate(names)])
+    return cut.select(key, F.inline(zipped).alias(*names)).select(key, F.xxhash64(*names).alias("h"), *names)
 
 
 def item_sketches(items: DataFrame, width: int = SHINGLE, threshold: float = THRESHOLD) -> DataFrame:
-    """item_id, h, s, n_item, in_sketch, asked: the distinct shingles of each item; ``asked`` of those in its sketch a holder must have."""
+    """item_id, h, w0.., n_item, in_sketch, asked: the distinct shingles of each item; ``asked`` of those in its sketch a holder must have."""
     own = shingles(items, "item_id", width).distinct()
     n = F.count("*").over(Window.partitionBy("item_id"))
-    rank = F.row_number().over(Window.partitionBy("item_id").orderBy("h", "s"))
+    rank = F.row_number().over(Window.partitionBy("item_id").orderBy("h", *_columns(width)))
     sized = own.select("*", n.alias("n_item"), rank.alias("rank"))
     top = F.pow(F.lit(2.0), F.ceil(F.log2("n_item")))  # partition of sizes (top / 2, top]
     sketch = F.least((top - F.ceil(F.lit(threshold) * top) + 1).cast("long"), F.col("n_item"))
     missing = F.col("n_item") - F.ceil(F.lit(threshold) * F.col("n_item"))
-    return sized.select("item_id", "h", "s", "n_item", (F.col("rank") <= sketch).alias("in_sketch"), F.greatest(sketch - missing, F.lit(1)).cast("long").alias("asked"))
+    return sized.select("item_id", "h", *_columns(width), "n_item", (F.col("rank") <= sketch).alias("in_sketch"), F.greatest(sketch - missing, F.lit(1)).cast("long").alias("asked"))
 
 
 def candidates(docs: DataFrame, sketches: DataFrame, width: int = SHINGLE) -> DataFrame:
@@ -71,7 +65,7 @@ def candidates(docs: DataFrame, sketches: DataFrame, width: int = SHINGLE) -> Da
     asked = sketches.where("in_sketch").select("item_id", "h", "asked").distinct()
     if asked.count() <= BROADCAST_SHINGLES:
         asked = F.broadcast(asked)
-    met = shingle_hashes(docs, "doc_id", width).join(asked, "h").groupBy("doc_id", "item_id", "h").agg(F.first("asked").alias("asked"))
+    met = shingles(docs, "doc_id", width).select("doc_id", "h").join(asked, "h").groupBy("doc_id", "item_id", "h").agg(F.first("asked").alias("asked"))
     return met.groupBy("doc_id", "item_id").agg(F.count("*").alias("k"), F.first("asked").alias("asked")).where("k >= asked").select("doc_id", "item_id")
 
 
@@ -79,12 +73,15 @@ def contained(docs: DataFrame, items: DataFrame, width: int = SHINGLE, threshold
     """doc_id, item_id, n_item, n_common, containment of every pair at or above the threshold."""
     sketches = stage(item_sketches(items, width, threshold), "benchmark-sketches")
     found = stage(candidates(docs, sketches, width), "benchmark-candidates")
-    size = sketches.agg(F.sum(F.aggregate("s", F.lit(48).cast("long"), lambda n, w: n + F.octet_length(w) + 16))).first()[0] or 0
-    theirs = sketches.select("item_id", F.col("h").alias("ih"), F.col("s").alias("words"), "n_item")
+    words = _columns(width)
+    size = sketches.agg(F.sum(sum((F.octet_length(F.coalesce(w, F.lit(""))) for w in words), F.lit(48 + 16 * width)))).first()[0] or 0
+    theirs = sketches.select("item_id", F.col("h").alias("ih"), *[F.col(w).alias(f"i{w}") for w in words], "n_item")
     theirs = F.broadcast(theirs) if size <= BROADCAST_BYTES else theirs
     suspects = docs.withColumn("doc_id", F.col("doc_id").cast("long")).join(small_side(stage(found.select("doc_id").distinct(), "benchmark-suspects"), BROADCAST_SHINGLES), "doc_id", "left_semi")
-    met = shingles(suspects, "doc_id", width).join(theirs, (F.col("h") == F.col("ih")) & (F.col("s") == F.col("words")))  # equal hashes are not taken for equal words
-    each = met.select("doc_id", "item_id", "n_item", "s").distinct().join(small_side(found, BROADCAST_SHINGLES), ["doc_id", "item_id"], "left_semi")
+    met = shingles(suspects, "doc_id", width).join(theirs, F.col("h") == F.col("ih"))
+    for w in words:  # equal hashes are not taken for equal words
+        met = met.where(F.col(w).eqNullSafe(F.col(f"i{w}")))
+    each = met.select("doc_id", "item_id", "n_item", *words).distinct().join(small_side(found, BROADCAST_SHINGLES), ["doc_id", "item_id"], "left_semi")
     pairs = each.groupBy("doc_id", "item_id", "n_item").agg(F.count("*").alias("n_common")).where(F.col("n_common") >= F.lit(threshold) * F.col("n_item"))
     return pairs.select("doc_id", "item_id", F.col("n_item").cast("long").alias("n_item"), "n_common", (F.col("n_common") / F.col("n_item")).alias("containment"))
 
