@@ -29,7 +29,7 @@ from recollect.runtime import small_side, stage
 GRAM_WORDS = 25
 WINDOW_WORDS = 25
 #: First places of repeated runs (48 bytes each) broadcast at most; more are joined by shuffle.
-BROADCAST_ROWS = 200_000
+BROADCAST_ROWS = 50_000
 
 #: A document is known by its doc_id and a hash of its text.
 DOC = ["doc_id", "version"]
