@@ -2,13 +2,14 @@
 
 Two gated recurrent layers read each segment of a text's UTF-8 bytes, one from either end; their states label
 every byte position with a distribution over the languages, and a document's probabilities are the mean over
-all its positions. The network is trained in numpy by backpropagation through time, on the driver, from a
+all its positions. Segments are ``SEGMENT`` bytes, in training and in prediction; the state starts anew in each, so that a document's segments can be read at once. The network is trained in numpy by backpropagation through time, on the driver, from a
 bounded sample: up to ``DOCS_PER_LANG`` documents of each language by hash order, up to ``SEGMENTS_PER_DOC``
 evenly spaced segments from each. Prediction reads every byte of every text.
 
 Defined cases: a null text, or one without a letter, is ``und`` with score 0; rows without a language are not
 learned from; with nothing to learn from every row is ``und``; one learned language is always predicted with
-score 1; ties go to the first language by name; extra columns are ignored.
+score 1; ties go to the first language by name; repeated rows get equal rows, and count once each as examples; a null doc_id is labelled but not learned from;
+very long texts are labelled whole, ``BLOCK`` segments at a time; an empty table gives no rows; extra columns are ignored, whatever their names.
 """
 
 from __future__ import annotations

@@ -147,7 +147,7 @@ rules(v, h, p) AS (VALUES ('allow', 'com', '/'), ('block', 'example.com', '/en/'
 fits AS (SELECT page_id, max((length(h) + length(p), h || p, v)) AS best FROM parts JOIN rules ON ends_with('.' || host, '.' || h) AND starts_with(path, p) GROUP BY 1),
 own AS (SELECT *, '.' || host || path AS c FROM parts)
 SELECT page_id, host, path, best[2] AS rule, CASE WHEN best IS NOT NULL THEN best[3] WHEN host = '' AND path = '' THEN 'allow'
-  WHEN regexp_matches(c, '(?s)^[^/]*\.(ads|adserver|tracker)\.[^/]*/.*$') OR regexp_matches(c, '(?s)^[^/]*/.*$') AND regexp_matches(c, '(?s)^[^/]*/wp-login.*$|^[^/]*/cgi-bin/.*$|^[^/]*/cart/.*$|^[^/]*/checkout/.*$')
+  WHEN regexp_matches(c, '(?s)^[^/]*(\.ads\.|\.ads-|\.adserver\.|\.tracker\.|casino|-bets\.|pills\.|adult|spam)[^/]*/.*$') OR regexp_matches(c, '(?s)^[^/]*/.*$') AND regexp_matches(c, '(?s)^[^/]*/wp-login.*$|^[^/]*/cgi-bin/.*$|^[^/]*/cart/.*$|^[^/]*/checkout/.*$')
     OR regexp_matches(c, '(?s)^[^/]*\.(exe|zip)$') THEN 'block' ELSE 'allow' END AS verdict
 FROM own LEFT JOIN fits USING (page_id)
 """

@@ -9,7 +9,7 @@ no host rule fits.
 
 Defined cases: a null url or one without ``://`` has an empty host and path, no rule, and the default
 verdict; ties cannot occur between host rules of equal length that fit one URL, since they would be equal;
-repeated rows get equal rows; very long URLs cost their own length only; extra columns are ignored.
+repeated rows get equal rows; a null page_id stays null; very long URLs cost their own length only; an empty table gives no rows; extra columns are ignored, whatever their names.
 """
 
 from __future__ import annotations
@@ -39,8 +39,8 @@ class HostRule:
         return f"*.{self.host}{self.path}*"
 
 
-#: Globs of the method itself, for URLs that no host rule fits: tracking and advertising hosts, and pages without prose.
-BLOCK_GLOBS = ("*.ads.*/*", "*.adserver.*/*", "*.tracker.*/*", "*/wp-login*", "*/cgi-bin/*", "*/cart/*", "*/checkout/*", "*.exe", "*.zip")
+#: Globs of the method itself, for URLs that no host rule fits: tracking and advertising hosts, gambling, pills, adult and spam hosts, and pages without prose.
+BLOCK_GLOBS = ("*.ads.*/*", "*.ads-*/*", "*.adserver.*/*", "*.tracker.*/*", "*casino*/*", "*-bets.*/*", "*pills.*/*", "*adult*/*", "*spam*/*", "*/wp-login*", "*/cgi-bin/*", "*/cart/*", "*/checkout/*", "*.exe", "*.zip")
 
 DEFAULT_VERDICT = "allow"
 
