@@ -6,16 +6,20 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from recollect.functions.text import has_all_tokens, index_tokens
-from recollect.runtime import stage
+from recollect.runtime import small_side, stage
 
 K1, B = 1.2, 0.75
+#: Terms of queries that are sent to the executors at most; more are joined by shuffle.
+ASKED_TERMS = 100_000
 
 
-def postings(chunks: DataFrame, *columns: str) -> DataFrame:
-    """chunk_id, term, tf, dl over the named text columns."""
+def postings(chunks: DataFrame, *columns: str, asked: DataFrame | None = None) -> DataFrame:
+    """chunk_id, term, tf, dl over the named text columns; with ``asked`` (term) of these terms only, so that no other posting is shuffled."""
     # the tokens are a column of their own below the explode; beside it they would be made again for each of them
     split = chunks.select("chunk_id", index_tokens(F.concat_ws(" ", *columns)).alias("tokens"))
     terms = split.select("chunk_id", F.size("tokens").alias("dl"), F.explode("tokens").alias("term"))
+    if asked is not None:
+        terms = terms.join(small_side(stage(asked.select("term").distinct(), "asked-terms"), ASKED_TERMS), "term", "left_semi")
     return terms.groupBy("chunk_id", "term").agg(F.count("*").alias("tf"), F.max("dl").alias("dl"))
 
 

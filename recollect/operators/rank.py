@@ -241,6 +241,31 @@ def word_overlap(query: Column, text: Column) -> Column:
     return F.coalesce(F.size(F.array_intersect(q, space_words(text))) / F.nullif(F.size(q), F.lit(0)), F.lit(0.0))
 
 
+_MODELS: dict[Callable, object] = {}
+
+
+def rerank_udf(loader: Callable[[], object]):
+    """Column function of (query, text): the score of a cross-encoder; null where the model fails for a query.
+
+    ``loader`` gives an object with ``rerank(query, texts) -> scores`` and runs once in each worker.
+    """
+
+    @F.pandas_udf("double")
+    def score(queries: pd.Series, texts: pd.Series) -> pd.Series:
+        model = _MODELS.get(loader) or _MODELS.setdefault(loader, loader())
+        out = pd.Series(np.nan, index=texts.index)
+        for query, own in texts.groupby(queries.fillna(""), sort=False):
+            try:
+                got = np.asarray(list(model.rerank(query, own.fillna("").tolist())), dtype=np.float64)
+                if len(got) == len(own):
+                    out[own.index] = got
+            except Exception:  # noqa: BLE001 - a query without scores keeps its order
+                continue
+        return out
+
+    return score
+
+
 def reranked(rows: DataFrame, scorer: Column, top: int | None = None) -> DataFrame:
     """Reordered by the scorer; a query with any missing or non-finite score, or under two rows, keeps its order."""
     group = Window.partitionBy("query_id")

@@ -66,7 +66,8 @@ class MemoryStore:
             texts = allowed.select(F.col("point_id").alias("chunk_id"), "text")
 
             def sparse():
-                scores = lexical.bm25(lexical.postings(texts, "text"), lexical.corpus_stats(texts, "text"), lexical.query_terms(queries))
+                terms = lexical.query_terms(queries)
+                scores = lexical.bm25(lexical.postings(texts, "text", asked=terms), lexical.corpus_stats(texts, "text"), terms)
                 return lexical.topk(scores, k).withColumnRenamed("chunk_id", "point_id")
 
             found = rank.hybrid(found, sparse, k, on_error=lambda e: warn_once("sparse", f"search goes on without its sparse arm: {type(e).__name__}"))

@@ -69,8 +69,8 @@ lex AS (SELECT query_id, chunk_id, score, CAST(row_number() OVER (PARTITION BY q
 
 
 def _bm25(spark, d):
-    docs = _docs(spark, d)
-    return lexical.bm25(lexical.postings(docs, "text"), lexical.corpus_stats(docs, "text"), lexical.query_terms(_asked(spark, d)))
+    docs, terms = _docs(spark, d), lexical.query_terms(_asked(spark, d))
+    return lexical.bm25(lexical.postings(docs, "text", asked=terms), lexical.corpus_stats(docs, "text"), terms)
 
 
 @query(f"WITH {_INDEX}, {_QT}, {_BM25.format('')} SELECT * FROM lex WHERE rank <= 10")
@@ -96,7 +96,7 @@ sc AS (SELECT query_id, p.chunk_id, round(sum(qtf * 2.2 / (qtf + 1.2 * (0.25 + 0
 r AS (SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, chunk_id) AS INTEGER) AS rank FROM sc) SELECT * FROM r WHERE rank <= 10""")
 def sparse_idf_topk(spark, d):
     docs = _docs(spark, d)
-    scores = lexical.sparse_idf(lexical.postings(docs, "text"), lexical.corpus_stats(docs, "text"), _asked(spark, d))
+    scores = lexical.sparse_idf(lexical.postings(docs, "text", asked=lexical.query_terms(_asked(spark, d))), lexical.corpus_stats(docs, "text"), _asked(spark, d))
     return lexical.topk(scores, 10, descending=True)
 
 

@@ -214,3 +214,26 @@ def test_cascade_hook_that_fails(spark):
 
     out = rank.cascade(q, [("wrong", wrong), ("right", lambda a: a.withColumn("point_id", F.lit(1)))], hook).collect()
     assert seen == ["wrong"] and (out[0].level, out[0].degraded, out[0].attempted) == ("right", True, "wrong,right") and out[0].reason.startswith("wrong failed: KeyError")
+
+
+def test_rerank_model(spark):
+    class Lengths:
+        """A cross-encoder that likes long texts and fails for one query."""
+
+        def rerank(self, query, texts):
+            if query == "bad":
+                raise RuntimeError("no scores")
+            return [len(t) for t in texts]
+
+    rows = spark.createDataFrame([(1, "q", 1, "a"), (1, "q", 2, "abc"), (1, "q", 3, "ab"), (2, "bad", 1, "a"), (2, "bad", 2, "abc")], "query_id int, query string, rank int, text string")
+    out = rank.reranked(rows, rank.rerank_udf(Lengths)(F.col("query"), F.col("text"))).collect()
+    assert {(r.query_id, r["rank"]): r.text for r in out} == {(1, 1): "abc", (1, 2): "ab", (1, 3): "a", (2, 1): "a", (2, 2): "abc"}
+
+
+def test_functions_for_sql(spark):
+    from recollect.functions.register import register
+
+    assert "recollect_root" in register(spark)
+    row = spark.sql("""SELECT recollect_root('a/b') AS r, recollect_contains('One two', 'TWO one') AS c, recollect_contains('x', '!!!') AS n, recollect_decay(10, 5) AS d,
+      recollect_trust(1, 0) AS t, recollect_valid_id('12') AS v, recollect_valid_id(NULL) AS w, recollect_jaccard(array('a', 'b'), array('b')) AS j, size(recollect_embed('x')) AS e, recollect_window('no time') AS p""").first()
+    assert (row.r, row.c, row.n, row.d, row.t, row.v, row.w, row.j, row.e) == ("a", True, False, 0.25, 0.6667, True, False, 0.5, 64) and row.p.start is None
