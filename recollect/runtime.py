@@ -4,11 +4,14 @@ from __future__ import annotations
 
 import atexit
 import contextlib
+import ctypes
+import gc
 import tempfile
 import uuid
 import weakref
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -99,11 +102,35 @@ def drop_staged() -> None:
             return
 
 
+#: Bytes of an Arrow batch on its way to Python at most (a single larger row is a batch of its own).
+BATCH_BYTES = 16 << 20
+
+
 def bound_batches(spark: SparkSession, rows: int = 512) -> None:
-    """Keep an Arrow batch of long texts small; only ever lowers the setting."""
+    """Keep an Arrow batch of long texts small, in rows and in bytes; only ever lowers the settings."""
     key = "spark.sql.execution.arrow.maxRecordsPerBatch"
     if int(spark.conf.get(key)) > rows or int(spark.conf.get(key)) <= 0:
         spark.conf.set(key, str(rows))
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    with contextlib.suppress(Exception):  # a setting of newer versions
+        held = spark.conf.get(key).rstrip("b")
+        if not held.isdigit() or not 0 < int(held) <= BATCH_BYTES:
+            spark.conf.set(key, str(BATCH_BYTES))
+
+
+def tidied(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]):
+    """``run`` for ``mapInArrow``, after which the worker, which lives on for other tasks, gives free memory back to the system."""
+
+    def wrapped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from run(batches)
+        finally:
+            gc.collect()
+            pa.default_memory_pool().release_unused()
+            with contextlib.suppress(OSError, AttributeError):
+                ctypes.CDLL(None).malloc_trim(0)
+
+    return wrapped
 
 
 @contextlib.contextmanager
