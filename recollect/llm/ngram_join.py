@@ -39,7 +39,7 @@ from pyspark.sql import functions as F
 
 from recollect.llm.components import components
 from recollect.llm.signatures import keyed, near, signature
-from recollect.runtime import bound_batches, release, small_side, stage
+from recollect.runtime import bound_batches, release, small_side, stage, tidied
 
 WIDTH = 5
 THRESHOLD_PERCENT = 75
@@ -211,7 +211,7 @@ def profile(docs: DataFrame, width: int = WIDTH) -> DataFrame:
             k = len(rows)
             yield pa.RecordBatch.from_arrays([*[pa.nulls(k, pa.int64()) for _ in range(4)], pa.nulls(k, pa.list_(pa.int64())), pa.nulls(k, pa.binary()), pa.array([i for i, _ in rows], pa.int32()), pa.array([b for _, b in rows], pa.binary())], names=names)
 
-    return _docs(docs).mapInArrow(run, "doc_id long, n long, f1 long, f2 long, mins array<long>, signature binary, slice int, counts binary")
+    return _docs(docs).mapInArrow(tidied(run), "doc_id long, n long, f1 long, f2 long, mins array<long>, signature binary, slice int, counts binary")
 
 
 def frequent_bitmap(sketches: DataFrame, total: int) -> bytes:
@@ -228,7 +228,7 @@ def frequent_bitmap(sketches: DataFrame, total: int) -> bytes:
         bits = [np.packbits(s > limit).tobytes() for s in sums.values()]
         yield pa.RecordBatch.from_arrays([pa.array(list(sums), pa.int32()), pa.array(bits, pa.binary())], names=["slice", "bits"])
 
-    rows = sketches.select("slice", "counts").repartition("slice").mapInArrow(run, "slice int, bits binary").collect()  # SLICES rows
+    rows = sketches.select("slice", "counts").repartition("slice").mapInArrow(tidied(run), "slice int, bits binary").collect()  # SLICES rows
     whole = np.zeros((1 << SKETCH_BITS) // 8, dtype=np.uint8)
     for r in rows:
         whole[r["slice"] * per // 8 : (r["slice"] + 1) * per // 8] = np.frombuffer(bytes(r["bits"]), dtype=np.uint8)
@@ -240,11 +240,10 @@ def verified(pairs: DataFrame, docs: DataFrame, width: int = WIDTH, percent: int
 
     The sets to compare with one v come to it in tasks of bounded size, each beside v's own set, so a set travels once for each pair.
     """
-    often = pairs.groupBy("v").agg(F.ceil(F.count("*") / SALT_ROWS).cast("int").alias("salts"))
+    often = pairs.groupBy("v").agg(F.ceil(F.count("*") / SALT_ROWS).cast("int").alias("salts")).where("salts > 1")
     often = small_side(stage(often, "jaccard-often"), BROADCAST_ROWS)
-    salted = pairs.join(often, "v").select("v", F.pmod(F.xxhash64("u"), "salts").cast("int").alias("salt"), F.lit(1).alias("follows"), F.col("u").alias("id"))
-    leads = often.select("v", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt"), F.lit(0).alias("follows"), F.col("v").alias("id"))
-    roles = stage(salted.unionByName(leads), "jaccard-roles")
+    salted = pairs.join(often, "v", "left").select("v", F.pmod(F.xxhash64("u"), F.coalesce("salts", F.lit(1))).cast("int").alias("salt"), F.lit(1).alias("follows"), F.col("u").alias("id"))
+    roles = salted.unionByName(salted.select("v", "salt", F.lit(0).alias("follows"), F.col("v").alias("id")).distinct())
     wanted = small_side(stage(roles.select("id").distinct(), "jaccard-ids"), BROADCAST_ROWS)
 
     def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -268,9 +267,9 @@ def verified(pairs: DataFrame, docs: DataFrame, width: int = WIDTH, percent: int
                     v.append(hub)
             yield pa.RecordBatch.from_arrays([pa.array(u, pa.int64()), pa.array(v, pa.int64())], names=["u", "v"])
 
-    sets = _docs(docs).withColumnRenamed("doc_id", "id").join(wanted, "id", "left_semi").select("id", "text").mapInArrow(hashed, "id long, tokens binary")
+    sets = _docs(docs).withColumnRenamed("doc_id", "id").join(wanted, "id", "left_semi").select("id", "text").mapInArrow(tidied(hashed), "id long, tokens binary")
     met = sets.join(small_side(roles, BROADCAST_ROWS), "id").select("v", "salt", "follows", "id", "tokens")
-    return met.repartition("v", "salt").sortWithinPartitions("v", "salt", "follows").mapInArrow(linked, "u long, v long").distinct()
+    return met.repartition("v", "salt").sortWithinPartitions("v", "salt", "follows").mapInArrow(tidied(linked), "u long, v long").distinct()
 
 
 def _links(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
@@ -315,7 +314,7 @@ def block_stars(blocks: DataFrame, percent: int = THRESHOLD_PERCENT) -> DataFram
                 yield flushed()
         yield flushed()
 
-    return blocks.select("j", "low", "slot", "id", "n", "signature").repartition("j", "low", "slot").sortWithinPartitions("j", "low", "slot").mapInArrow(run, "j int, low long, u long, v long, hub long, degree long")
+    return blocks.select("j", "low", "slot", "id", "n", "signature").repartition("j", "low", "slot").sortWithinPartitions("j", "low", "slot").mapInArrow(tidied(run), "j int, low long, u long, v long, hub long, degree long")
 
 
 def _trees(a: np.ndarray, b: np.ndarray, root: int) -> Iterator[tuple[int, int]]:
@@ -419,8 +418,8 @@ def matrix(docs: DataFrame, status: DataFrame, frequent: bytes, total: int, widt
         if held:
             yield _summed(found)
 
-    cells = rows.mapInArrow(cut, "bucket int, tokens binary, grp binary, small binary, large binary").repartition(parts, "bucket")
-    return cells.mapInArrow(meet, "a long, b long, shared long, small int, large int")
+    cells = rows.mapInArrow(tidied(cut), "bucket int, tokens binary, grp binary, small binary, large binary").repartition(parts, "bucket")
+    return cells.mapInArrow(tidied(meet), "a long, b long, shared long, small int, large int")
 
 
 def _one_each(t: np.ndarray, g: np.ndarray, small: np.ndarray, large: np.ndarray) -> tuple[np.ndarray, ...]:
@@ -504,7 +503,7 @@ def candidates(members: DataFrame, nearest: bool, percent: int = THRESHOLD_PERCE
                 yield pa.RecordBatch.from_arrays([pa.array(np.full(len(a), job)), pa.array(ids[a]), pa.array(ids[b]), pa.array(np.full(len(a), had > len(a)))], names=["job", "u", "v", "more"])
 
     dealt = dealt.select("job", "lo", "hi", "id", "g", "kind", "n", "slot", "signature")
-    return dealt.repartition("job", "lo", "hi").sortWithinPartitions("job", "lo", "hi").mapInArrow(run, "job long, u long, v long, more boolean")
+    return dealt.repartition("job", "lo", "hi").sortWithinPartitions("job", "lo", "hi").mapInArrow(tidied(run), "job long, u long, v long, more boolean")
 
 
 def _nearest(one: np.ndarray, other: np.ndarray, group: np.ndarray, differ: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
