@@ -31,12 +31,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from recollect.runtime import bound_batches
+from recollect.runtime import bound_batches, tidied
 
-#: Bounds of what a worker remembers, in bytes of words and of pieces, and in pairs; longer pieces are encoded anew each time.
-CACHE_WORDS = 128 << 20
-CACHE_PIECES = 32 << 20
-CACHE_PAIRS = 600_000
+#: Bounds of what a worker remembers, in bytes of words and pieces, and in pairs; longer ones are encoded anew each time.
+CACHE_WORDS = 80 << 20
+CACHE_PAIRS = 300_000
 CACHE_BYTES = 64
 #: What an entry of the memory takes besides its text and ids.
 ENTRY_BYTES = 200
@@ -110,6 +109,27 @@ class Vocabulary:
                 limit, right = right + 1, split[right][0]
 
 
+def _extend(v: Vocabulary, text: str, last: list[int], old: int) -> None:
+    """Store the last token of every prefix of ``text`` (bytes as Latin-1) that is longer than ``old``."""
+    known = v.pairs
+    # tokens that end in the new bytes start at most the longest token's length before them
+    for end, (rank, size) in v.automaton.iter(text, max(0, old - v.longest)) if old else v.automaton.iter(text):
+        if end < old or last[end] >= 0:
+            continue
+        begin = end - size
+        if begin < 0:
+            last[end] = rank
+        elif (before := last[begin]) >= 0:
+            pair = before << 20 | rank
+            fits = known.get(pair)
+            if fits is None:
+                if len(known) > CACHE_PAIRS:
+                    known.clear()
+                fits = known[pair] = v.apart(before, rank)
+            if fits:
+                last[end] = rank
+
+
 class PrefixTable:
     """Last token of every prefix of one piece."""
 
@@ -119,26 +139,10 @@ class PrefixTable:
 
     def append(self, data: bytes) -> None:
         """Add bytes; nothing stored so far changes."""
-        v, last, old = self.vocabulary, self.last, len(self.data)
+        old = len(self.data)
         self.data += data
-        last += [-1] * len(data)
-        known, apart = v.pairs, v.apart
-        # tokens that end in the new bytes start at most the longest token's length before them
-        for end, (rank, size) in v.automaton.iter(self.data.decode("latin-1"), max(0, old - v.longest)):
-            if end < old or last[end] >= 0:
-                continue
-            begin = end - size
-            if begin < 0:
-                last[end] = rank
-            elif (before := last[begin]) >= 0:
-                pair = before << 20 | rank
-                fits = known.get(pair)
-                if fits is None:
-                    fits = known[pair] = apart(before, rank)
-                if fits:
-                    last[end] = rank
-        if len(known) > CACHE_PAIRS:
-            known.clear()
+        self.last += [-1] * len(data)
+        _extend(self.vocabulary, self.data.decode("latin-1"), self.last, old)
 
     def truncate(self, length: int) -> None:
         self.data, self.last = self.data[:length], self.last[:length]
@@ -210,44 +214,60 @@ class Encoder:
     """
 
     def __init__(self, ranks: dict[bytes, int], pattern: str, spaced: bool = False):
-        self.vocabulary, self.pattern, self.cache = Vocabulary(ranks), regex.compile(pattern), Memory(CACHE_PIECES)
-        self.spaced, self.words = spaced, Memory(CACHE_WORDS)
+        self.vocabulary, self.pattern, self.spaced = Vocabulary(ranks), regex.compile(pattern), spaced
+        self.words = Memory(CACHE_WORDS)
         self.table = [self.vocabulary.tokens.get(i, b"") for i in range(max(self.vocabulary.tokens) + 1)]
+        self.ids = [struct.pack("<I", i) for i in range(len(self.table))]
+        self.sizes = [len(t) for t in self.table]
+
+    def _tokens(self, data: bytes) -> bytes:
+        """Ids of one piece, read backwards from its prefix table."""
+        whole = self.vocabulary.ranks.get(data)
+        if whole is not None:
+            return self.ids[whole]
+        at = len(data)
+        last = [-1] * at
+        _extend(self.vocabulary, data.decode("latin-1"), last, 0)
+        out, ids, sizes = [], self.ids, self.sizes
+        while at:
+            token = last[at - 1]
+            out.append(ids[token])
+            at -= sizes[token]
+        out.reverse()
+        return b"".join(out)
 
     def _piece(self, text: str) -> bytes:
-        known = self.cache.get(text)
+        known = self.words.get(text)
         if known is None:
-            data = text.encode("utf-8")
-            whole = self.vocabulary.ranks.get(data)
-            ids = [whole] if whole is not None else PrefixTable(self.vocabulary, data).ids()
-            known = struct.pack(f"<{len(ids)}I", *ids)
-            if len(data) <= CACHE_BYTES:
-                self.cache.put(text, known)
+            known = self._tokens(text.encode("utf-8"))
+            if len(text) <= CACHE_BYTES:
+                self.words.put(text, known)
         return known
 
     def piece(self, text: str) -> tuple[int, ...]:
         return tuple(memoryview(self._piece(text)).cast("I"))
 
-    def _pieces(self, text: str) -> bytes:
-        return b"".join(map(self._piece, self.pattern.findall(text)))
+    def _word(self, word: str) -> bytes:
+        """Ids of a word that is not remembered."""
+        pieces = self.pattern.findall(word)
+        ids = self._tokens(word.encode("utf-8")) if len(pieces) == 1 and len(pieces[0]) == len(word) else b"".join(map(self._piece, pieces))
+        if len(word) <= CACHE_BYTES:
+            self.words.put(word, ids)
+        return ids
 
     def packed(self, text: str | None) -> bytes:
         """The text's ids as little-endian unsigned 32-bit integers."""
         if not text:
             return b""
         if not self.spaced:
-            return self._pieces(text)
+            return b"".join(map(self._piece, self.pattern.findall(text)))
         words = _words(text)
         found = list(map(self.words.young.get, words))
         if None in found:
-            for i, word in enumerate(words):
-                if found[i] is None:
-                    ids = self.words.get(word)
-                    if ids is None:
-                        ids = self._pieces(word)
-                        if len(word) <= CACHE_BYTES:
-                            self.words.put(word, ids)
-                    found[i] = ids
+            older = self.words.get
+            for i, ids in enumerate(found):
+                if ids is None:
+                    found[i] = older(words[i]) or self._word(words[i])
         return b"".join(found)
 
     def encode(self, text: str | None) -> list[int]:
@@ -327,4 +347,4 @@ def encode_documents(docs: DataFrame, path: str, pattern: str, *, spaced: bool =
     fields = [T.StructField("doc_id", T.LongType()), T.StructField("n_tokens", T.LongType()), T.StructField("ids_sha256", T.StringType()), T.StructField("decoded_sha256", T.StringType())]
     if with_ids:
         fields.append(T.StructField("ids", T.ArrayType(T.IntegerType())))
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(run, T.StructType(fields))
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(tidied(run), T.StructType(fields))
