@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from recollect.runtime import bound_batches, small_side, stage
+from recollect.runtime import bound_batches, small_side, stage, tidied
 
 #: (modulus, radix) of the two hashes; both moduli are primes below 2**31, so products fit 64 bits.
 HASHES = ((2147483647, 1000003), (2147483629, 69069))
@@ -115,7 +115,7 @@ def fingerprints(docs: DataFrame, hashes=HASHES) -> DataFrame:
             )
 
     schema = T.StructType([T.StructField("doc_id", T.LongType()), *_KEY, T.StructField("text_sha256", T.StringType())])
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(run, schema)
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(tidied(run), schema)
 
 
 def _chunks(docs: DataFrame, hashes, size: int) -> DataFrame:
@@ -133,7 +133,7 @@ def _chunks(docs: DataFrame, hashes, size: int) -> DataFrame:
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=["f1", "f2", "n", "part", "chunk"])
 
     schema = T.StructType([*_KEY, T.StructField("part", T.LongType()), T.StructField("chunk", T.BinaryType())])
-    return docs.select(F.col("text").cast("string").alias("text")).mapInArrow(run, schema)
+    return docs.select(F.col("text").cast("string").alias("text")).mapInArrow(tidied(run), schema)
 
 
 def collisions(docs: DataFrame, ids: DataFrame, hashes=HASHES, size: int = COMPARE_CHUNK) -> DataFrame:

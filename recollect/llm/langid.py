@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from recollect.runtime import bound_batches
+from recollect.runtime import bound_batches, tidied
 
 SEGMENT = 64
 HIDDEN = 8
@@ -218,7 +218,7 @@ def training_segments(docs: DataFrame, docs_per_lang: int = DOCS_PER_LANG, per_d
                 ids += [doc] * len(starts)
             yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(out, pa.binary()), pa.array(langs, pa.string())], names=["doc_id", "data", "lang"])
 
-    rows = chosen.select(F.col("doc_id").cast("long"), "text", "lang").mapInArrow(run, "doc_id long, data binary, lang string").collect()
+    rows = chosen.select(F.col("doc_id").cast("long"), "text", "lang").mapInArrow(tidied(run), "doc_id long, data binary, lang string").collect()
     rows = sorted((r["lang"], r["doc_id"], bytes(r["data"])) for r in rows)
     return [r[2] for r in rows], [r[0] for r in rows]
 
@@ -241,7 +241,7 @@ def predict(docs: DataFrame, net: Network | None) -> DataFrame:
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(names, pa.string()), pa.array(scores, pa.float64())], names=["doc_id", "lang_pred", "score"])
 
     schema = T.StructType([T.StructField("doc_id", T.LongType()), T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())])
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(run, schema)
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(tidied(run), schema)
 
 
 def identify(docs: DataFrame, learn_from) -> DataFrame:

@@ -35,7 +35,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from recollect.runtime import bound_batches, release, small_side, stage
+from recollect.runtime import bound_batches, release, small_side, stage, tidied
 
 KINDS = ("email", "ip", "card", "phone")
 MIN_CONTEXTS = 3
@@ -186,7 +186,7 @@ def scan(rows: DataFrame, terms: frozenset[str] = frozenset()) -> DataFrame:
                 names=_SCAN.fieldNames(),
             )
 
-    return rows.mapInArrow(run, _SCAN)
+    return rows.mapInArrow(tidied(run), _SCAN)
 
 
 def kinship(terms: list[str], width: int = 3) -> int:
@@ -215,7 +215,7 @@ def holders(docs: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays([pa.array(kin, pa.int64()), pa.array(terms, pa.list_(pa.string())), none, none], names=names)
         yield pa.RecordBatch.from_arrays([pa.nulls(1, pa.int64()), pa.nulls(1, pa.list_(pa.string())), pa.array([n], pa.int64()), pa.array([held], pa.int64())], names=names)
 
-    return docs.select(F.col("text").cast("string").alias("text")).mapInArrow(run, "kin long, terms array<string>, n long, n_holders long")
+    return docs.select(F.col("text").cast("string").alias("text")).mapInArrow(tidied(run), "kin long, terms array<string>, n long, n_holders long")
 
 
 def disclosed(n_both: int, n_term: int, n_holders: int, total: int, confidence: float = CONFIDENCE) -> float:
@@ -264,7 +264,7 @@ def _concept_by_shuffle(rows: DataFrame, terms: DataFrame) -> DataFrame:
                 flat = [(row, *t) for t in outside(text or "", base_spans(text))]
                 yield pa.RecordBatch.from_arrays([pa.array([f[i] for f in flat], kind) for i, kind in enumerate(kinds)], names=["row", "term", "start", "stop"])
 
-    found = rows.select("row", "text").mapInArrow(each, "row long, term string, start long, stop long").join(terms.select("term"), "term", "left_semi")
+    found = rows.select("row", "text").mapInArrow(tidied(each), "row long, term string, start long, stop long").join(terms.select("term"), "term", "left_semi")
     written = F.transform(F.sort_array(F.collect_list(F.struct("start", "stop"))), lambda s: F.concat(F.lit("term:"), s["start"], F.lit(":"), s["stop"]))
     return found.groupBy("row").agg(F.array_join(written, ",").alias("concept"))
 
@@ -288,7 +288,7 @@ def document_counts(docs: DataFrame, terms: DataFrame, bound: int = BROADCAST_TE
                     yield flushed()
         yield flushed()
 
-    found = docs.select(F.col("text").cast("string").alias("text")).mapInArrow(run, "term string, n long")
+    found = docs.select(F.col("text").cast("string").alias("text")).mapInArrow(tidied(run), "term string, n long")
     if wanted is None:
         found = found.join(terms, "term", "left_semi")
     return found.groupBy("term").agg(F.sum("n").alias("n_term"))
@@ -320,7 +320,7 @@ def together(held: DataFrame, support: int = MIN_CONTEXTS) -> DataFrame:
                         yield flushed()
         yield flushed()
 
-    found = held.select("base", "entities", "context", "text").mapInArrow(run, "entity long, term string, context long, n long")
+    found = held.select("base", "entities", "context", "text").mapInArrow(tidied(run), "entity long, term string, context long, n long")
     found = found.groupBy("entity", "term", "context").agg(F.sum("n").alias("n")).groupBy("entity", "term").agg(F.count("*").alias("contexts"), F.sum("n").alias("n_both"))
     return found.where(F.col("contexts") >= support).drop("contexts")
 
@@ -357,7 +357,7 @@ def marks(held: DataFrame, pairs: DataFrame, bound: int = BROADCAST_TERMS) -> Da
                         places.append(found)
                 yield pa.RecordBatch.from_arrays([pa.array(rows, pa.int64()), pa.array(places, pa.list_(pa.struct([("start", pa.int64()), ("stop", pa.int64())])))], names=["row", "terms"])
 
-        return held.mapInArrow(run, f"row long, terms {_MARKS}")
+        return held.mapInArrow(tidied(run), f"row long, terms {_MARKS}")
 
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kinds = (pa.int64(), pa.int64(), pa.string(), pa.int64(), pa.int64())
@@ -366,7 +366,7 @@ def marks(held: DataFrame, pairs: DataFrame, bound: int = BROADCAST_TERMS) -> Da
                 flat = [(row, e, *t) for t in outside(text, _parsed(written)) for e in own]
                 yield pa.RecordBatch.from_arrays([pa.array([f[i] for f in flat], k) for i, k in enumerate(kinds)], names=["row", "entity", "term", "start", "stop"])
 
-    found = held.mapInArrow(each, "row long, entity long, term string, start long, stop long").join(pairs, ["entity", "term"], "left_semi")
+    found = held.mapInArrow(tidied(each), "row long, entity long, term string, start long, stop long").join(pairs, ["entity", "term"], "left_semi")
     return found.select("row", "start", "stop").distinct().groupBy("row").agg(F.sort_array(F.collect_list(F.struct("start", "stop"))).alias("terms"))
 
 
@@ -437,7 +437,7 @@ def sanitised(docs: DataFrame, threshold: float = DISCLOSURE, support: int = MIN
             clean = [sanitise(t, s) for t, s in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True)]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(clean, pa.string())], names=["row", "clean"])
 
-    clean = plain.join(spans, "row").select("row", "text", "spans").mapInArrow(run, "row long, clean string")
+    clean = plain.join(spans, "row").select("row", "text", "spans").mapInArrow(tidied(run), "row long, clean string")
     both = whole.join(clean, "row", "left")
     text = F.coalesce("clean", F.col("r.text"))
     return both.select(*[text.alias(c) if c == "text" else F.col(f"r.`{c}`").alias(c) for c in docs.columns])

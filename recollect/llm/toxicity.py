@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from recollect.runtime import bound_batches, stage
+from recollect.runtime import bound_batches, stage, tidied
 
 MAX_POSITIVE = 2000
 MAX_UNLABELLED = 6000
@@ -130,7 +130,7 @@ def _counts(texts: DataFrame) -> DataFrame:
         names = list(p.keys() | u.keys())
         yield pa.RecordBatch.from_arrays([pa.array(names, pa.string()), pa.array([p[f] for f in names], pa.int64()), pa.array([u[f] for f in names], pa.int64())], names=["feature", "p", "u"])
 
-    each = texts.select("is_p", "text").mapInArrow(run, "feature string, p long, u long")
+    each = texts.select("is_p", "text").mapInArrow(tidied(run), "feature string, p long, u long")
     return each.groupBy("feature").agg(F.sum("p").alias("p"), F.sum("u").alias("u"))
 
 
@@ -143,7 +143,7 @@ def _vectors(texts: DataFrame, vocabulary: list[str]) -> DataFrame:
             x = [sorted(int(model.weights[f]) for f in model.present(t)) for t in batch.column(2).to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(x, pa.list_(pa.int32()))], names=["doc_id", "is_p", "x"])
 
-    return texts.select("doc_id", "is_p", "text").mapInArrow(run, "doc_id long, is_p boolean, x array<int>")
+    return texts.select("doc_id", "is_p", "text").mapInArrow(tidied(run), "doc_id long, is_p boolean, x array<int>")
 
 
 def fit(docs: DataFrame, labels: DataFrame, learn_from) -> ToxicityModel:
@@ -188,7 +188,7 @@ def score(docs: DataFrame, model: ToxicityModel) -> DataFrame:
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(scores, pa.float64()), pa.array([int(s >= 0.5) for s in scores], pa.int32())], names=["doc_id", "score", "predicted"])
 
     schema = T.StructType([T.StructField("doc_id", T.LongType()), T.StructField("score", T.DoubleType()), T.StructField("predicted", T.IntegerType())])
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(run, schema)
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(tidied(run), schema)
 
 
 def reject_toxic(docs: DataFrame, model: ToxicityModel) -> DataFrame:
@@ -201,7 +201,7 @@ def reject_toxic(docs: DataFrame, model: ToxicityModel) -> DataFrame:
             keep = [model.score(t) < 0.5 for t in batch.column(at).to_pylist()]
             yield batch.filter(pa.array(keep, pa.bool_()))
 
-    return docs.mapInArrow(run, docs.schema)
+    return docs.mapInArrow(tidied(run), docs.schema)
 
 
 __all__ = ["ToxicityModel", "fit", "fit_nnpu", "features", "reject_toxic", "score", "words"]

@@ -23,6 +23,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from recollect.runtime import tidied
+
 
 @dataclass(frozen=True)
 class HostRule:
@@ -141,4 +143,4 @@ def judge(pages: DataFrame, rules: list[HostRule], globs: tuple[str, ...] = BLOC
             )
 
     schema = T.StructType([T.StructField("page_id", T.LongType()), *[T.StructField(n, T.StringType()) for n in ("host", "path", "rule", "verdict")]])
-    return pages.select(F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url")).mapInArrow(run, schema)
+    return pages.select(F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url")).mapInArrow(tidied(run), schema)
