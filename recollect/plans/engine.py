@@ -38,6 +38,11 @@ class MemoryStore:
         target = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.path}/{name}")
         return target.getFileSystem(self.spark._jsc.hadoopConfiguration()).exists(target)
 
+    def drop(self) -> bool:
+        """Delete the store's folder; whether it was there."""
+        target = self.spark._jvm.org.apache.hadoop.fs.Path(self.path)
+        return target.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(target, True)
+
     def _append(self, rows: DataFrame) -> None:
         """Add versions; columns that are not given are null."""
         wanted = self.spark.createDataFrame([], SCHEMA).schema
@@ -98,7 +103,7 @@ class MemoryStore:
         plan = store.forget_plan(asked, known)
         plan = self.spark.createDataFrame(plan.collect(), plan.schema)  # at most FORGET_LIMIT rows, pinned before they are deleted
         if confirm:
-            gone = plan.where("status = 'found'").where(valid_point_id(F.col("id"))).select(F.col("id").cast("long").alias("point_id")).distinct()
+            gone = plan.where("status = 'found'").where(valid_point_id(F.col("id"))).select(F.col("id").try_cast("long").alias("point_id")).where("point_id is not null").distinct()
             self._append(gone.withColumn("deleted", F.lit(True)).withColumn("version", F.lit(time.time_ns())))
         return plan
 

@@ -96,8 +96,7 @@ def known_answer_hits(spark, d):
 
 @query("""WITH s AS (SELECT user_id, list_sort(list(value)) AS v FROM events GROUP BY 1) SELECT user_id, v[CAST(greatest(1, ceil(len(v) * 50 / 100.0)) AS INTEGER)] AS p50, v[CAST(greatest(1, ceil(len(v) * 95 / 100.0)) AS INTEGER)] AS p95 FROM s""")
 def percentile_nearest_rank(spark, d):
-    lists = table(spark, d, "events").groupBy("user_id").agg(F.array_sort(F.collect_list("value")).alias("v"))
-    return lists.select("user_id", E.nearest_rank(F.col("v"), 50).alias("p50"), E.nearest_rank(F.col("v"), 95).alias("p95"))
+    return E.nearest_rank_by(table(spark, d, "events"), "user_id", "value", (50, 95))
 
 
 @query("""WITH w AS (SELECT event_id, list_sort(list(value) OVER (PARTITION BY user_id ORDER BY event_id ROWS BETWEEN 199 PRECEDING AND CURRENT ROW)) AS v FROM events)

@@ -91,7 +91,9 @@ def forget_classify(spark, d):
 
 @query(f"WITH {POINTS} SELECT kind, count(*) AS n FROM points WHERE point_id NOT IN (3, 8, 21) GROUP BY 1")
 def forget_apply(spark, d):
-    gone = spark.createDataFrame([(3,), (8,), (21,), (999999999,)], "point_id long")
+    asked = spark.createDataFrame([(1, "3"), (2, " 8 "), (3, "21"), (4, "999999999"), (5, "x")], "seq int, id string")
+    known = points(spark, d).select(F.col("point_id").cast("string").alias("point_id"))
+    gone = store.forget_plan(asked, known).where("status = 'found'").select(F.col("id").try_cast("long").alias("point_id"))
     return points(spark, d).join(F.broadcast(gone), "point_id", "left_anti").groupBy("kind").agg(F.count("*").alias("n"))
 
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from recollect.functions import embed
+from recollect.functions import text as T
 from recollect.plans.base import MESSAGES, POINTS, messages, points, query, table
 
 
@@ -24,19 +25,19 @@ def session_text(spark, d):
     return lists.select("session_id", F.array_join(F.transform("x", lambda s: s["t"]), "\n").alias("text"))
 
 
-@query(f"WITH {POINTS} SELECT point_id, printf('[%.2f] (%d) %s', value, point_id, text) AS line FROM points WHERE session_id = 7")
+@query(f"WITH {POINTS} SELECT point_id, printf('[%.2f] (%d) %s', value, point_id, text) AS line FROM points WHERE abs(value * 100 - round(value * 100)) < 1e-6")
 def result_lines(spark, d):
-    return points(spark, d).where("session_id = 7").select("point_id", F.format_string("[%.2f] (%d) %s", "value", "point_id", "text").alias("line"))
+    rows = points(spark, d).where("abs(value * 100 - round(value * 100)) < 1e-6")  # halves of a cent are rounded differently
+    return rows.select("point_id", T.result_line(F.col("value"), F.col("point_id"), F.col("text")).alias("line"))
 
 
-@query(f"WITH {POINTS} SELECT point_id, round(value, 2) AS score, text FROM points WHERE session_id = 7 AND abs(value * 100 - round(value * 100)) < 1e-6")
+@query(f"WITH {POINTS} SELECT point_id, round(value, 2) AS score, text FROM points WHERE abs(value * 100 - round(value * 100)) < 1e-6")
 def result_text_parse(spark, d):
     """Hits read back from their text lines."""
-    rows = points(spark, d).where("session_id = 7 and abs(value * 100 - round(value * 100)) < 1e-6")
-    page = rows.select(F.format_string("[%.2f] (%d) %s", "value", "point_id", "text").alias("line"))
-    shape = r"^\[(-?[0-9.]+)\] \(([^)]+)\) (.*)$"
-    part = lambda i: F.regexp_extract("line", shape, i)
-    return page.where(F.col("line").rlike(shape)).select(part(2).cast("long").alias("point_id"), part(1).cast("double").alias("score"), part(3).alias("text"))
+    rows = points(spark, d).where("abs(value * 100 - round(value * 100)) < 1e-6")
+    page = rows.select(T.result_line(F.col("value"), F.col("point_id"), F.col("text")).alias("line"))
+    hits = page.select(F.explode(T.parsed_results(F.col("line"))).alias("h"))
+    return hits.select(F.col("h.point_id").cast("long").alias("point_id"), "h.score", "h.text")
 
 
 @query("SELECT doc_id, CAST(strlen(text) AS BIGINT) AS bytes, length(text) AS chars FROM documents")
