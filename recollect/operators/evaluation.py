@@ -89,6 +89,11 @@ def answer_rank(texts: Column, answer: Column) -> Column:
     return F.nullif(F.array_position(F.transform(texts, lambda t: F.contains(F.lower(t), F.lower(answer))), F.lit(True)), F.lit(0))
 
 
+def miss(case: Column, rank: Column, hits: Column) -> Column:
+    """A missed case as JSON: the case, the rank it was found at (left out if it was not) and what was retrieved instead (array of structs)."""
+    return F.to_json(F.struct(case.alias("case"), rank.alias("rank"), hits.alias("retrieved")))
+
+
 def known_answer(hits: Column, needles: Column, root: Column) -> tuple[Column, Column]:
     """(hit, in_corpus) for hits (array of path, heading, snippet, best first): one of them holds every needle; the best one's path lies below the root."""
     whole = F.transform(hits, lambda h: F.concat_ws(" ", h["path"], h["heading"], h["snippet"]))

@@ -315,6 +315,14 @@ def label_roots(spark, d):
     return _turn_files(spark, d).select("path", docindex.root_of(F.col("path")).alias("root"))
 
 
+@query("""SELECT item_id, '{"case":' || item_id || CASE WHEN item_id % 7 <> 0 THEN ',"rank":' || (item_id % 12 + 1) ELSE '' END || ',"retrieved":[{"path":"a/' || item_id || '","rank":1},{"path":"b","rank":2}]}' AS miss FROM benchmark WHERE item_id % 7 = 0 OR item_id % 12 + 1 > 5""")
+def misses_with_hits(spark, d):
+    i = F.col("item_id")
+    rank_ = F.when(i % 7 != 0, i % 12 + 1)
+    hits = F.array(F.struct(F.concat(F.lit("a/"), i.cast("string")).alias("path"), F.lit(1).alias("rank")), F.struct(F.lit("b").alias("path"), F.lit(2).alias("rank")))
+    return table(spark, d, "benchmark").where(~evaluation.hit_at(rank_, 5)).select("item_id", evaluation.miss(i, rank_, hits).alias("miss"))
+
+
 @query("""SELECT item_id, CASE WHEN item_id % 2 = 0 THEN true ELSE contains(lower('p/x h ' || text), 'the') END AS hit, item_id % 3 = 0 AS in_corpus FROM benchmark""")
 def known_answers(spark, d):
     i = F.col("item_id")

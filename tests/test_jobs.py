@@ -70,6 +70,20 @@ def test_documents(spark, tmp_path):
     assert status["points"] == "4" and status["document_files"] == "3" and status["gate"] == "False"
 
 
+def test_index_is_rebuilt(spark, tmp_path):
+    index = docindex.LexicalIndex(spark, str(tmp_path / "i"))
+    files = lambda texts: spark.createDataFrame([(p, "r", t, t) for p, t in texts.items()], "path string, root string, content string, sha string")
+    index.set_meta(spark.createDataFrame([("k", "v")], "k string, v string"))
+    index.replace(files({"a": "one", "b": "two"}))
+    index.rebuild(files({"c": "three one"}))
+    assert {(r.path, r.chunks) for r in index.files().collect()} == {("c", 1)} and index.meta().count() == 1
+    asked = spark.createDataFrame([(1, "one two")], "query_id long, query string")
+    assert [r.path for r in index.search(asked).collect()] == ["c"]
+    assert spark.read.parquet(f"{index.path}/postings").select("path").distinct().count() == 1
+    index.drop(spark.createDataFrame([("c",)], "path string"))
+    assert index.search(asked).count() == 0 and index.stats().first().asDict() == {"files": 0, "chunks": 0, "avgdl": 0.0}
+
+
 def test_tiers_that_fail_leave_a_note(spark):
     q = spark.createDataFrame([(1, "x"), (2, "y")], "query_id long, query string")
     hits = spark.createDataFrame([(1, "p", 1), (1, "q", 2)], "query_id long, path string, rank int")
