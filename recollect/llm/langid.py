@@ -22,12 +22,15 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from recollect.runtime import bound_batches, tidied
+from recollect.runtime import bound_batches, small_side, stage, tidied
 
 SEGMENT = 64
 HIDDEN = 8
 DOCS_PER_LANG = 250
 SEGMENTS_PER_DOC = 8
+#: Times as many documents of a language as are wanted whose hashes are ranked, and languages that are broadcast at most.
+SPARE = 4
+BROADCAST_LANGS = 10_000
 STEPS = 160
 BATCH = 256
 #: Segments labelled at once.
@@ -202,9 +205,16 @@ def train(segments: list[bytes], labels: list[str], steps: int = STEPS, batch: i
 
 
 def training_segments(docs: DataFrame, docs_per_lang: int = DOCS_PER_LANG, per_doc: int = SEGMENTS_PER_DOC) -> tuple[list[bytes], list[str]]:
-    """Bounded sample of (segment, lang) from ``docs`` (doc_id, text, lang)."""
-    rank = F.row_number().over(Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id"))
-    ids = docs.where("lang is not null and text is not null").select("doc_id", "lang").withColumn("rank", rank).where(F.col("rank") <= docs_per_lang)
+    """Bounded sample of (segment, lang) from ``docs`` (doc_id, text, lang): the first documents of each language by hash order.
+
+    A language's number of documents says below which hash its first ones lie, so that only about ``SPARE`` times as many are ranked.
+    """
+    hashed = docs.where("lang is not null and text is not null").select("doc_id", "lang", F.xxhash64("doc_id").alias("h"))
+    counts = stage(hashed.groupBy("lang").agg(F.count("*").alias("n")), "languages")
+    low = (F.col("h").cast("double") + 2.0**63) / 2.0**64 * F.col("n") <= SPARE * docs_per_lang
+    few = hashed.join(small_side(counts, BROADCAST_LANGS), "lang").where(low)
+    rank = F.row_number().over(Window.partitionBy("lang").orderBy("h", "doc_id"))
+    ids = few.select("doc_id", "lang", rank.alias("rank")).where(F.col("rank") <= docs_per_lang)
     chosen = docs.select("doc_id", "text").join(F.broadcast(ids.select("doc_id", "lang")), "doc_id")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
