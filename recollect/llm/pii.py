@@ -29,6 +29,7 @@ import re
 from collections import Counter
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
@@ -44,8 +45,11 @@ CONCEPT_DISCLOSURE = 0.7
 CONFIDENCE = 3.0
 #: Candidate terms, and disclosing pairs, sent to the executors as a set, up to this many; more are joined by shuffle.
 BROADCAST_TERMS = 100_000
-#: Counts that a task holds before it passes them on.
+#: Counts, or hashes of terms, that a task holds before it passes them on; and ranges of hashes that tasks pass counts on by.
 HELD_COUNTS = 50_000
+HELD_HASHES = 2_000_000
+BUCKET_BITS = 8
+BUCKETS = 1 << BUCKET_BITS
 
 _DOMAIN = re.compile(r"[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
 _LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
@@ -270,28 +274,57 @@ def _concept_by_shuffle(rows: DataFrame, terms: DataFrame) -> DataFrame:
 
 
 def document_counts(docs: DataFrame, terms: DataFrame, bound: int = BROADCAST_TERMS) -> DataFrame:
-    """term, n_term: in how many rows of ``docs`` each of ``terms`` stands. The bound decides how they meet, not what is a term."""
-    wanted = frozenset(r["term"] for r in terms.collect()) if terms.count() <= bound else None  # at most `bound` words
+    """term, n_term: in how many rows of ``docs`` each of ``terms`` stands. The bound decides what tasks pass on, not what is a term.
+
+    Terms are counted by 64-bit hashes; a task passes its counts on as one row for each of ``BUCKETS`` ranges of hashes. The hashes of up to ten times
+    ``bound`` terms (8 bytes each) are sent to the tasks, which then count no others.
+    """
+    named = terms.select("term", F.xxhash64("term").alias("h"))
+    wanted = None
+    if named.count() <= 10 * bound:
+        wanted = np.sort(named.select("h").toArrow().column(0).to_numpy().view(np.uint64))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def flushed() -> pa.RecordBatch:
-            out = pa.RecordBatch.from_arrays([pa.array(list(counts), pa.string()), pa.array(list(counts.values()), pa.int64())], names=["term", "n"])
-            counts.clear()
-            return out
-
-        counts: Counter[str] = Counter()
+            found, times = np.unique(np.concatenate(held), return_counts=True)
+            held.clear()
+            place = (found >> np.uint64(64 - BUCKET_BITS)).astype(np.int32)
+            edges = np.flatnonzero(np.concatenate([[True], place[1:] != place[:-1]]))
+            rows = list(zip(edges.tolist(), [*edges[1:].tolist(), len(found)], strict=True))
+            blobs = [pa.array([x[i:j].tobytes() for i, j in rows], pa.binary()) for x in (found, times.astype(np.int64))]
+            return pa.RecordBatch.from_arrays([pa.array(place[edges]), *blobs], names=["bucket", "hashes", "times"])
+
+        held: list[np.ndarray] = []
+        size = 0
         for batch in batches:
             for text in batch.column(0).to_pylist():
-                found = {t for t, _, _ in terms_of(text or "")}
-                counts.update(found if wanted is None else wanted & found)
-                if len(counts) >= HELD_COUNTS and wanted is None:
-                    yield flushed()
-        yield flushed()
-
-    found = docs.select(F.col("text").cast("string").alias("text")).mapInArrow(tidied(run), "term string, n long")
-    if wanted is None:
-        found = found.join(terms, "term", "left_semi")
-    return found.groupBy("term").agg(F.sum("n").alias("n_term"))
+                own = {t for t, _, _ in terms_of(text or "")}
+                hashes = np.fromiter((xxhash.xxh64_intdigest(t.encode("utf-8", "surrogatepass"), 42) for t in own), np.uint64, len(own))
+                if wanted is not None:
+                    at = np.searchsorted(wanted, hashes)
+                    hashes = hashes[wanted[np.minimum(at, len(wanted) - 1)] == hashes] if len(wanted) else hashes[:0]
+                if len(hashes):
+                    held.append(hashes)
+                    size += len(hashes)
+            if size > HELD_HASHES:
+                yield flushed()
+                size = 0
+        if size:
+            yield flushed()
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hashes, times = [], []
+        for batch in batches:
+            hashes += [np.frombuffer(x, dtype=np.uint64) for x in batch.column(1).to_pylist()]
+            times += [np.frombuffer(x, dtype=np.int64) for x in batch.column(2).to_pylist()]
+        if hashes:
+            found, place = np.unique(np.concatenate(hashes), return_inverse=True)
+            total = np.bincount(place, weights=np.concatenate(times), minlength=len(found)).astype(np.int64)
+            yield pa.RecordBatch.from_arrays([pa.array(found.view(np.int64)), pa.array(total)], names=["h", "n_term"])
+
+    cells = docs.select(F.col("text").cast("string").alias("text")).mapInArrow(tidied(run), "bucket int, hashes binary, times binary")
+    sums = cells.repartition("bucket").mapInArrow(tidied(add), "h long, n_term long")
+    return named.join(sums, "h").select("term", "n_term")
 
 
 def together(held: DataFrame, support: int = MIN_CONTEXTS) -> DataFrame:
