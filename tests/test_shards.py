@@ -1,5 +1,6 @@
 """Search of the document index in shards: phrases by a tree, scores and ties against plain sums, no pairs of query and chunk in a shuffle."""
 
+import itertools
 import math
 import random
 import re
@@ -61,3 +62,10 @@ def test_no_pairs_of_query_and_chunk_are_shuffled(spark, index):
     plan = found._jdf.queryExecution().executedPlan().toString()
     assert not re.search(r"hashpartitioning\([^)]*chunk_id", plan)
     assert found.count() == 60
+
+
+def test_postings_of_a_chunk(spark):
+    rows = spark.createDataFrame([(1, "p", 5, 7, ["a", "b", "a"], [], ["a"]), (2, "q", 1, 7, [], ["c"], [])], "chunk_id long, path string, dl int, version long, t0 array<string>, t1 array<string>, t2 array<string>")
+    got = sorted((r["term"], r["chunk_id"], r["places"]) for r in shards.posted(rows, 10).collect())
+    assert got == [("a", 1, [0, 2, 23]), ("b", 1, [1]), ("c", 2, [10])]
+    assert list(itertools.chain(*(r["places"] for r in shards.posted(rows.limit(0), 10).collect()))) == []
