@@ -342,10 +342,11 @@ def matrix(docs: DataFrame, status: DataFrame, frequent: bytes, total: int, widt
 
     ``status``: id, first (whether it names a class), g (its group) of the documents that are copies or in a group of several;
     ``total``: shingles of the corpus. Rows that share 0 tokens say that group b is in the crowd of token a.
+    A part leaves out what two groups share in it where that is so little (``spared``) that pairs that can link keep half of what they have to share.
     """
     rows = _docs(docs).withColumnRenamed("doc_id", "id").where("id is not null")
     rows = rows.join(small_side(status, BROADCAST_ROWS), "id", "left").where("coalesce(first, true)").select(F.coalesce("g", "id").alias("g"), "text")
-    parts = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), total // TOKENS_PER_TASK + 1)
+    parts = part_count(docs, total)
     shift = np.uint64(64 - min(MOST_BITS, parts.bit_length() + SPARE_BITS))
     paired = PAIRED_GROUPS
 
@@ -363,7 +364,8 @@ def matrix(docs: DataFrame, status: DataFrame, frequent: bytes, total: int, widt
             low = np.ascontiguousarray(t.view(np.uint8).reshape(-1, 8)[:, :5])
             blobs = [(int(bucket[a]), low[a:b].tobytes(), g[a:b].tobytes(), small[a:b].tobytes(), b"" if (small[a:b] == large[a:b]).all() else large[a:b].tobytes()) for a, b in zip(at.tolist(), ends.tolist(), strict=True)]
             columns = list(zip(*blobs, strict=True))
-            return pa.RecordBatch.from_arrays([pa.array(columns[0], pa.int32()), *[pa.array(c, pa.binary()) for c in columns[1:]]], names=["bucket", "tokens", "grp", "small", "large"])
+            part = pa.array([b % parts for b in columns[0]], pa.int32())
+            return pa.RecordBatch.from_arrays([part, pa.array(columns[0], pa.int32()), *[pa.array(c, pa.binary()) for c in columns[1:]]], names=["part", "bucket", "tokens", "grp", "small", "large"])
 
         for batch in batches:
             for g, s in zip(batch.column(0).to_pylist(), hasher.sets(batch.column(1).to_pylist()), strict=True):
@@ -383,16 +385,18 @@ def matrix(docs: DataFrame, status: DataFrame, frequent: bytes, total: int, widt
             yield flushed()
 
     def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        parts = []
+        by_part: dict[int, list] = {}
         for batch in batches:
-            for bucket, t, g, n, m in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            for part, bucket, t, g, n, m in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 low = np.zeros((len(t) // 5, 8), dtype=np.uint8)
                 low[:, :5] = np.frombuffer(t, dtype=np.uint8).reshape(-1, 5)
-                parts.append((low.view(np.uint64).reshape(-1) ^ (np.uint64(bucket) << shift), *(np.frombuffer(x, dtype=kind) for x, kind in ((g, np.int64), (n, np.int32), (m or n, np.int32)))))
-        if not parts:
-            return
-        columns = [np.concatenate(x) for x in zip(*parts, strict=True)]
-        del parts
+                by_part.setdefault(part, []).append((low.view(np.uint64).reshape(-1) ^ (np.uint64(bucket) << shift), *(np.frombuffer(x, dtype=kind) for x, kind in ((g, np.int64), (n, np.int32), (m or n, np.int32)))))
+        for part in sorted(by_part):
+            yield from met_in(by_part.pop(part))
+
+    def met_in(cells: list[tuple]) -> Iterator[pa.RecordBatch]:
+        columns = [np.concatenate(x) for x in zip(*cells, strict=True)]
+        cells.clear()
         t, g, small, large = _one_each(*columns)
         head = np.flatnonzero(np.concatenate([[True], t[1:] != t[:-1]]))
         tail = np.append(head[1:], len(t))
@@ -413,15 +417,36 @@ def matrix(docs: DataFrame, status: DataFrame, frequent: bytes, total: int, widt
                 found.append(rows)
                 held += len(rows[0])
                 if held > FLUSH_TOKENS:
-                    yield _summed(found)
-                    found, held = [], 0
+                    found = [_summed(found)]
+                    held = len(found[0][0])
+                    if held > FLUSH_TOKENS // 2:  # handed on whole, so a part leaves out a pair's tokens once at most
+                        yield _pairs(found[0])
+                        found, held = [], 0
         if held:
-            yield _summed(found)
+            rows = _summed(found)
+            keep = rows[4] > spared(rows[2], rows[3], parts, percent)
+            yield _pairs(tuple(x[keep] for x in rows))
 
-    cells = rows.mapInArrow(tidied(cut), "bucket int, tokens binary, grp binary, small binary, large binary").repartition(parts, "bucket")
+    cells = rows.mapInArrow(tidied(cut), "part int, bucket int, tokens binary, grp binary, small binary, large binary").repartition(parts, "part")
     return cells.mapInArrow(tidied(meet), "a long, b long, shared long, small int, large int")
 
 
+def part_count(docs: DataFrame, total: int) -> int:
+    """Parts into which the tokens of the matrix are dealt, whatever number of tasks meets them."""
+    return max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), total // TOKENS_PER_TASK + 1)
+
+
+def asked_tokens(small: np.ndarray, large: np.ndarray, percent: int = THRESHOLD_PERCENT) -> np.ndarray:
+    """Tokens that the prefixes of linked sets of these sizes share at least: the overlap is no more than that and what lies behind the shorter-reaching prefix."""
+    small, large = small.astype(np.int64), large.astype(np.int64)
+    return -(-percent * (small + large) // (100 + percent)) - (-(-percent * large // 100) - 1) - 1
+
+
+def spared(small: np.ndarray, large: np.ndarray, parts: int, percent: int = THRESHOLD_PERCENT) -> np.ndarray:
+    """Tokens shared in one of ``parts`` that need no row: over all parts they are at most half of those that are asked for."""
+    return np.maximum(asked_tokens(small, large, percent), 0) // (2 * parts)
+
+
 def _one_each(t: np.ndarray, g: np.ndarray, small: np.ndarray, large: np.ndarray) -> tuple[np.ndarray, ...]:
     """Entries by token and group, one for each, with the smallest and the largest set that has the token."""
     order = np.lexsort((g, t))
@@ -431,35 +456,46 @@ def _one_each(t: np.ndarray, g: np.ndarray, small: np.ndarray, large: np.ndarray
 
 
 def _meetings(group: np.ndarray, small: np.ndarray, large: np.ndarray, i: np.ndarray, j: np.ndarray, percent: int = THRESHOLD_PERCENT) -> tuple:
-    """(a, b, smallest, largest fitting size) of the entries i and j that share a token and have sizes that can link."""
+    """(a, b, smallest, largest fitting size, 1) of the entries i and j that share a token and have sizes that can link."""
     small_i, small_j, large_i, large_j = (x.astype(np.int64) for x in (small[i], small[j], large[i], large[j]))
     keep = (large_i * 100 >= small_j * percent) & (large_j * 100 >= small_i * percent)
     # the sets of the one that have a size the other can link with
     low = np.maximum(np.minimum(small_i, small_j), -(-np.maximum(small_i, small_j) * percent // 100))
     high = np.minimum(np.maximum(large_i, large_j), np.minimum(large_i, large_j) * 100 // percent)
-    return group[i][keep], group[j][keep], low[keep].astype(np.int32), high[keep].astype(np.int32)
+    return group[i][keep], group[j][keep], low[keep].astype(np.int32), high[keep].astype(np.int32), np.ones(int(keep.sum()), dtype=np.int64)
 
 
-def _summed(found: list[tuple]) -> pa.RecordBatch:
-    """Meetings of many tokens, one row for each pair of groups."""
-    a, b, small, large = (np.concatenate(x) for x in zip(*found, strict=True))
+def _summed(found: list[tuple]) -> tuple:
+    """Meetings of many tokens, one for each pair of groups."""
+    a, b, small, large, shared = (np.concatenate(x) for x in zip(*found, strict=True))
     order = np.lexsort((b, a))
-    a, b, small, large = (x[order] for x in (a, b, small, large))
+    a, b, small, large, shared = (x[order] for x in (a, b, small, large, shared))
+    if not len(a):
+        return a, b, small, large, shared
     head = np.flatnonzero(np.concatenate([[True], (a[1:] != a[:-1]) | (b[1:] != b[:-1])]))
-    shared = np.diff(np.append(head, len(a)))
-    return pa.RecordBatch.from_arrays([pa.array(a[head]), pa.array(b[head]), pa.array(shared.astype(np.int64)), pa.array(np.minimum.reduceat(small, head)), pa.array(np.maximum.reduceat(large, head))], names=["a", "b", "shared", "small", "large"])
+    return a[head], b[head], np.minimum.reduceat(small, head), np.maximum.reduceat(large, head), np.add.reduceat(shared, head)
+
+
+def _pairs(rows: tuple) -> pa.RecordBatch:
+    a, b, small, large, shared = rows
+    return pa.RecordBatch.from_arrays([pa.array(x) for x in (a, b, shared, small, large)], names=["a", "b", "shared", "small", "large"])
 
 
 #: How a group stands in what is opened: opened for all others, one of a crowd, asking only.
 OPENED, CROWD, ASKING = 0, 1, 2
 
 
-def opened(met: DataFrame, groups: DataFrame, percent: int = THRESHOLD_PERCENT) -> DataFrame:
-    """job, g, kind: the groups g that are compared because of the matrix's rows ``met``, by the largest group of each pair or crowd."""
+def opened(met: DataFrame, groups: DataFrame, percent: int = THRESHOLD_PERCENT, parts: int | None = None) -> DataFrame:
+    """job, g, kind: the groups g that are compared because of the matrix's rows ``met``, by the largest group of each pair or crowd.
+
+    ``parts``: of the matrix; None if it left nothing out.
+    """
     pairs = met.where("shared > 0").groupBy("a", "b").agg(F.sum("shared").alias("shared"), F.min("small").alias("small"), F.max("large").alias("large"))
     # overlap <= shared + what lies behind the shorter-reaching prefix; least for the smallest and the largest set
     total = F.col("small") + F.col("large")
     asked = F.ceil(total * percent / (100.0 + percent)) - (F.ceil(F.col("large") * percent / 100.0) - 1) - 1
+    if parts is not None:  # the least of r - parts * (r // (2 * parts)) for any r from ``asked`` on
+        asked = F.least(asked, F.greatest(F.lit(parts), F.ceil(asked / 2)))
     pairs = pairs.where(F.col("shared") >= asked).select("a", "b")
     sizes = small_side(stage(groups.groupBy("g").agg(F.count("*").alias("k")), "jaccard-sizes"), BROADCAST_ROWS)
     of = lambda rows, side: rows.join(sizes.select(F.col("g").alias(side), F.struct("k", "g").alias(f"of_{side}")), side, "left").withColumn(f"of_{side}", F.coalesce(f"of_{side}", F.struct(F.lit(1).cast("long").alias("k"), F.col(side).alias("g"))))
@@ -542,7 +578,7 @@ def linked_components(docs: DataFrame, width: int = WIDTH, percent: int = THRESH
     copies = real.select("doc_id", *key).join(named.select(*key, "id"), key).groupBy(F.col("doc_id").alias("id")).agg(F.max(F.col("doc_id") == F.col("id")).alias("first"))
     status = stage(copies.join(groups, "id", "left").where("not first or g is not null"), "jaccard-status")
     met = stage(matrix(docs, status, frequent_bitmap(table.where("slice is not null"), total), total, width, percent), "jaccard-met")
-    jobs = stage(opened(met, groups, percent), "jaccard-jobs")
+    jobs = stage(opened(met, groups, percent, part_count(docs, total)), "jaccard-jobs")
     release(met, found, members)
 
     # members of what is opened, by their signatures and then by their sets

@@ -335,3 +335,28 @@ def test_drop_contaminated(spark):
     assert 44 not in kept and 42 in kept and None in kept and out.columns == ["doc_id", "text", "n", "row", "k"]
     empty = spark.createDataFrame([], "item_id long, text string")
     assert decontaminate.drop_contaminated(frame(spark, docs), empty).count() == len(docs)
+
+
+def test_matrix_leaves_out_what_cannot_link(spark, tmp_path):
+    """Long texts that have one passage in common make no rows; linked ones stay linked, and so does what lies at the threshold."""
+    from recollect.llm import ngram_join
+
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "2")
+    try:
+        passage = " ".join(f"p{i}" for i in range(20))
+        own = lambda d, n: " ".join(f"d{d}w{i}" for i in range(n))
+        texts = [f"{own(d, 600)} {passage}" for d in range(12)]
+        texts += [f"{own(50, 600)} {own(51, 98)}", f"{own(50, 600)} {own(52, 98)}", f"{own(60, 600)} {own(61, 104)}", f"{own(60, 600)} {own(62, 104)}"]
+        docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+        status = spark.createDataFrame([], "id long, first boolean, g long")
+        total = sum(len(t.split()) - 4 for t in texts)
+        rows = ngram_join.matrix(docs, status, bytes((1 << ngram_join.SKETCH_BITS) // 8), total).collect()
+        assert {(r["a"], r["b"]) for r in rows} >= {(12, 13)} and not [r for r in rows if r["b"] < 12]
+        got = {r["doc_id"]: r["component_id"] for r in ngram_join.linked_components(docs).collect()}
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    sets = [{tuple(w[i : i + 5]) for i in range(len(w) - 4)} for w in (t.split() for t in texts)]
+    for a, b in ((12, 13), (14, 15)):
+        assert (got[b] == a) == (100 * len(sets[a] & sets[b]) >= 75 * len(sets[a] | sets[b]))
+    assert got[13] == 12 and all(got[d] == d for d in range(12))
